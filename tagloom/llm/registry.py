@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, token_counts, url_filter
+from tagloom.llm import bpe, language_id, secrets, token_counts, url_filter
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -45,11 +45,33 @@ FROM p LEFT JOIN (SELECT * FROM hits WHERE n = 1) h ON h.page_id = p.page_id
 """
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, train=language_id.fold_of("doc_id") != 0)
+    judged = language_id.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return judged.select("doc_id", (language_id.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    number = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select(
+        "doc_id",
+        *[number(k).alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(said(base).cast("binary"), 256).alias("base_sha256"),
+        said(F.col("secrets")).alias("spans"),
+    )
+
+
 def queries():
     return {
         "op4_byte_bpe": op4_byte_bpe,
         "op5_token_counts": op5_token_counts,
         "op6_url_filter": op6_url_filter,
+        "op7_language_id": op7_language_id,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
