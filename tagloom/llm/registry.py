@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, language_id, mixing_query, secrets, token_counts, url_filter
+from tagloom.llm import bpe, language_id, mixing_query, quality_query, secrets, token_counts, url_filter
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -68,6 +68,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {
         "op1_mix_sources": mixing_query.op1_mix_sources,
+        "op2_quality_rules": quality_query.op2_quality_rules,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_token_counts": op5_token_counts,
         "op6_url_filter": op6_url_filter,
