@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, language_id, mixing_query, quality_query, secrets, token_counts, url_filter
+from tagloom.llm import bpe, language_id, mixing_query, quality_query, secrets, token_counts, topk_search, url_filter
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -52,6 +52,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (language_id.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v JOIN v q ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     number = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
@@ -73,9 +89,10 @@ def queries():
         "op5_token_counts": op5_token_counts,
         "op6_url_filter": op6_url_filter,
         "op7_language_id": op7_language_id,
+        "op8_topk_search": op8_topk_search,
         "op10_secret_scan": op10_secret_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL}
+    return {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL, "op8_topk_search": OP8_SQL}
