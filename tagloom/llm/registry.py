@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, language_id, mixing_query, quality_query, secrets, token_counts, topk_search, url_filter
+from tagloom.llm import bpe, language_id, mixing_query, near_dup, quality_query, secrets, token_counts, topk_search, url_filter
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -68,6 +68,10 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     number = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
@@ -90,6 +94,7 @@ def queries():
         "op6_url_filter": op6_url_filter,
         "op7_language_id": op7_language_id,
         "op8_topk_search": op8_topk_search,
+        "op9_near_dup": op9_near_dup,
         "op10_secret_scan": op10_secret_scan,
     }
 
