@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, language_id, mixing_query, near_dup, quality_query, secrets, token_counts, topk_search, url_filter
+from tagloom.llm import bpe, language_id, mixing_query, near_dup, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -89,6 +93,7 @@ def queries():
     return {
         "op1_mix_sources": mixing_query.op1_mix_sources,
         "op2_quality_rules": quality_query.op2_quality_rules,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_token_counts": op5_token_counts,
         "op6_url_filter": op6_url_filter,
