@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
 
@@ -25,15 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder of spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where neither that setting nor setCheckpointDir() names a folder
-    (tests, local runs) a temporary one is set.
+    Only where neither that setting nor setCheckpointDir() names one (tests,
+    local runs) a temporary folder is set.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -66,7 +71,3 @@ def map_arrow(df: DataFrame, fn, schema: str, column: str, most: int = BLOCK_BYT
 def utf8(column: str):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-
-def folder(*parts: str) -> str:
-    return os.path.join(*parts)

@@ -1,0 +1,41 @@
+import duckdb
+import pyarrow as pa
+
+import corpus_pipeline
+from tagloom.llm import bpe, language_id, mixing_query, registry, secrets
+from tests.llm.test_near_dup import brute as classes
+from tests.llm.test_secrets import SCAN
+
+
+def test_run_against_plain_python(spark, sf_dir):
+    """Each stage anew by plain means: pairs of all documents, SQL for the mixture, one encoding per text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit(docs, train=language_id.fold_of("doc_id") != 0)
+    rows = [r for r in docs.collect() if (p := model.predict(r.text))[0] != "und" and p[1] >= 0.5]
+    of = classes([(r.doc_id, r.text) for r in rows])
+    rows = [r for r in rows if of[r.doc_id] == r.doc_id]
+    clean = [(r.doc_id, secrets.redact(r.text, SCAN.scan(r.text)), r.lang, r.source) for r in rows]
+    left = pa.table({n: [c[i] for c in clean] for i, n in enumerate(("doc_id", "text", "lang", "source"))})
+    db = duckdb.connect()
+    db.register("left_over", left)
+    copies = dict(db.sql(f"select doc_id, n_copies from ({mixing_query.mix_sql('left_over')})").fetchall())
+    plain = bpe.encoder(bpe.default_ranks(), bpe.default_pattern()).base
+    want = sorted((d, plain.encode_ordinary(t)) for d, t, *_ in clean for _ in range(copies[d]))
+    got = registry.queries()["pipeline"](spark, sf_dir)
+    assert got.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
+    assert sorted((r.doc_id, list(r.token_ids)) for r in got.collect()) == want and want
+
+
+def test_stages_keep_the_columns_and_take_odd_rows(spark, sf_dir):
+    odd = [(1, None, None, None, None), (2, "", "en", "src0", 0), (3, "123", "en", "src0", 3), (4, "word " * 30, "en", "src0", 150), (4, "word " * 30, "en", "src0", 150), (None, "autre texte ici", "fr", None, 16)]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 AS score", "2 AS domain")
+    for part in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            part = stage(spark, part, sf_dir)
+            if name != "tokens":
+                assert part.columns == corpus_pipeline.COLUMNS
+        part.count()
+
+
+def test_order_of_the_stages():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "secrets", "mixture", "tokens"]
