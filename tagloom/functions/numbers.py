@@ -31,8 +31,8 @@ def milliseconds(s: Column) -> Column:
 
 
 def fixed(x: Column, places: int) -> Column:
-    """Fixed-point text, half to even on the decimal value."""
-    return F.format_string(f"%.{places}f", F.bround(x, places))
+    """Fixed-point text, half to even on the decimal value; null for null."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", F.bround(x, places)))
 
 
 def fixed_exact(x: Column, places: int) -> Column:

@@ -29,9 +29,10 @@ def with_offsets(rows: DataFrame, group: list[str], window_ms: int = 500, ts: st
     0.  Of times whose windows meet in one target the last wins.
     """
     half = window_ms // 2
-    zero = F.every(F.col(ts) == 0).over(Window.partitionBy(*group))
-    around = F.array(F.lit(0)) if window_ms <= 0 else F.when(zero, F.array(F.lit(0))).otherwise(F.array(*map(F.lit, (-half, 0, half))))
-    x = rows.withColumn("__o", F.explode(around)).withColumn("target_ms", F.col(ts) + F.col("__o")).filter("target_ms >= 0").drop("__o")
+    x = rows.withColumn("__zero", F.every(F.col(ts) == 0).over(Window.partitionBy(*group)))
+    around = F.array(F.lit(0)) if window_ms <= 0 else F.when(F.col("__zero"), F.array(F.lit(0))).otherwise(F.array(*map(F.lit, (-half, 0, half))))
+    x = x.withColumn("__o", F.explode(around)).drop("__zero")
+    x = x.withColumn("target_ms", F.col(ts) + F.col("__o")).filter("target_ms >= 0").drop("__o")
     w = Window.partitionBy(*group, "target_ms")
     return x.withColumn("__last", F.max(ts).over(w)).filter(F.col(ts) == F.col("__last")).drop("__last")
 

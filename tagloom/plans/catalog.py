@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -22,9 +24,17 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def queries() -> dict[str, Query]:
+    from tagloom.plans import detections, records  # noqa: F401  they register their queries
+
     return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return _ORACLES
