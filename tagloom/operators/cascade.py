@@ -74,7 +74,8 @@ def assemble(picked: DataFrame, reads: DataFrame, barcodes: DataFrame, payloads:
     x = x.withColumns({f: F.coalesce(f, F.lit("")) for f in FIELDS})
     x = x.withColumn("barcode", F.coalesce("__code", F.lit(""))).drop("__code")
     parsed = payloads.withColumn("__m", parse_payload(F.col("payload")))
-    parsed = parsed.select(*KEYS, *[strip(F.try_element_at("__m", F.lit(f))).alias(f"__qr_{f}") for f in PAYLOAD_KEYS])
+    said = [c for c in ("payload", "qr_source") if c in payloads.columns]
+    parsed = parsed.select(*KEYS, *said, *[strip(F.try_element_at("__m", F.lit(f))).alias(f"__qr_{f}") for f in PAYLOAD_KEYS])
     x = overlay.overlay_fields(x.join(parsed, KEYS, "left"), list(PAYLOAD_KEYS), "__qr_")
     return overlay.route(overlay.fill_barcode(x), archetypes)
 
