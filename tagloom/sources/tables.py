@@ -8,13 +8,10 @@ from pyspark.sql import functions as F
 from tagloom.functions.cells import cell, final_cell
 from tagloom.schema import COLUMNS, SERVICE
 
-#: A text that no file holds, so that empty cells are read as blanks and not as null.
-NO_NULL = "\u0000"
-
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as text; blanks stay blank, quoted line breaks are kept, a byte order mark is dropped."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue=NO_NULL, encoding="UTF-8", inferSchema=False)
+    """All columns as text; empty and missing cells are blank, quoted line breaks are kept, a byte order mark is dropped."""
+    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", inferSchema=False).fillna("")
 
 
 def format_rows(rows: DataFrame, exact: bool = False, compat: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -43,7 +40,7 @@ def write_tags_by_video(rows: DataFrame, path: str, key: str = "filename", order
 
 def write_editable(rows: DataFrame, path: str) -> None:
     """The record with its service columns first, in standard quoting."""
-    rows.select(*[c for c in SERVICE if c in rows.columns], *COLUMNS).coalesce(1).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue=NO_NULL)
+    rows.select(*[c for c in SERVICE if c in rows.columns], *COLUMNS).coalesce(1).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
 
 
 def finalize(rows: DataFrame) -> DataFrame:
