@@ -62,3 +62,12 @@ def progress(done: Column, total: Column, phase: Column) -> Column:
     """First phase counts for half, second for 45 of a hundred; never over 0.95."""
     share = F.coalesce(F.try_divide(done.cast("double"), total.cast("double")), F.lit(0.0))
     return F.least(F.lit(0.95), F.when(phase == 1, 0.5 * share).otherwise(0.5 + 0.45 * share))
+
+
+def log_progress(log: Column, first: str = "detect", second: str = "infer") -> Column:
+    """``progress`` of the last line such as ``[detect v] 5/10 (50%)`` in a log; 0 without one."""
+    pattern = rf"\[({first}|{second})[^\]]*\][^(]*\(\s*([0-9]+)%\)"
+    names, shares = F.regexp_extract_all(log, F.lit(pattern), F.lit(1)), F.regexp_extract_all(log, F.lit(pattern), F.lit(2))
+    phase = F.when(F.try_element_at(names, F.lit(-1)) == second, 2).otherwise(1)
+    done = F.coalesce(F.try_element_at(shares, F.lit(-1)).try_cast("int"), F.lit(0))
+    return F.when(F.size(names) == 0, 0.0).otherwise(progress(done, F.lit(100), phase))

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import pandas_udf, udtf
 
 IMAGE = "struct<height:int,width:int,channels:int,data:binary>"
 
@@ -94,6 +94,16 @@ def variants(image: np.ndarray, steps: dict[str, Callable[[np.ndarray], np.ndarr
             i += 1
 
 
+@udtf(returnType="variant_idx int, variant_name string, height int, width int, data binary")
+class ImageVariants:
+    """Table function over (height, width, channels, data): the variants that numpy makes, as grey images."""
+
+    def eval(self, height: int, width: int, channels: int, data: bytes) -> Iterator[tuple]:
+        if data is not None:
+            for i, name, v in variants(to_array(height, width, channels, data), {"gray": gray}):
+                yield i, name, v.shape[0], v.shape[1], np.ascontiguousarray(v).tobytes()
+
+
 def motion_blur(image: np.ndarray, length: int, degrees: float) -> np.ndarray:
     """Mean along a line of odd length."""
     half = length // 2

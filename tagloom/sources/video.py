@@ -4,7 +4,9 @@
 frames of the files given as ``paths`` (comma-separated).  A decoder yields
 (ts_ms, height, width, channels, bytes) for a path; it is imported on the
 executor, one partition per file.  With ``stepMs`` only the first frame at or
-after each point of the grid is returned.
+after each point of the grid is returned.  A file that can't be decoded fails
+the read, or with ``badFiles=report`` gives one row with the error after the
+frames before it, so that a batch goes on.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "video string, frame_idx int, ts_ms long, height int, width int, channels int, data binary"
+SCHEMA = "video string, frame_idx int, ts_ms long, height int, width int, channels int, data binary, error string"
 DETECTIONS = "video string, track_id int, seq int, frame_idx int, ts_ms long, x1 double, y1 double, x2 double, y2 double, conf double, touches_edge boolean, sharpness double, crop binary"
 
 
@@ -29,6 +31,7 @@ class FrameReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options.get("paths", "").split(",") if p]
         self.decoder, self.step = options.get("decoder", ""), int(options.get("stepms", options.get("stepMs", 0)))
+        self.report = options.get("badfiles", options.get("badFiles", "fail")) == "report"
         if ":" not in self.decoder:
             raise ValueError("option decoder: module:function")
 
@@ -37,13 +40,19 @@ class FrameReader(DataSourceReader):
 
     def read(self, partition: FileSplit) -> Iterator[tuple]:
         module, _, name = self.decoder.partition(":")
-        due = 0
-        for i, (ts, height, width, channels, data) in enumerate(getattr(import_module(module), name)(partition.path), 1):
-            if self.step:
-                if ts < due:
-                    continue
-                due = (ts // self.step + 1) * self.step
-            yield partition.path, i, int(ts), height, width, channels, data
+        due = last = 0
+        try:
+            for i, (ts, height, width, channels, data) in enumerate(getattr(import_module(module), name)(partition.path), 1):
+                last = i
+                if self.step:
+                    if ts < due:
+                        continue
+                    due = (ts // self.step + 1) * self.step
+                yield partition.path, i, int(ts), height, width, channels, data, None
+        except Exception as e:
+            if not self.report:
+                raise
+            yield partition.path, last + 1, None, None, None, None, None, str(e)
 
 
 class FrameSource(DataSource):
@@ -58,9 +67,9 @@ class FrameSource(DataSource):
         return FrameReader(self.options)
 
 
-def read_frames(spark: SparkSession, paths: list[str], decoder: str, step_ms: int = 0) -> DataFrame:
+def read_frames(spark: SparkSession, paths: list[str], decoder: str, step_ms: int = 0, bad_files: str = "fail") -> DataFrame:
     spark.dataSource.register(FrameSource)
-    return spark.read.format("frames").option("paths", ",".join(paths)).option("decoder", decoder).option("stepMs", str(step_ms)).load()
+    return spark.read.format("frames").option("paths", ",".join(paths)).option("decoder", decoder).option("stepMs", str(step_ms)).option("badFiles", bad_files).load()
 
 
 def time_grid(videos: DataFrame, step_ms: int) -> DataFrame:
@@ -83,3 +92,8 @@ def crop_detections(frames: DataFrame, detect) -> DataFrame:
 
 def confident(detections: DataFrame, least: float = 0.25) -> DataFrame:
     return detections.filter(F.col("conf") >= least)
+
+
+def write_images(images: DataFrame, path: str, by: str = "video") -> None:
+    """Encoded images as a binary column in Parquet, a folder for each video."""
+    images.write.mode("overwrite").partitionBy(by).parquet(path)

@@ -139,6 +139,8 @@ def test_names(spark):
     assert ask(spark, ["1\n2\n3"], lambda s: naming.last_lines(s, 2)) == ["2\n3"]
     got = ask(spark, [(5, 10, 1), (10, 10, 2), (0, 0, 1)], naming.progress, ["int"] * 3)
     assert got == pytest.approx([0.25, 0.95, 0.0])
+    logs = ["[detect v] 5/10 (50%)", "[detect v] 5/10 (50%)\n[infer v] 1/2 ( 50%) eta", "none", "[infer v] 2/2 (100%)"]
+    assert ask(spark, logs, naming.log_progress) == pytest.approx([0.25, 0.725, 0.0, 0.95])
     assert naming.truthy(" Yes ") and not naming.truthy(None)
 
 

@@ -94,7 +94,30 @@ def test_frame_source(spark):
     grid = video.time_grid(spark.createDataFrame([("v", 250), ("w", 0)], "video string, duration_ms long"), 100)
     assert sorted(r.ts_ms for r in grid.collect()) == [0, 100, 200]
     rows = spark.createDataFrame([("a", 85), ("a", -1)], "video string, ts_ms long")
-    assert sorted((r.ts_ms, r.frame_idx) for r in video.frame_at(rows, spark.createDataFrame(got)).collect()) == [(-1, None), (85, 3)]
+    assert sorted((r.ts_ms, r.frame_idx) for r in video.frame_at(rows, spark.createDataFrame(got, video.SCHEMA)).collect()) == [(-1, None), (85, 3)]
+
+
+def test_bad_files_are_reported(spark, tmp_path):
+    got = video.read_frames(spark, ["a", "bad"], "tests.test_sources:fragile_decoder", bad_files="report")
+    assert sorted((r.video, r.error) for r in got.filter("error IS NOT NULL").collect()) == [("bad", "cannot decode bad")]
+    assert got.filter("error IS NULL").count() == 13
+    with pytest.raises(Exception, match="cannot decode"):
+        video.read_frames(spark, ["bad"], "tests.test_sources:fragile_decoder").collect()
+    video.write_images(got.filter("error IS NULL"), str(tmp_path / "img"))
+    assert spark.read.parquet(str(tmp_path / "img")).count() == 13
+
+
+def test_variants_as_a_table_function(spark):
+    spark.udtf.register("image_variants", kernels.ImageVariants)
+    got = spark.sql("SELECT v.* FROM VALUES (1, 2, 1, X'0102') AS t(h, w, c, d), LATERAL image_variants(h, w, c, d) v").collect()
+    assert [(r.variant_name, r.height, r.width, bytes(r.data)) for r in got] == [("gray_rot0", 1, 2, b"\1\2"), ("gray_rot90cw", 2, 1, b"\1\2"), ("gray_rot180", 1, 2, b"\2\1"), ("gray_rot90ccw", 2, 1, b"\2\1")]
+
+
+def fragile_decoder(path):
+    for i, row in enumerate(fake_decoder(path)):
+        if path == "bad" and i == 3:
+            raise ValueError("cannot decode bad")
+        yield row
 
 
 def fake_decoder(path):
