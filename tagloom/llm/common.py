@@ -42,6 +42,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_small(df: DataFrame, rows_each: int = 50_000) -> DataFrame:
+    """``cut_lineage`` with as many partitions as its number of rows calls for, never more than before.
+
+    Iterations over tables much smaller than the input then don't write a file
+    for every pair of partitions of the input.
+    """
+    cut = cut_lineage(df)
+    return cut.coalesce(max(1, -(-cut.count() // rows_each)))
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``most`` bytes of a column each (one row at least)."""
     for batch in batches:

@@ -14,8 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import cut_small
+
 #: Lengths in one range of the two-level sums.
-RANGE = 1024
+RANGE = 128
 
 
 def length_histogram(counted: DataFrame, length: str = "n_tokens") -> DataFrame:
@@ -31,9 +33,10 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     * truncated_total: tokens left when each document is cut at L
     * total_tokens, quantile: all tokens; share of documents of up to L tokens
 
-    An empty table gives no rows.
+    An empty table gives no rows.  The histogram, two numbers for each length,
+    is written out first, as it is used twice and counting is what costs.
     """
-    h = histogram.select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"), F.floor(F.col("n_tokens") / RANGE).alias("part"))
+    h = cut_small(histogram).select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"), F.floor(F.col("n_tokens") / RANGE).alias("part"))
     by_part = h.groupBy("part").agg(F.sum("n_docs").alias("part_docs"), F.sum("tokens").alias("part_tokens"))
     over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
