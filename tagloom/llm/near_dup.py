@@ -18,8 +18,9 @@ Classes.  Equal texts are one node.  Nodes that agree in a band share a
 bucket.  In each bucket all members are compared with one pivot, the member
 with most neighbours over its buckets; verified pairs are links, and buckets
 whose members are in different components after that get further pivots.
-After ``PIVOT_ROUNDS`` rounds the pairs of different components that are still
-open are all compared, so no bucket is cut short and no link is lost.
+After ``PIVOT_ROUNDS`` rounds the members of different components in buckets
+that are still open are all compared, in blocks, so no bucket is cut short and
+no component is missed.
 Components are found by alternating star contraction on tables.
 """
 
@@ -32,14 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import blocks, cut_lineage
+from tagloom.llm.common import blocks, cut_lineage, cut_small
 
 WORDS = 5
 #: Bands and components in each: a pair of similarity 0.8 shares a band with a probability over 0.9999.
 BANDS, ROWS = 20, 4
 COMPONENTS = BANDS * ROWS
 SIMILARITY = 0.8
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
+#: Members of a bucket that are compared with another such block in one task.
+BLOCK = 512
 #: Texts are hashed in pieces of about so many bytes.
 PIECE = 1 << 20
 
@@ -214,23 +217,95 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 def components(links: DataFrame) -> DataFrame:
     """(key, label) of every key in a link (a, b); label is the least key of its component."""
-    edges = cut_lineage(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    while True:
+    edges = cut_small(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _are_stars(edges):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         near = large.join(least, "a")
         small = near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
-        edges = cut_lineage(small.distinct())
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.crc32(F.concat("a", "b")))).first())
-        if now == before:
-            break
-        before = now
+        edges = cut_small(small.distinct())
     return edges.select(F.col("a").alias("key"), F.col("b").alias("label")).unionAll(edges.select(F.col("b").alias("key"), F.col("b").alias("label")).distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Every larger end has one edge and is nobody's smaller end."""
+    ends = edges.select(F.col("a").alias("k"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(edges.select(F.col("b").alias("k"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("k").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
+def _linked_in_blocks(live: DataFrame, texts: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different components of large buckets.
+
+    Members are dealt to blocks of about BLOCK; a pair of blocks is one group
+    of rows, which one task works through: so a text is sent once for each
+    block and not once for each partner, and what a task holds is bounded.  A
+    pair of texts belongs to the first band they agree in.  Pairs that agree
+    in most bands are compared first, and none whose components are joined by
+    then.
+    """
+    sizes = live.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    x = live.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x = x.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n")
+    x = x.join(bands, "key").join(texts, "key")
+    parts = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = x.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for block in blocks(batches, "text"):
+            for r in block.to_pylist():
+                if (r["bucket"], r["i"], r["j"]) != group:
+                    if len(rows) > 1:
+                        yield from _block_links(rows, threshold)
+                    group, rows = (r["bucket"], r["i"], r["j"]), []
+                rows.append(r)
+        if len(rows) > 1:
+            yield from _block_links(rows, threshold)
+
+    return x.mapInArrow(run, "a binary, b binary")
+
+
+def _block_links(rows: list[dict], threshold: float) -> Iterator[pa.RecordBatch]:
+    bands, n = np.array([r["bands"] for r in rows], np.int64), np.array([r["n"] for r in rows], float)
+    own, at = np.array([r["own"] for r in rows]), (bands == rows[0]["bucket"]).argmax(axis=1)
+    root = {r["label"]: r["label"] for r in rows}
+
+    def find(k: bytes) -> bytes:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    todo: list[np.ndarray] = []
+    for p in range(len(rows) - 1):
+        same = bands[p + 1 :] == bands[p]
+        q = np.arange(p + 1, len(rows))
+        mine = (same.argmax(axis=1) == at[p]) & (np.minimum(n[q], n[p]) >= (threshold - 1e-12) * np.maximum(n[q], n[p]))
+        if rows[0]["i"] != rows[0]["j"]:
+            mine &= own[q] != own[p]
+        agree = same.sum(axis=1)[mine]
+        todo.append(np.stack([-agree, np.full(len(agree), p), q[mine]], axis=1))
+    pairs = np.concatenate(todo)
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    a, b = [], []
+    for _, p, q in pairs[np.argsort(pairs[:, 0], kind="stable")].tolist():
+        x, y = find(rows[p]["label"]), find(rows[q]["label"])
+        if x == y:
+            continue
+        for i in (p, q):
+            if i not in known:
+                known[i] = shingles(rows[i]["text"])
+        if similarity(known[p], known[q]) >= threshold - 1e-12:
+            root[max(x, y)] = min(x, y)
+            a.append(rows[p]["key"])
+            b.append(rows[q]["key"])
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
 def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size and kept.
 
@@ -249,39 +324,41 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # Buckets of more than one text; pivots are the members that share most places with others.
     places = nodes.select("key", "n", F.explode("bands").alias("bucket"))
     sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    places = cut_lineage(places.join(sizes, "bucket"))
+    places = cut_small(places.join(sizes, "bucket"))
     degrees = places.groupBy("key").agg(F.sum("size").alias("degree"))
-    places = cut_lineage(places.select("bucket", "key", "n").join(degrees, "key"))
+    places = cut_small(places.select("bucket", "key", "n").join(degrees, "key"))
     needed = places.select("key").distinct().join(nodes.select("key", "id"), "key")
     texts = rows.join(needed, (rows["key"] == needed["key"]) & rows["id"].eqNullSafe(needed["id"])).select(rows["key"], "text")
-    texts = cut_lineage(texts.groupBy("key").agg(F.first("text").alias("text")))
+    texts = cut_small(texts.groupBy("key").agg(F.first("text").alias("text")), 2_000)
 
     close = F.least("n_a", "n_b") >= (threshold - 1e-12) * F.greatest("n_a", "n_b")
-    links, labels, tried = None, None, None
+    labels, tried = None, None
     live = places.withColumn("label", F.col("key"))
     for turn in range(PIVOT_ROUNDS + 1):
         if turn:
-            # Only buckets that still hold more than one component.
+            # Only buckets that still hold more than one component, and more than one member that was no pivot.
             live = places.join(labels, "key", "left").select("bucket", places["key"], "n", "degree", F.coalesce("label", places["key"]).alias("label"))
-            mixed = live.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
-            live = cut_lineage(live.join(mixed, "bucket"))
+            mixed = live.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).filter(f"x <> y AND c > {turn + 1}").select("bucket")
+            live = cut_small(live.join(mixed, "bucket"))
             if live.isEmpty():
                 break
-        if turn < PIVOT_ROUNDS:
+        elif PIVOT_ROUNDS == 0:
+            live = cut_small(live)
+        if turn == PIVOT_ROUNDS:
+            found = cut_small(_linked_in_blocks(live.drop("degree"), texts, nodes.select("key", "bands"), threshold))
+        else:
             free = live
             if turn:  # a member is pivot of a bucket once
                 free = live.join(tried, (live["bucket"] == tried["bucket"]) & (live["key"] == tried["a"]), "left_anti")
             pivots = free.groupBy("bucket").agg(F.max(F.struct("degree", "key", "n", "label")).alias("p"))
-            pivots = cut_lineage(pivots.select("bucket", F.col("p.key").alias("a"), F.col("p.n").alias("n_a"), F.col("p.label").alias("label_a")))
+            pivots = cut_small(pivots.select("bucket", F.col("p.key").alias("a"), F.col("p.n").alias("n_a"), F.col("p.label").alias("label_a")))
             tried = pivots.select("bucket", "a") if tried is None else tried.unionAll(pivots.select("bucket", "a"))
-        else:
-            pivots = live.select("bucket", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-        others = live.select("bucket", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-        pairs = others.join(pivots, "bucket").filter(close & (F.col("a") != F.col("b")) & ((F.col("label_a") != F.col("label_b")) if turn else F.lit(True)))
-        pairs = pairs.filter("a < b") if turn == PIVOT_ROUNDS else pairs
-        found = cut_lineage(_verified(pairs.select("a", "b").distinct(), texts, threshold))
-        links = found if links is None else links.unionAll(found)
-        labels = cut_lineage(components(links))
+            others = live.select("bucket", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
+            pairs = others.join(pivots, "bucket").filter(close & (F.col("a") != F.col("b")) & ((F.col("label_a") != F.col("label_b")) if turn else F.lit(True)))
+            found = cut_small(_verified(pairs.select("a", "b").distinct(), texts, threshold))
+        # The stars of the components so far stand for all earlier links.
+        links = found if labels is None else found.unionAll(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
+        labels = cut_small(components(links))
 
     named = nodes.join(labels, "key", "left").select("key", "id", "copies", F.coalesce("label", nodes["key"]).alias("label"))
     classes = named.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("first"), F.sum("copies").alias("class_size"))

@@ -87,9 +87,10 @@ def corpus(rng, hubs=3, copies=8):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_classes_against_all_pairs(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds,block", [(0, 5), (1, 512), (2, 3)])
+def test_classes_against_all_pairs(spark, monkeypatch, rounds, block):
     monkeypatch.setattr(nd, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(nd, "BLOCK", block)
     rows = corpus(random.Random(rounds))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in nd.duplicate_classes(df).collect()}
