@@ -6,17 +6,19 @@ held back, and takes it into the list if it is precise enough there; rows it
 covers are then set aside.  The list is emitted as one ordered CASE expression
 (``as_column``) or its SQL text (``as_sql``).
 
-Statistics, thresholds, counts of every candidate literal and the final
-verdicts are all built-in DataFrame functions.  The driver sees only counts by
-(feature, bin), whose number is fixed by the parameters.
+Every step looks at all cuts between neighbouring values of the rows that are
+still open to it, so no row is out of reach at the end of a range.
+
+Statistics, thresholds, gains of every candidate literal and the final
+verdicts are all built-in DataFrame functions.  The driver sees only the
+literal of most gain.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import WORD, cut_lineage
@@ -124,7 +126,6 @@ class Learner:
     """max_labelled: labelled rows learned from, about (a share by hash of the id is taken beyond it)."""
 
     max_labelled: int = 20_000
-    bins: int = 24
     max_rules: int = 8
     max_literals: int = 3
     min_covered: int = 5
@@ -143,39 +144,25 @@ class Learner:
         fold = F.crc32(F.concat(F.lit("fold:"), F.col("__id").cast("string")).cast("binary")) % self.holdout
         return cut_lineage(rows.select((F.col("__label") == 0).cast("int").alias("bad"), (fold == 0).alias("held"), *feature_columns()))
 
-    def thresholds(self, rows: DataFrame) -> dict[str, list[float]]:
-        steps = [i / self.bins for i in range(1, self.bins)]
-        side = lambda f, bad: F.percentile(F.when(F.col("bad") == bad, F.col(f)), F.array(*map(F.lit, steps)))
-        got = rows.agg(*[side(f, bad).alias(f"{f}_{bad}") for f in FEATURES for bad in (0, 1)]).first()
-        return {f: sorted({round(v, 6) for bad in (0, 1) for v in (got[f"{f}_{bad}"] or [])}) for f in FEATURES}
-
     def learn(self, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DecisionList:
         """The list of rules that reject documents like those labelled 0. Without labels of both kinds it is empty.
 
         Only labelled documents that pass the base rules are learned from. An id with several labels has the least.
         """
         rows = self.labelled(docs, labels, doc_id, text, label)
-        cuts = self.thresholds(rows)
         rules: list[Rule] = []
         while len(rules) < self.max_rules:
             left = rows.filter(DecisionList(tuple(rules)).as_column() == 0)
-            rule = self._prune(left, self._grow(left.filter(~F.col("held")), cuts))
+            rule = self._prune(left, self._grow(left.filter(~F.col("held"))))
             if rule is None:
                 break
             rules.append(rule)
         return DecisionList(tuple(rules))
 
-    def _grow(self, rows: DataFrame, cuts: dict[str, list[float]]) -> list[Literal]:
+    def _grow(self, rows: DataFrame) -> list[Literal]:
         literals: list[Literal] = []
         while len(literals) < self.max_literals:
-            inside = rows.filter(" AND ".join(x.sql() for x in literals)) if literals else rows
-            bins = [F.struct(F.lit(f).alias("f"), F.size(F.filter(F.array(*map(F.lit, cuts[f])), lambda c: c <= F.col(f))).alias("b")) for f in FEATURES if cuts[f]]  # noqa: B023
-            if not bins:
-                break
-            counts: dict[str, dict[int, tuple[int, int]]] = {f: {} for f in FEATURES}
-            for r in inside.select("bad", F.explode(F.array(*bins)).alias("x")).groupBy("x.f", "x.b").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect():
-                counts[r.f][r.b] = (r.p, r.n)
-            best = self._best(counts, cuts)
+            best = self._best(rows.filter(" AND ".join(x.sql() for x in literals)) if literals else rows)
             if best is None:
                 break
             literals.append(best[0])
@@ -183,22 +170,30 @@ class Learner:
                 break
         return literals
 
-    def _best(self, counts: dict[str, dict[int, tuple[int, int]]], cuts: dict[str, list[float]]) -> tuple[Literal, int] | None:
-        """The literal of most gain, with the kept documents it still covers."""
-        found = None
-        for f, by_bin in counts.items():
-            p0, n0 = sum(p for p, _ in by_bin.values()), sum(n for _, n in by_bin.values())
-            if not p0 or not n0:
-                continue
-            for i, cut in enumerate(cuts[f]):
-                low = [sum(v[k] for b, v in by_bin.items() if b <= i) for k in (0, 1)]
-                for above, p, n in ((True, p0 - low[0], n0 - low[1]), (False, low[0], low[1])):
-                    if p < self.min_covered:
-                        continue
-                    gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
-                    if gain > 1e-9 and (found is None or gain > found[2] + 1e-9):
-                        found = (Literal(f, above, cut), n, gain)
-        return found[:2] if found else None
+    def _best(self, rows: DataFrame) -> tuple[Literal, int] | None:
+        """The literal of most gain, with the kept documents it still covers. Equal gains go to the first feature, then the least cut.
+
+        Cuts lie halfway between neighbouring values of the rows.  A feature's
+        values go to one task; they are no more than the rows learned from.
+        """
+        values = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).alias("v")) for i, f in enumerate(FEATURES)])
+        counts = rows.select("bad", F.explode(values).alias("x")).groupBy("x.f", "x.v").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"))
+        w = Window.partitionBy("f")
+        up = w.orderBy("v")
+        to = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        x = counts.select("f", "v", F.lead("v").over(up).alias("next"), *[F.sum(c).over(o).alias(c + s) for c in "pn" for o, s in ((to, "_low"), (w, "0"))])
+        middle = (F.col("v") + F.col("next")) / 2
+        # Between doubles without one in between the upper is the cut.
+        cut = F.when(middle > F.col("v"), middle).otherwise(F.col("next")).alias("cut")
+        sides = F.array(
+            F.struct(F.lit(True).alias("above"), (F.col("p0") - F.col("p_low")).alias("p"), (F.col("n0") - F.col("n_low")).alias("n")),
+            F.struct(F.lit(False).alias("above"), F.col("p_low").alias("p"), F.col("n_low").alias("n")),
+        )
+        x = x.filter("next IS NOT NULL AND p0 > 0 AND n0 > 0").select("f", cut, "p0", "n0", F.explode(sides).alias("s")).select("f", "cut", "p0", "n0", "s.*")
+        share = lambda p, n: F.log2(F.col(p) / (F.col(p) + F.col(n)))
+        x = x.filter((F.col("p") >= self.min_covered) & (F.col("p") > 0)).withColumn("gain", F.round(F.col("p") * (share("p", "n") - share("p0", "n0")), 9)).filter("gain > 0")
+        best = x.agg(F.max_by(F.struct("f", "above", "cut", "n"), F.struct("gain", -F.col("f"), -F.col("cut"), "above")).alias("b")).first().b
+        return (Literal(FEATURES[best.f], best.above, best.cut), best.n) if best else None
 
     def _prune(self, rows: DataFrame, literals: list[Literal]) -> Rule | None:
         """The beginning of the conjunction that does best on the rows held back, if precise enough over all rows."""

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -65,6 +66,31 @@ def test_learns_two_kinds_of_junk(spark):
     assert rules.as_sql().startswith("CASE WHEN ")
 
 
+def test_weakest_junk_is_reached(spark):
+    """Labelled-bad documents that pass the base rules are rejected to the last where one statistic tells them."""
+    sf = "/root/testdata/sf0.01"
+    bad = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 0").collect()}
+    judged = [r for r in op2_quality_rules(spark, sf).collect() if r.doc_id in bad and not r.base_failed]
+    assert len(judged) > 20 and sum(not r.kept for r in judged) >= 0.99 * len(judged)
+
+
+def test_best_literal_against_all_cuts(spark):
+    rng = random.Random(8)
+    rows = [(rng.random() < 0.3, False, *[float(rng.randrange(9)) for _ in q.FEATURES]) for _ in range(300)]
+    df = spark.createDataFrame([(int(b), *r) for b, *r in rows], "bad int, held boolean, " + ", ".join(f"{f} double" for f in q.FEATURES))
+    p0 = sum(r[0] for r in rows)
+    gains = []
+    for i in range(len(q.FEATURES)):
+        for cut in range(1, 9):
+            for above in (True, False):
+                inside = [r[0] for r in rows if (r[2 + i] >= cut) == above]
+                if (p := sum(inside)) >= 5:
+                    gains.append((round(p * (math.log2(p / len(inside)) - math.log2(p0 / len(rows))), 9), -i, -cut, above, len(inside) - p))
+    gain, i, cut, above, n = max(gains)
+    assert q.Learner()._best(df) == (q.Literal(q.FEATURES[-i], above, -cut - 0.5), n)
+    assert q.Learner()._best(df.filter("bad = 1")) is None and q.Learner()._best(df.limit(0)) is None
+
+
 def test_edge_rows(spark):
     docs = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "", 2), (2, "w " * 60, 3)], "doc_id long, text string, kept int")
     none = spark.createDataFrame([], "doc_id long, quality int")
