@@ -17,13 +17,17 @@ from tagloom.llm.common import shared_folder, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Posterior below which a language is not believed.
 LEAST_SCORE = 0.5
+#: Share of the way from the usual likelihood of a language's documents to chance beyond which a text isn't in that language.
+MOST_STRANGENESS = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language: no letter, no text or a doubtful answer go."""
-    model = language_id.fit(docs, train=language_id.fold_of("doc_id") != 0)
-    judged = language_id.predict(docs.select(*COLUMNS), model)
-    return judged.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    """Documents whose text has a language: no letter, no text, a doubtful answer or a language that wasn't learned go."""
+    train = language_id.fold_of("doc_id") != 0
+    model = language_id.fit(docs, train=train)
+    judged = language_id.predict(docs.select(*COLUMNS), model, against=language_id.usual(docs, model, train=train))
+    sure = (F.col("score") >= LEAST_SCORE) & (F.col("strangeness") <= MOST_STRANGENESS)
+    return judged.filter((F.col("lang_pred") != language_id.UNKNOWN) & sure).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ UNKNOWN = "und"
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 _SHIFT = np.uint32(32 - SLOTS.bit_length() + 1)
 _LETTER = regex.compile(r"\p{L}")
+#: Words of letters only; parts of numbers, keys and names with digits aren't words.
+_WORDS = regex.compile(r"(?<![\p{L}\p{M}\p{N}_])[\p{L}\p{M}]++(?![\p{N}_])")
 #: Code points whose matrix rows are gathered at once.
 _GATHER = 1 << 16
 
@@ -53,13 +55,19 @@ def slots_of(text: str) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
+def word_slots(text: str) -> np.ndarray:
+    """Hash slots of the n-grams of a text's words, or of the whole text if it has none."""
+    return slots_of(" ".join(_WORDS.findall(text)) or text)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """languages (sorted), their log priors and the slots x languages matrix."""
+    """languages (sorted), their log priors, the slots x languages matrix and the smoothed number of n-grams of each language."""
 
     languages: tuple[str, ...]
     prior: np.ndarray
     matrix: np.ndarray
+    sizes: np.ndarray | None = None
 
     def score(self, slots: np.ndarray) -> np.ndarray:
         total = self.prior.copy()
@@ -112,25 +120,79 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column |
     table = np.zeros((SLOTS + 1, len(languages)))
     table[counts["slot"].to_numpy(), [where[g] for g in names]] = counts["n"].to_numpy()
     docs_of, grams = table[SLOTS], table[:SLOTS] + SMOOTHING
-    return LanguageModel(languages, np.log(docs_of / docs_of.sum()), np.log(grams / grams.sum(axis=0)))
+    return LanguageModel(languages, np.log(docs_of / docs_of.sum()), np.log(grams / grams.sum(axis=0)), grams.sum(axis=0))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds lang_pred and score (posterior probability) to the ``keep`` columns (all, if None).
+#: Neighbouring n-grams share characters: so many of them count as one independent one.
+_SHARED = 9
 
-    A null text and one without a letter get ``und`` and score 0.  Equal
-    scores go to the first language by name.  Only the text is looked at.
-    """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+
+@dataclass(frozen=True)
+class Usual:
+    """Log-likelihood per n-gram, by language: mean of the training documents, variance of one n-gram."""
+
+    mean: np.ndarray
+    within: np.ndarray
+
+    def strangeness(self, model: LanguageModel, language: str, text: str) -> float:
+        """How far the words of a text are from the usual likelihood (0) to that of a chance slot (1), less two standard errors."""
+        i, slots = model.languages.index(language), word_slots(text)
+        got = (model.score(slots)[i] - model.prior[i]) / len(slots)
+        error = np.sqrt(_SHARED * self.within[i] / len(slots))
+        return float((self.mean[i] - got - 2 * error) / max(1.0, self.mean[i] + np.log(SLOTS)))
+
+
+def usual(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang", train: Column | None = None) -> Usual:
+    """What is usual among the rows that ``fit`` learned from, each scored without its own n-grams. Only sums by language are shuffled."""
+    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.lit(True) if train is None else train)).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        sums = np.zeros((len(m.languages), 2))
+        for block in blocks(batches, "text"):
+            for g, t in zip(block["lang"].to_pylist(), block["text"].to_pylist()):
+                if has_letter(t):
+                    i = m.languages.index(g)
+                    slots, n = np.unique(word_slots(t), return_counts=True)
+                    others = np.maximum(np.exp(m.matrix[slots, i]) * m.sizes[i] - n, SMOOTHING)
+                    sums[i] += 1, n @ np.log(others / max(m.sizes[i] - n.sum(), 1)) / n.sum()
+        at = np.flatnonzero(sums[:, 0])
+        yield pa.RecordBatch.from_arrays([pa.array([m.languages[i] for i in at], pa.string()), pa.array(sums[at, 0]), pa.array(sums[at, 1])], names=["lang", "n", "x"])
+
+    p = np.exp(model.matrix)
+    own = (p * model.matrix).sum(axis=0)
+    mean = own.copy()
+    for r in rows.mapInArrow(add, "lang string, n double, x double").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect():
+        mean[model.languages.index(r.lang)] = r.x / r.n
+    return Usual(mean, (p * model.matrix**2).sum(axis=0) - own**2)
+
+
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, against: Usual | None = None) -> DataFrame:
+    """Adds lang_pred and score (posterior probability) to the ``keep`` columns (all, if None); with ``against`` also strangeness.
+
+    A null text and one without a letter get ``und``, score 0 and no strangeness.
+    Equal scores go to the first language by name.  Only the text is looked at.
+    The score tells the learned languages apart; whether a text is in one of
+    them at all is what the strangeness says.
+    """
+    new = ["lang_pred", "score"] + ([] if against is None else ["strangeness"])
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    shared = docs.sparkSession.sparkContext.broadcast((model, against))
     needed = docs.select(*kept, docs[text].alias("__text"))
     schema = StructType(list(docs.select(*kept).schema.fields)).add("lang_pred", StringType()).add("score", DoubleType())
+    if against is not None:
+        schema = schema.add("strangeness", DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, against = shared.value
         for block in blocks(batches, "__text"):
-            found = [shared.value.predict(t) for t in block["__text"].to_pylist()]
-            arrays = [block.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array([g for g, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=[*kept, "lang_pred", "score"])
+            texts = block["__text"].to_pylist()
+            found = [model.predict(t) for t in texts]
+            arrays = [block.column(i) for i in range(len(kept))] + [pa.array([g for g, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+            if against is not None:
+                arrays.append(pa.array([None if g == UNKNOWN else against.strangeness(model, g, t) for t, (g, _) in zip(texts, found)], pa.float64()))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *new])
 
     return needed.mapInArrow(run, schema)
 

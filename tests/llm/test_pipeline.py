@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
@@ -39,3 +40,41 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, sf_dir):
 
 def test_order_of_the_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "secrets", "mixture", "tokens"]
+
+
+def test_language_stage_rejects_what_was_not_learned(spark):
+    """Texts in other languages and keyboard noise go, whatever their posterior; the given documents all stay."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    other = [
+        "Сегодня утром мы пошли на рынок и купили свежие овощи для супа.",
+        "今日は朝から市場へ行って新鮮な野菜を買いました。",
+        "Dzisiaj rano poszliśmy na targ i kupiliśmy świeże warzywa na zupę.",
+        "asdf jkl; qwer uiop zxcv bnm, asdfgh qwerty zxcvbn poiuyt lkjhgf",
+    ]
+    model = language_id.fit(docs, train=language_id.fold_of("doc_id") != 0)
+    assert all(model.predict(t)[1] > 0.99 for t in other)
+    odd = spark.createDataFrame([(-1 - i, t, None, "src0", len(t)) for i, t in enumerate(other)], docs.select(*corpus_pipeline.COLUMNS).schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.select(*corpus_pipeline.COLUMNS).unionByName(odd), sf).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_usual_likelihood_against_leaving_each_document_out(spark):
+    rows = [(1, "abab ab", "x"), (2, "abb 77 ab", "x"), (3, "bcbc", "y"), (4, "bc, k9 cb", "y"), (5, "12", "y"), (6, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    got = language_id.usual(docs, model)
+    words = {1: "abab ab", 2: "abb ab", 3: "bcbc", 4: "bc cb"}
+    for i, g in enumerate("xy"):
+        n = np.full(language_id.SLOTS, language_id.SMOOTHING)
+        for d, t, of in rows:
+            if of == g and d in words:
+                np.add.at(n, language_id.slots_of(t), 1)
+        means = []
+        for d, _, of in rows:
+            if of == g and d in words:
+                slots = language_id.slots_of(words[d])
+                rest = n.copy()
+                np.subtract.at(rest, slots, 1)
+                means.append(np.log(np.maximum(rest[slots], language_id.SMOOTHING) / rest.sum()).mean())
+        assert np.isclose(got.mean[i], np.mean(means))
