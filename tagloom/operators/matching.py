@@ -12,6 +12,8 @@ from tagloom.functions.text import name_similarity, squeeze
 
 #: A list of names up to this size is broadcast; a larger one is joined by length buckets.
 BROADCAST_NAMES = 20_000
+#: More than the rounding error of a length times or over a score.
+ROUNDING = 1e-6
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, most: float) -> DataFrame:
@@ -95,17 +97,18 @@ def match_names(names: DataFrame, gallery: DataFrame, name: str = "name", least:
     """(name, canonical, score): the most similar gallery entry, the first of equals; the name itself below ``least``.
 
     ``gallery`` has (ord, entry).  Names are compared once each.  Only pairs
-    whose lengths allow the score are compared, which loses nothing.  A gallery
-    of checked size is broadcast; a larger one is joined on equal length, each
-    name being repeated for the lengths that can reach the score.
+    whose lengths allow the score are compared, which loses nothing: the bounds
+    are wider than the score's by a rounding error, and the score decides.  A
+    gallery of checked size is broadcast; a larger one is joined on equal
+    length, each name being repeated for the lengths that can reach the score.
     """
     g = gallery.select(F.col("ord").alias("__ord"), F.col("entry").alias("__entry"), squeeze(F.col("entry")).alias("__norm")).withColumn("__len", F.length("__norm"))
     n = names.select(F.col(name).alias("name")).distinct().withColumn("__q", squeeze(F.col("name"))).withColumn("__qlen", F.length("__q"))
-    reach = F.least("__len", "__qlen") >= F.lit(least) * F.greatest("__len", "__qlen")
+    reach = F.least("__len", "__qlen") >= F.lit(least) * F.greatest("__len", "__qlen") - ROUNDING
     if gallery.count() <= BROADCAST_NAMES:
         pairs = n.join(F.broadcast(g), reach, "left")
     else:
-        low, high = F.ceil(F.col("__qlen") * least).cast("int"), F.floor(F.col("__qlen") / least).cast("int")
+        low, high = F.ceil(F.col("__qlen") * least - ROUNDING).cast("int"), F.floor(F.col("__qlen") / least + ROUNDING).cast("int")
         pairs = n.withColumn("__len", F.explode(F.sequence(F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0))))).join(g, "__len", "left")
     scored = pairs.withColumn("__score", name_similarity(F.col("__q"), F.col("__norm")))
     best = scored.groupBy("name").agg(F.max_by(F.struct("__entry", "__score"), F.struct(F.coalesce("__score", F.lit(-1.0)), -F.col("__ord"))).alias("b"))

@@ -170,6 +170,18 @@ def test_gallery(spark, monkeypatch):
         assert got == {"Молоко отборное": "Молоко отборное", "Малоко отборное": "Молоко отборное", "сыр российский": "Сыр российский", "совсем другое имя": "совсем другое имя", "": ""}
 
 
+def test_gallery_compares_lengths_at_the_very_bound(spark, monkeypatch):
+    """A score of exactly 0.55 counts in a small gallery and in a large one, whichever text is the longer."""
+    pairs = [(33, 60), (66, 120), (55, 100), (99, 180), (110, 200), (100, 55), (180, 99), (200, 110)]
+    names = [(chr(97 + i) * a,) for i, (a, _) in enumerate(pairs)]
+    entries = [(i, chr(97 + i) * b) for i, (_, b) in enumerate(pairs)]
+    gallery = spark.createDataFrame(entries, "ord int, entry string")
+    for limit in (10, 0):
+        monkeypatch.setattr(matching, "BROADCAST_NAMES", limit)
+        got = {r.name: r.canonical for r in matching.match_names(spark.createDataFrame(names, "name string"), gallery).collect()}
+        assert got == {n: e for (n,), (_, e) in zip(names, entries)}
+
+
 def test_lookup_joins(spark):
     rows = spark.createDataFrame([("d", "a/x.jpg"), ("d", "y.jpg"), ("d", "z.jpg")], "dir string, name string")
     files = spark.createDataFrame([("d/x.jpg",), ("d/y.jpg",)], "path string")
