@@ -96,7 +96,7 @@ def variants(image: np.ndarray, steps: dict[str, Callable[[np.ndarray], np.ndarr
 
 @udtf(returnType="variant_idx int, variant_name string, height int, width int, data binary")
 class ImageVariants:
-    """Table function over (height, width, channels, data): the variants that numpy makes, as grey images."""
+    """Table function over (height, width, channels, data): the 4 of 28 variants that are built in, the rotations of ``gray``."""
 
     def eval(self, height: int, width: int, channels: int, data: bytes) -> Iterator[tuple]:
         if data is not None:
