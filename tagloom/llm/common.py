@@ -15,15 +15,29 @@ from tagloom.session import ship_package
 #: Text bytes that an Arrow step handles at once, which bounds its memory.
 BLOCK_BYTES = 4 << 20
 
+#: The setting that bounds a batch which Spark sends to Python.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: A word: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of about BLOCK_BYTES at most, unless the session has a bound of its own.
+
+    A batch is a number of rows otherwise, so that long texts or packed
+    matrices would fill an executor's memory outside of its heap.
+    """
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, str(BLOCK_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
@@ -78,6 +92,14 @@ def map_arrow(df: DataFrame, fn, schema: str, column: str, most: int = BLOCK_BYT
     return df.mapInArrow(run, schema)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: str):
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
