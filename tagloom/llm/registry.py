@@ -61,14 +61,15 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
 
 
+#: Each row is a query of its own, by its number n.
 OP8_SQL = """
 WITH v AS (
-  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  SELECT row_number() OVER () AS n, vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  SELECT q.n, q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
   FROM v JOIN v q ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+), r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
