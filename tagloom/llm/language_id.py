@@ -3,13 +3,18 @@
 Training counts every n-gram of every training text.  Each task adds up its
 own counts by (language, slot) and only these sums are shuffled, so the volume
 follows the number of tasks, not of characters.  The log-probability matrix
-(slots x languages; at most ``MAX_LANGS`` languages) is broadcast, and blocks
-of texts are scored in numpy by summing matrix rows over each text.
+(slots x languages; at most ``MAX_LANGS`` languages) is broadcast.
+
+Texts are hashed and scored in batches.  The n-grams of a batch are a sparse
+matrix of texts by slots, one entry for each occurrence, and the scores are its
+product with the log-probabilities: rows gathered by slot, summed up by text.
+Texts pass through in pieces, so memory follows neither their number nor their
+length.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from tagloom.llm.common import blocks
+from tagloom.llm.common import blocks, cut_lineage, fresh_name
 
 #: Hash slots for all n-gram orders together.
 SLOTS = 1 << 15
@@ -28,36 +33,91 @@ MAX_LANGS = 256
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
+#: Code points in a batch, and cells of the matrix gathered at once.
+PIECE, CELLS = 1 << 16, 1 << 20
+
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 _SHIFT = np.uint32(32 - SLOTS.bit_length() + 1)
 _LETTER = regex.compile(r"\p{L}")
 #: Words of letters only; parts of numbers, keys and names with digits aren't words.
 _WORDS = regex.compile(r"(?<![\p{L}\p{M}\p{N}_])[\p{L}\p{M}]++(?![\p{N}_])")
-#: Code points whose matrix rows are gathered at once.
-_GATHER = 1 << 16
+
+#: For each order the slots of a batch, piece by piece, and their number in each piece.
+Grams = list[tuple[np.ndarray, np.ndarray]]
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
-def slots_of(text: str) -> np.ndarray:
-    """Hash slots of all n-grams of the lower-cased text with a space at each end."""
-    c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
-    out = []
-    for n in ORDERS:
-        if len(c) >= n:
-            h = np.full(len(c) - n + 1, n * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
-            for k in range(n):
-                h = (h ^ c[k : len(c) - n + 1 + k]) * _MULTIPLIERS[k]
-                h ^= h >> np.uint32(15)
-            out.append((h * np.uint32(0x85EBCA6B)) >> _SHIFT)
-    return np.concatenate(out) if out else np.empty(0, np.uint32)
+def lowered(text: str) -> str:
+    """Lower case by code point: the final sigma, which alone depends on its place, is as any other."""
+    return text.replace("\u03a3", "\u03c3").lower()
+
+
+def pieces_of(text: str, size: int) -> Iterator[tuple[str, int]]:
+    """(piece, code points carried over from the piece before) of the lower-cased text with a space at each end."""
+    if len(text) <= size:
+        yield f" {lowered(text)} ", 0
+        return
+    before, carried = " ", 0
+    for at in range(0, len(text), size):
+        piece = before + lowered(text[at : at + size]) + (" " if at + size >= len(text) else "")
+        yield piece, carried
+        before = piece[1 - max(ORDERS) :]
+        carried = len(before)
 
 
-def word_slots(text: str) -> np.ndarray:
-    """Hash slots of the n-grams of a text's words, or of the whole text if it has none."""
-    return slots_of(" ".join(_WORDS.findall(text)) or text)
+def hashed(pieces: list[tuple[str, int]]) -> Grams:
+    """Hash slots of the n-grams of pieces; those of carried code points alone belong to the piece before."""
+    c = np.frombuffer("".join([p for p, _ in pieces]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
+    carried = np.array([k for _, k in pieces])
+    ends = np.cumsum([len(p) for p, _ in pieces])
+    starts = np.concatenate([[0], ends[:-1]])
+    out = []
+    for n in ORDERS:
+        h = np.full(max(0, len(c) - n + 1), n * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
+        for k in range(n):
+            h = (h ^ c[k : len(c) - n + 1 + k]) * _MULTIPLIERS[k]
+            h ^= h >> np.uint32(15)
+        first = starts + np.maximum(0, carried - n + 1)
+        number = np.maximum(0, ends - n + 1 - first)
+        at = np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
+        out.append((((h * np.uint32(0x85EBCA6B)) >> _SHIFT)[at], number))
+    return out
+
+
+def batches_of(texts: Iterable[str], size: int = PIECE) -> Iterator[tuple[np.ndarray, Grams]]:
+    """(number of the text that each piece is of, its n-grams), batch by batch."""
+    held, rows, total = [], [], 0
+    for row, text in enumerate(texts):
+        for piece in pieces_of(text, size):
+            held.append(piece)
+            rows.append(row)
+            total += len(piece[0])
+            if total >= size:
+                yield np.array(rows), hashed(held)
+                held, rows, total = [], [], 0
+    if held:
+        yield np.array(rows), hashed(held)
+
+
+def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, number of n-grams in each) of a text."""
+    found: tuple[np.ndarray, np.ndarray] | None = None
+    for _, grams in batches_of([text]):
+        more = np.unique(np.concatenate([slots for slots, _ in grams]), return_counts=True)
+        if found is not None:
+            both = np.concatenate([found[0], more[0]])
+            at, place = np.unique(both, return_inverse=True)
+            more = at, np.bincount(place, np.concatenate([found[1], more[1]])).astype(np.int64)
+        found = more
+    return found or (np.empty(0, np.uint32), np.empty(0, np.int64))
+
+
+def words_of(text: str) -> str:
+    """The words of a text, or the whole text if it has none."""
+    return " ".join(_WORDS.findall(text)) or text
 
 
 @dataclass(frozen=True)
@@ -69,18 +129,26 @@ class LanguageModel:
     matrix: np.ndarray
     sizes: np.ndarray | None = None
 
-    def score(self, slots: np.ndarray) -> np.ndarray:
-        total = self.prior.copy()
-        if len(slots) > _GATHER:  # a long text: count first, so that memory doesn't follow its length
-            return total + np.bincount(slots, minlength=SLOTS) @ self.matrix
-        return total + self.matrix[slots].sum(axis=0)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not has_letter(text):
-            return UNKNOWN, 0.0
-        s = self.score(slots_of(text))
-        best = int(np.argmax(s))
-        return self.languages[best], float(1.0 / np.exp(s - s[best]).sum())
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log of prior times likelihood, texts by languages; number of n-grams of each text."""
+        out, sizes = np.tile(self.prior, (len(texts), 1)), np.zeros(len(texts), np.int64)
+        for rows, grams in batches_of(texts, max(1024, min(PIECE, CELLS // max(1, len(self.languages))))):
+            for slots, number in grams:
+                some = np.flatnonzero(number)
+                if len(some):
+                    starts = (np.cumsum(number) - number)[some]
+                    np.add.at(out, rows[some], np.add.reduceat(self.matrix[slots], starts, axis=0))
+                    np.add.at(sizes, rows[some], number[some])
+        return out, sizes
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and its posterior probability of each text."""
+        known = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
+        names, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        s, _ = self.scores([texts[i] for i in known])
+        for i, best, p in zip(known, s.argmax(axis=1) if known else (), 1.0 / np.exp(s - s.max(axis=1, keepdims=True)).sum(axis=1) if known else ()):
+            names[i], sure[i] = self.languages[best], float(p)
+        return names, sure
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None) -> LanguageModel:
@@ -93,29 +161,31 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column |
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for block in blocks(batches, "text"):
-            for g, t in zip(block["lang"].to_pylist(), block["text"].to_pylist()):
-                if has_letter(t):
-                    if g not in sums:
-                        if len(sums) >= MAX_LANGS:
-                            raise ValueError(f"more than {MAX_LANGS} languages")
-                        sums[g] = np.zeros(SLOTS + 1, np.int64)
-                    slots = slots_of(t)
-                    if len(slots) > SLOTS:
-                        sums[g][:SLOTS] += np.bincount(slots, minlength=SLOTS)
-                    else:
-                        np.add.at(sums[g], slots, 1)
-                    sums[g][SLOTS] += 1  # documents
+            known = [(g, t) for g, t in zip(block["lang"].to_pylist(), block["text"].to_pylist()) if has_letter(t)]
+            for g, _ in known:
+                if g not in sums:
+                    if len(sums) >= MAX_LANGS:
+                        raise ValueError(f"more than {MAX_LANGS} languages")
+                    sums[g] = np.zeros(SLOTS + 1, np.int64)
+                sums[g][SLOTS] += 1  # documents
+            names = np.array([g for g, _ in known])
+            for rows, grams in batches_of(t for _, t in known):
+                slots, of = np.concatenate([s for s, _ in grams]), np.concatenate([np.repeat(names[rows], n) for _, n in grams])
+                for g in np.unique(names[rows]):
+                    sums[str(g)][:SLOTS] += np.bincount(slots[of == g], minlength=SLOTS)
         for g, n in sums.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "slot", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(counts)
+    if counts.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    counts = counts.toArrow()  # at most MAX_LANGS x (SLOTS + 1) rows
     names = counts["lang"].to_numpy(zero_copy_only=False)
     languages = tuple(sorted(set(names.tolist())))
     if not languages:
         return LanguageModel((), np.empty(0), np.empty((SLOTS, 0)))
-    if len(languages) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
     where = {g: i for i, g in enumerate(languages)}
     table = np.zeros((SLOTS + 1, len(languages)))
     table[counts["slot"].to_numpy(), [where[g] for g in names]] = counts["n"].to_numpy()
@@ -134,12 +204,18 @@ class Usual:
     mean: np.ndarray
     within: np.ndarray
 
-    def strangeness(self, model: LanguageModel, language: str, text: str) -> float:
-        """How far the words of a text are from the usual likelihood (0) to that of a chance slot (1), less two standard errors."""
-        i, slots = model.languages.index(language), word_slots(text)
-        got = (model.score(slots)[i] - model.prior[i]) / len(slots)
-        error = np.sqrt(_SHARED * self.within[i] / len(slots))
-        return float((self.mean[i] - got - 2 * error) / max(1.0, self.mean[i] + np.log(SLOTS)))
+    def strangeness(self, model: LanguageModel, languages: list[str], texts: list[str | None]) -> list[float | None]:
+        """How far the words of each text are from the usual likelihood (0) to that of a chance slot (1), less two standard errors."""
+        known = [i for i, g in enumerate(languages) if g != UNKNOWN]
+        out: list[float | None] = [None] * len(languages)
+        if known:
+            scores, n = model.scores([words_of(texts[i]) for i in known])
+            g = np.array([model.languages.index(languages[i]) for i in known])
+            got = (scores[np.arange(len(known)), g] - model.prior[g]) / n
+            far = (self.mean[g] - got - 2 * np.sqrt(_SHARED * self.within[g] / n)) / np.maximum(1.0, self.mean[g] + np.log(SLOTS))
+            for i, x in zip(known, far.tolist()):
+                out[i] = x
+        return out
 
 
 def usual(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang", train: Column | None = None) -> Usual:
@@ -154,7 +230,7 @@ def usual(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str =
             for g, t in zip(block["lang"].to_pylist(), block["text"].to_pylist()):
                 if has_letter(t):
                     i = m.languages.index(g)
-                    slots, n = np.unique(word_slots(t), return_counts=True)
+                    slots, n = counts_of(words_of(t))
                     others = np.maximum(np.exp(m.matrix[slots, i]) * m.sizes[i] - n, SMOOTHING)
                     sums[i] += 1, n @ np.log(others / max(m.sizes[i] - n.sum(), 1)) / n.sum()
         at = np.flatnonzero(sums[:, 0])
@@ -179,19 +255,20 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
     new = ["lang_pred", "score"] + ([] if against is None else ["strangeness"])
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     shared = docs.sparkSession.sparkContext.broadcast((model, against))
-    needed = docs.select(*kept, docs[text].alias("__text"))
+    body = fresh_name(docs, "__text")
+    needed = docs.select(*kept, docs[text].alias(body))
     schema = StructType(list(docs.select(*kept).schema.fields)).add("lang_pred", StringType()).add("score", DoubleType())
     if against is not None:
         schema = schema.add("strangeness", DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, against = shared.value
-        for block in blocks(batches, "__text"):
-            texts = block["__text"].to_pylist()
-            found = [model.predict(t) for t in texts]
-            arrays = [block.column(i) for i in range(len(kept))] + [pa.array([g for g, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+        for block in blocks(batches, body):
+            texts = block[body].to_pylist()
+            names, sure = model.predict(texts)
+            arrays = [block.column(i) for i in range(len(kept))] + [pa.array(names, pa.string()), pa.array(sure, pa.float64())]
             if against is not None:
-                arrays.append(pa.array([None if g == UNKNOWN else against.strangeness(model, g, t) for t, (g, _) in zip(texts, found)], pa.float64()))
+                arrays.append(pa.array(against.strangeness(model, names, texts), pa.float64()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *new])
 
     return needed.mapInArrow(run, schema)
