@@ -18,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructType
 
-#: The broadcast holds at most so many rules.
-MAX_RULES = 1_000_000
+from tagloom.llm.common import fresh_name
+
+#: The broadcast holds at most so many rules, of so many characters in all.
+MAX_RULES, MAX_CHARS = 1_000_000, 64 << 20
 
 _URL = re.compile(r"://([^/?#]*)([^?#]*)", re.S)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -31,42 +33,47 @@ def split_url(url: str | None) -> tuple[str, str]:
     return (m[1].translate(_LOWER), m[2]) if m else ("", "")
 
 
-class Node:
-    __slots__ = ("labels", "paths")
-
-    def __init__(self):
-        self.labels: dict[str, Node] = {}
-        self.paths: PathNode | None = None
-
-
-class PathNode:
-    """ends: beginnings of the next segment at which a rule ends, with its verdict."""
-
-    __slots__ = ("segments", "ends")
-
-    def __init__(self):
-        self.segments: dict[str, PathNode] = {}
-        self.ends: dict[str, str] = {}
+class UrlTrie:
+    """Nodes are numbers, 0 the root of the host labels; flat tables, so that deep rules can be sent as any others.
 
+    labels: children of a host node by label; paths: the path node at a host
+    node; segments: children of a path node by segment; ends: beginnings of the
+    next segment at which a rule ends, with its verdict.
+    """
 
-class UrlTrie:
     def __init__(self, rules: Iterable[tuple[str, str]]):
         """rules: (``host/path``, ``allow`` or ``block``)."""
-        self.root = Node()
+        self.labels: list[dict[str, int]] = [{}]
+        self.paths: dict[int, int] = {}
+        self.segments: list[dict[str, int]] = []
+        self.ends: list[dict[str, str]] = []
+        chars = 0
         for n, (rule, verdict) in enumerate(rules):
-            if n >= MAX_RULES:
-                raise ValueError(f"more than {MAX_RULES} rules")
+            chars += len(rule)
+            if n >= MAX_RULES or chars > MAX_CHARS:
+                raise ValueError(f"more than {MAX_RULES} rules or {MAX_CHARS} characters")
             if verdict not in ("allow", "block"):
                 raise ValueError(f"unknown verdict {verdict!r}")
             host, _, path = rule.partition("/")
-            node = self.root
+            node = 0
             for label in reversed(host.translate(_LOWER).split(".")):
-                node = node.labels.setdefault(label, Node())
-            node.paths = at = node.paths or PathNode()
+                if label not in self.labels[node]:
+                    self.labels[node][label] = len(self.labels)
+                    self.labels.append({})
+                node = self.labels[node][label]
+            at = self.paths[node] if node in self.paths else self.paths.setdefault(node, self._path_node())
             *whole, last = path.split("/")
             for segment in whole:
-                at = at.segments.setdefault(segment, PathNode())
-            at.ends[last] = "block" if "block" in (verdict, at.ends.get(last)) else "allow"
+                if segment not in self.segments[at]:
+                    self.segments[at][segment] = self._path_node()
+                at = self.segments[at][segment]
+            ends = self.ends[at]
+            ends[last] = "block" if "block" in (verdict, ends.get(last)) else "allow"
+
+    def _path_node(self) -> int:
+        self.segments.append({})
+        self.ends.append({})
+        return len(self.ends) - 1
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, verdict) of the longest rule that fits."""
@@ -74,26 +81,27 @@ class UrlTrie:
             return None
         labels, segments = host.split("."), path[1:].split("/")
         best: tuple[int, int, str, str] | None = None
-        node = self.root
+        node: int | None = 0
         for depth in range(1, len(labels) + 1):
-            node = node.labels.get(labels[-depth])
+            node = self.labels[node].get(labels[-depth])
             if node is None:
                 break
-            if node.paths is not None and (hit := self._path(node.paths, segments)):
+            if node in self.paths and (hit := self._path(self.paths[node], segments)):
                 rule = ".".join(labels[-depth:]) + "/" + hit[0]
                 best = max(best or (0, 0, "", ""), (len(rule), depth, rule, hit[1]))
         return best[2:] if best else None
 
-    @staticmethod
-    def _path(node: PathNode, segments: list[str]) -> tuple[str, str] | None:
-        found, before = None, ""
+    def _path(self, node: int | None, segments: list[str]) -> tuple[str, str] | None:
+        found, before = None, []
         for i, segment in enumerate(segments):
-            for k in range(len(segment) + 1) if len(node.ends) > len(segment) else sorted(map(len, node.ends)):
-                if (end := segment[:k]) in node.ends and len(end) == k:
-                    found = (before + end, node.ends[end])
-            if i + 1 == len(segments) or (node := node.segments.get(segment)) is None:
+            ends = self.ends[node]
+            for k in range(len(segment) + 1) if len(ends) > len(segment) else sorted(map(len, ends)):
+                if (end := segment[:k]) in ends and len(end) == k:
+                    found = ("".join(before) + end, ends[end])
+            node = self.segments[node].get(segment)
+            if i + 1 == len(segments) or node is None:
                 break
-            before += segment + "/"
+            before.append(segment + "/")
         return found
 
 
@@ -104,21 +112,20 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url"
     null url and one without ``://``, whose host and path are empty.  Repeated
     rows are judged alike; columns with the names of the new ones are replaced.
     """
-    rules = list(rules)
-    UrlTrie(rules)  # fails early on bad rules
-    shared = pages.sparkSession.sparkContext.broadcast(rules)
+    shared = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules))
     new = ["host", "path", "rule", "verdict"]
     kept = [c for c in (pages.columns if keep is None else keep) if c not in new]
-    needed = pages.select(*kept, pages[url].alias("__url"))
+    address = fresh_name(pages, "__url")
+    needed = pages.select(*kept, pages[url].alias(address))
     schema = StructType(list(pages.select(*kept).schema.fields))
     for name in new:
         schema = schema.add(name, StringType())
 
     def run(batches):
-        trie = UrlTrie(shared.value)
+        trie: UrlTrie = shared.value
         for batch in batches:
             cols: list[list] = [[], [], [], []]
-            for u in batch["__url"].to_pylist():
+            for u in batch[address].to_pylist():
                 host, path = split_url(u)
                 hit = trie.find(host, path)
                 for c, v in zip(cols, (host, path, hit[0] if hit else None, hit[1] if hit else default)):

@@ -62,3 +62,18 @@ def test_query_against_sql(spark, sf_dir):
     db.execute(f"create view pages as select * from '{sf_dir}/pages.parquet'")
     want = sorted(db.sql(registry.OP6_SQL).fetchall())
     assert got == want
+
+
+def test_deep_rules_and_clashing_names(spark):
+    """The trie is sent as it was built, however deep; input columns may bear any name."""
+    host, path = ".".join("abc" * 900), "/".join("xyz" * 900)
+    rules = [(f"{host}/{path}", "block"), ("c/", "allow")]
+    pages = spark.createDataFrame([(1, f"http://{host}/{path}q", "no"), (2, f"http://{host}/x", None), (3, None, "no")], "page_id long, url string, __url string").selectExpr("*", "7 AS rule")
+    got = {r.page_id: (r.rule, r.verdict, r["__url"]) for r in url_filter.filter_urls(pages, rules, default="block").collect()}
+    assert got == {1: (f"{host}/{path}", "block", "no"), 2: ("c/", "allow", None), 3: (None, "block", "no")}
+
+
+def test_the_broadcast_is_bounded(monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_CHARS", 20)
+    with pytest.raises(ValueError, match="20 characters"):
+        url_filter.UrlTrie([("a.b/c", "allow")] * 5)
