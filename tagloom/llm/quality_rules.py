@@ -224,7 +224,8 @@ def judge(docs: DataFrame, rules: DecisionList, text: str = "text", keep: list[s
     """
     new = [*BASE_STATS, "base_failed", "rule", "kept"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    x = with_statistics(docs.select(*kept, F.col(text).alias("__text")), "__text").drop("__text")
+    row = F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in kept])  # so that no name of theirs clashes with one in between
+    x = with_statistics(docs.select(row.alias("__row"), F.col(text).alias("__text")), "__text").drop("__text")
     x = x.withColumn("__f", F.struct(*feature_columns()))
-    x = x.select(*kept, *[F.col(f"__s.{c}").alias(c) for c in BASE_STATS], base_failed().alias("base_failed"), rules.as_column("__f.").alias("rule"))
+    x = x.select(*[F.col("__row")[c].alias(c) for c in kept], *[F.col(f"__s.{c}").alias(c) for c in BASE_STATS], base_failed().alias("base_failed"), rules.as_column("__f.").alias("rule"))
     return x.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))

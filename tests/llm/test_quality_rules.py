@@ -102,3 +102,7 @@ def test_edge_rows(spark):
     assert q.Learner().learn(docs, labels).rules == ()
     assert q.judge(docs.limit(0), rules).count() == 0
     assert q.judge(docs.withColumn("__x", F.lit(1)), rules).filter("__x = 1").count() == 4
+    inner = ["__w", "__z", "__s", "__f", "__lines", "__text", "__row", "n_words"]
+    clash = q.judge(docs.select("doc_id", "text", *[F.lit(1).alias(c) for c in inner]), rules)
+    assert clash.filter("__w + __z + __s + __f + __lines + __text + __row = 7").count() == 4
+    assert sorted(r.n_words for r in clash.collect()) == [0, 0, 0, 60]
