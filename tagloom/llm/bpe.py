@@ -4,13 +4,15 @@ The encoding of a text is reduced over a binary tree: each half is encoded
 by itself, and two neighbours are joined by encoding anew a window round
 their border.  The window grows until the tokens outside it provably stay:
 
-* Between pre-tokens.  A character that is no white space followed by ASCII
-  white space is always a border of the splitting pattern, as no branch of it
-  goes from the one to the other and none looks behind.  Tokens up to the
-  last such place of the left half and from the first one of the right half
-  on don't depend on the other half.
-* Within one pre-token (a run without such a place).  A token sequence is the
-  encoding of its bytes if and only if every two neighbours in it are the
+* Between pre-tokens.  The default pattern puts characters of two classes
+  (letters, numbers, white space, others) into one pre-token only where a
+  space comes first or an apostrophe goes before letters; it looks one
+  character ahead at most and never behind.  So between any other two
+  characters of different classes there is a border, whatever text is round
+  them.  Tokens up to the last such place of the left half and from the first
+  one of the right half on don't depend on the other half.
+* Within one pre-token (a long run without such a place).  A token sequence is
+  the encoding of its bytes if and only if every two neighbours in it are the
   encoding of their joined bytes.  The window over tokens grows until both
   its seams are such pairs.
 
@@ -21,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -37,8 +38,6 @@ LEAF_BYTES = 2048
 WINDOW_CHARS = 64
 WINDOW_TOKENS = 4
 
-_CUT = re.compile(r"(?<=\S)(?=[\x20\x09-\x0D])")
-
 
 def default_ranks() -> str:
     """Path of the public 50k byte-level vocabulary."""
@@ -53,16 +52,58 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+class Classes:
+    """The class of a character, as the tokeniser's own pattern engine has it."""
+
+    NAMES = {"L": r"\p{L}", "N": r"\p{N}", "S": r"\s"}
+
+    def __init__(self):
+        import regex
+        import tiktoken
+
+        single = {bytes([i]): i for i in range(256)}
+        self.engines = {k: tiktoken.Encoding(k, pat_str=p, mergeable_ranks=single, special_tokens={}) for k, p in self.NAMES.items()}
+        self.patterns = {k: regex.compile(p) for k, p in self.NAMES.items()}
+        self.known: dict[str, str] = {}
+        self.alike: dict[str, bool] = {}
+
+    def of(self, c: str) -> str:
+        if c not in self.known:
+            self.known[c] = next((k for k, e in self.engines.items() if e.encode_ordinary(c)), "O")
+        return self.known[c]
+
+    def border(self, x: str, y: str) -> bool:
+        """There is a border of pre-tokens between the two characters in any text."""
+        return x != " " and self.of(x) != self.of(y) and not (x == "'" and self.of(y) == "L")
+
+    def same_in_python(self, text: str) -> bool:
+        """Python's pattern engine has the characters of the text in the same classes."""
+        for c in set(text) - self.alike.keys():
+            self.alike[c] = self.of(c) == next((k for k, p in self.patterns.items() if p.match(c)), "O")
+        return all(self.alike[c] for c in set(text))
+
+
+@lru_cache(maxsize=1)
+def classes() -> Classes:
+    return Classes()
+
+
 class TreeBpe:
-    """Encoder and decoder for one rank file and splitting pattern."""
+    """Encoder and decoder for one rank file and splitting pattern.
+
+    Where pre-tokens end is known of the default pattern; with another one each
+    text is encoded in one go.
+    """
 
     def __init__(self, ranks_path: str, pattern: str, leaf_chars: int = LEAF_CHARS, leaf_bytes: int = LEAF_BYTES, window: int = WINDOW_CHARS):
+        import regex
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.base = tiktoken.Encoding("tree", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = pattern
+        self.pattern, self.splits = regex.compile(pattern), pattern == default_pattern()
+        self.edge = regex.compile(r"(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})|(?<=[^ \p{L}\p{N}])(?=[\p{L}\p{N}\s])")
         self.leaf_chars, self.leaf_bytes, self.window = max(1, leaf_chars), max(1, leaf_bytes), max(1, window)
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
@@ -72,7 +113,7 @@ class TreeBpe:
 
     def encode(self, text: str) -> list[int]:
         """Token ids of a text; the same as encoding it in one go."""
-        if len(text) <= self.leaf_chars:
+        if len(text) <= self.leaf_chars or not self.splits:
             return self.base.encode_ordinary(text)
         middle = len(text) // 2
         left, right = text[:middle], text[middle:]
@@ -80,32 +121,41 @@ class TreeBpe:
 
     def _join(self, left: str, a: list[int], right: str, b: list[int]) -> list[int]:
         start, end = self._last_cut(left), self._first_cut(right)
-        keep_a = len(a) - self._tokens_at_end(a, len(left[start:].encode()))
-        keep_b = self._tokens_at_start(b, len(right[:end].encode()))
-        window = left[start:] + right[:end]
-        middle = self.base.encode_ordinary(window) if len(window) <= 2 * self.leaf_chars else self._encode_run(window)
-        return a[:keep_a] + middle + b[keep_b:]
+        tail, head = left[start:], right[:end]
+        k, m = self._tokens_at_end(a, len(tail.encode())), self._tokens_at_start(b, len(head.encode()))
+        if len(tail) + len(head) <= 8 * self.window or not classes().same_in_python(tail + head):
+            middle = self.base.encode_ordinary(tail + head)
+        else:
+            middle = self._join_run(tail, a[len(a) - k :], head, b[:m])
+        return a[: len(a) - k] + middle + b[m:]
 
     def _last_cut(self, text: str) -> int:
-        """Start of the window in the left half; 0 if it has no safe place."""
-        n = self.window
-        while True:
+        """Where the window starts in the left half: its last sure border, 0 if it has none."""
+        n, seen = self.window, len(text)
+        while seen:
             at = max(0, len(text) - n)
-            found = [m.start() for m in _CUT.finditer(text, at)]
-            if found or at == 0:
-                return found[-1] if found else 0
-            n *= 2
+            for place in reversed([m.start() for m in self.edge.finditer(text, at, seen)]):
+                if at < place and classes().border(text[place - 1], text[place]):
+                    return place
+            seen, n = at + 1 if at else 0, 2 * n
+        return 0
 
     def _first_cut(self, text: str) -> int:
-        m = _CUT.search(text)
-        return m.start() if m else len(text)
+        """Where the window ends in the right half: its first sure border, the end if it has none.
+
+        Not after white space: how that is split depends on what follows, which the window doesn't hold.
+        """
+        for m in self.edge.finditer(text):
+            if 0 < (place := m.start()) < len(text) and classes().of(text[place - 1]) != "S" and classes().border(text[place - 1], text[place]):
+                return place
+        return len(text)
 
     def _tokens_at_end(self, tokens: list[int], n: int) -> int:
         k = 0
         while n > 0:
             k += 1
             n -= len(self.bytes_of[tokens[-k]])
-        assert n == 0, "a safe place is a token border"
+        assert n == 0, "a sure border is a token border"
         return k
 
     def _tokens_at_start(self, tokens: list[int], n: int) -> int:
@@ -113,23 +163,51 @@ class TreeBpe:
         while n > 0:
             n -= len(self.bytes_of[tokens[k]])
             k += 1
-        assert n == 0, "a safe place is a token border"
+        assert n == 0, "a sure border is a token border"
         return k
 
-    def _encode_run(self, text: str) -> list[int]:
-        """A long window without a safe place: by pre-token, each by its own tree."""
-        import regex
-
+    def _join_run(self, tail: str, a: list[int], head: str, b: list[int]) -> list[int]:
+        """A long window without a sure border.
+
+        Pre-tokens that one half has by itself keep its tokens; one made of the
+        last of the left and the first of the right half is joined by tokens;
+        any other is encoded anew.
+        """
+        n = len(tail)
+        own = {m.span(): k for k, m in enumerate(self.pattern.finditer(tail))}
+        other = {(m.start() + n, m.end() + n): k for k, m in enumerate(self.pattern.finditer(head))}
+        parts, more = self._by_piece(a, [tail[s:e] for s, e in own]), self._by_piece(b, [head[s - n : e - n] for s, e in other])
+        last, first = next(reversed(own), None), next(iter(other), None)
         out: list[int] = []
-        for m in regex.finditer(self.pattern, text):
-            out += self._encode_piece(m.group().encode())
+        for m in self.pattern.finditer(tail + head):
+            if m.span() in own:
+                out += parts[own[m.span()]]
+            elif m.span() in other:
+                out += more[other[m.span()]]
+            elif last and first and m.span() == (last[0], first[1]):
+                out += self._join_pieces(parts[-1], more[0])
+            else:
+                out += self._encode_piece(m.group().encode())
+        return out
+
+    def _by_piece(self, tokens: list[int], pieces: list[str]) -> list[list[int]]:
+        out, at = [], 0
+        for p in pieces:
+            k, n = at, len(p.encode())
+            while n > 0:
+                n -= len(self.bytes_of[tokens[k]])
+                k += 1
+            out.append(tokens[at:k])
+            at = k
         return out
 
     def _encode_piece(self, piece: bytes) -> list[int]:
         if len(piece) <= self.leaf_bytes:
             return self.base._encode_single_piece(piece)
         middle = len(piece) // 2
-        a, b = self._encode_piece(piece[:middle]), self._encode_piece(piece[middle:])
+        return self._join_pieces(self._encode_piece(piece[:middle]), self._encode_piece(piece[middle:]))
+
+    def _join_pieces(self, a: list[int], b: list[int]) -> list[int]:
         n = WINDOW_TOKENS
         while True:
             i, j = max(0, len(a) - n), min(len(b), n)
@@ -198,10 +276,13 @@ def digest_documents(docs: DataFrame, text: str = "text", ranks_path: str | None
     """Encode, decode and digest in one pass, without moving ids to the JVM.
 
     Adds n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers)
-    and decoded_sha256 to the columns other than the text.
+    and decoded_sha256 to the columns other than the text; columns that already
+    bear these names are replaced.  A null or empty text has no tokens and the
+    digests of nothing; rows that repeat are digested alike; an empty table
+    gives no rows.
     """
     ranks_path, pattern = ranks_path or default_ranks(), pattern or default_pattern()
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, "n_tokens", "ids_sha256", "decoded_sha256")]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = encoder(ranks_path, pattern)
@@ -218,7 +299,11 @@ def digest_documents(docs: DataFrame, text: str = "text", ranks_path: str | None
 
 
 def count_documents(docs: DataFrame, text: str = "text", ranks_path: str | None = None, pattern: str | None = None, out: str = "n_tokens") -> DataFrame:
-    """The columns other than the text, with the number of tokens."""
+    """The columns other than the text, with the number of tokens.
+
+    A null or empty text has none; rows that repeat are counted each; an empty
+    table gives no rows; a column that already bears the new name is replaced.
+    """
     ranks_path, pattern = ranks_path or default_ranks(), pattern or default_pattern()
     kept = [c for c in docs.columns if c not in (text, out)]
 

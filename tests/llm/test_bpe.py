@@ -30,6 +30,66 @@ def test_tree_equals_one_go(leaf_chars, leaf_bytes, window):
         assert tree.decode(tree.encode(text)) == text.encode()
 
 
+def test_borders_are_sure():
+    """No pre-token of any text goes over a place that the rule calls a border."""
+    import regex
+
+    rng = random.Random(2)
+    pattern = regex.compile(bpe.default_pattern())
+    known = bpe.classes()
+    for _ in range(3000):
+        t = "".join(rng.choice("ab'slrevtdm1²  \t\n\u00a0\u3000é中。、ー!?'-_🙂") for _ in range(rng.randrange(30)))
+        inside = {i for m in pattern.finditer(t) for i in range(m.start() + 1, m.end())}
+        assert not any(known.border(t[i - 1], t[i]) for i in inside), t
+    assert known.border("a", " ") and known.border("中", "。") and known.border("\t", "a") and not known.border(" ", "a") and not known.border("'", "s")
+
+
+def long_texts():
+    rng = random.Random(4)
+    kana = "".join(chr(c) for c in range(0x3042, 0x3094)) + "日本語文字列処理東京都市場野菜"
+    japanese = "".join("".join(rng.choice(kana) for _ in range(rng.randrange(4, 40))) + rng.choice("。、！？") for _ in range(6_000))
+    return {
+        "japanese": japanese,
+        "one run": "".join(rng.choice(kana) for _ in range(100_000)),
+        "letters": "".join(rng.choice("abcdefgh") for _ in range(150_000)),
+        "spaces": " " * 50_000 + "x" + "\n" * 50_000 + " y",
+        "marks": "'" * 40_000 + "s" * 3 + "!?" * 30_000,
+        "prose": " ".join("".join(rng.choice("etaoin shrdlu") for _ in range(6)) for _ in range(30_000)),
+    }
+
+
+@pytest.mark.parametrize("kind", ["japanese", "one run", "letters", "spaces", "marks", "prose"])
+def test_long_texts_at_production_sizes(kind):
+    """Equal to one go; a bounded part is encoded again at each join, also where there are no spaces.
+
+    Runs of one character have no such bound: their tokens are shifted from end to end by one more character.
+    """
+    text = long_texts()[kind]
+    tree = bpe.TreeBpe(bpe.default_ranks(), bpe.default_pattern())
+    want = tree.base.encode_ordinary(text)
+    whole, single = tree.base.encode_ordinary, tree.base._encode_single_piece
+    done = {"bytes": 0}
+
+    def counted(f):
+        def run(x):
+            done["bytes"] += len(x.encode() if isinstance(x, str) else x)
+            return f(x)
+
+        return run
+
+    tree.base.encode_ordinary, tree.base._encode_single_piece = counted(whole), counted(single)
+    assert tree.encode(text) == want
+    n = len(text.encode())
+    joins = len(text) / (bpe.LEAF_CHARS / 2)
+    assert kind in ("spaces", "marks") or done["bytes"] - n < 1000 * joins
+    assert tree.decode(want) == text.encode()
+
+
+def test_other_patterns_go_in_one_piece():
+    tree = bpe.TreeBpe(bpe.default_ranks(), r"..|.", 1, 1, 1)
+    assert tree.encode("hello world") == tree.base.encode_ordinary("hello world")
+
+
 def test_columns_nulls_and_clashes(spark):
     rows = [(1, "hello world", 7), (None, None, 8), (1, "hello world", 7), (2, "", 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, token_ids long")
