@@ -22,6 +22,10 @@ After ``PIVOT_ROUNDS`` rounds the members of different components in buckets
 that are still open are all compared, in blocks, so no bucket is cut short and
 no component is missed.
 Components are found by alternating star contraction on tables.
+
+A class is a component: its members are linked, if need be through others.  So
+two of them may be less similar than the threshold, and the document kept may
+be so to one that goes; each member is at least linked to another one.
 """
 
 from __future__ import annotations
@@ -30,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import blocks, cut_lineage, cut_small
+from tagloom.llm.common import blocks, cut_lineage, cut_small, fresh_name
 
 WORDS = 5
 #: Bands and components in each: a pair of similarity 0.8 shares a band with a probability over 0.9999.
@@ -41,8 +46,10 @@ BANDS, ROWS = 20, 4
 COMPONENTS = BANDS * ROWS
 SIMILARITY = 0.8
 PIVOT_ROUNDS = 2
-#: Members of a bucket that are compared with another such block in one task.
-BLOCK = 512
+#: Members of a bucket, and bytes of their texts, that are compared with another such block in one task.
+BLOCK, BLOCK_TEXT = 512, 8 << 20
+#: Components in which members of a block must agree to be compared: at a similarity of 0.8 a pair fails with a probability of 1e-7.
+LEAST_AGREEMENT = 46
 #: Texts are hashed in pieces of about so many bytes.
 PIECE = 1 << 20
 
@@ -166,6 +173,11 @@ def band_hashes(found: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def short_values(found: np.ndarray) -> np.ndarray:
+    """The components in 16 bits each: equal ones stay equal."""
+    return (mix64(found.view(_U)) >> _U(48)).astype("<u2")
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two results of ``shingles``."""
     both, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -175,44 +187,52 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 # -- tables -----------------------------------------------------------------
 
+LINKS = "a binary, b binary, similarity double"
+
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(id, key, n, bands) of rows (id, key, text) whose text has a word."""
+    """(id, key, n, size, bands, sig) of rows (id, key, text) whose text has a word: shingles, bytes, bands, short components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            keep, n, bands = [], [], []
-            for i, t in enumerate(block["text"].to_pylist()):
-                e, w = shingles(t)
+            keep, n, bands, sigs = [], [], [], []
+            for i in range(block.num_rows):
+                e, w = shingles(block["text"][i].as_py())
                 if len(e):
                     keep.append(i)
                     n.append(int(w.sum()))
-                    bands.append(band_hashes(signature(e, w)))
+                    found = signature(e, w)
+                    bands.append(band_hashes(found))
+                    sigs.append(short_values(found).tobytes())
             flat = pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), flat)
             at = pa.array(keep, pa.int32())
-            yield pa.RecordBatch.from_arrays([block["id"].take(at), block["key"].take(at), pa.array(n, pa.int64()), lists], names=["id", "key", "n", "bands"])
+            size = pc.binary_length(block["text"]).cast(pa.int64())
+            columns = [block["id"].take(at), block["key"].take(at), pa.array(n, pa.int64()), size.take(at), lists, pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "n", "size", "bands", "sig"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, key binary, n long, bands array<long>")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, key binary, n long, size long, bands array<long>, sig binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of keys whose texts are similar enough. Both joins are by key, so that a hot one can be split."""
+    """(a, b, similarity) of the pairs of keys whose texts are similar enough. Both joins are by key, so that a hot one can be split."""
     x = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     x = x.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, sh = None, None
         for block in blocks(batches, "text_b"):
-            ok = []
+            near = []
             a, ta, tb = block["a"].to_pylist(), block["text_a"], block["text_b"]
             for i in range(block.num_rows):
                 if a[i] != last:
                     last, sh = a[i], shingles(ta[i].as_py())
-                ok.append(similarity(sh, shingles(tb[i].as_py())) >= threshold - 1e-12)
-            yield block.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                near.append(similarity(sh, shingles(tb[i].as_py())))
+            near = pa.array(near, pa.float64())
+            out = pa.RecordBatch.from_arrays([block["a"], block["b"], near], names=["a", "b", "similarity"])
+            yield out.filter(pc.greater_equal(near, threshold - 1e-12))
 
-    return x.mapInArrow(run, "a binary, b binary")
+    return x.mapInArrow(run, LINKS)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,43 +255,57 @@ def _are_stars(edges: DataFrame) -> bool:
     return ends.groupBy("k").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
-def _linked_in_blocks(live: DataFrame, texts: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between different components of large buckets.
+def _pairs_of_blocks(live: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of buckets (bucket, band, key, label) for each pair (i, j) of blocks that theirs is in.
 
-    Members are dealt to blocks of about BLOCK; a pair of blocks is one group
-    of rows, which one task works through: so a text is sent once for each
-    block and not once for each partner, and what a task holds is bounded.  A
-    pair of texts belongs to the first band they agree in.  Pairs that agree
-    in most bands are compared first, and none whose components are joined by
-    then.
+    Blocks have about BLOCK members and BLOCK_TEXT bytes; so a text is sent
+    once for each block and not once for each partner, and what a pair of
+    blocks holds is bounded.
     """
-    sizes = live.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    x = live.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    x = live.select("bucket", "band", "key", "label").join(nodes.select("key", "n", "size", "sig"), "key")
+    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_TEXT)
+    sizes = live.select("bucket", "key").join(nodes.select("key", "size"), "key").groupBy("bucket").agg(F.ceil(most).cast("int").alias("blocks"))
+    x = x.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    x = x.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n")
-    x = x.join(bands, "key").join(texts, "key")
-    parts = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = x.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    x = x.select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sig")
+    return x.join(texts, "key")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
-        for block in blocks(batches, "text"):
-            for r in block.to_pylist():
-                if (r["bucket"], r["i"], r["j"]) != group:
-                    if len(rows) > 1:
-                        yield from _block_links(rows, threshold)
-                    group, rows = (r["bucket"], r["i"], r["j"]), []
-                rows.append(r)
-        if len(rows) > 1:
-            yield from _block_links(rows, threshold)
 
-    return x.mapInArrow(run, "a binary, b binary")
+def _linked_in_blocks(live: DataFrame, texts: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) between different components of buckets (bucket, band, key, label).
 
+    One task works through a pair of blocks.  A pair of texts belongs to the
+    first band they agree in.  Pairs that agree in too few components aren't
+    looked at; those that agree in most come first, and none whose components
+    are joined by then.
+    """
+    x = _pairs_of_blocks(live, texts, nodes)
+    parts = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = x.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
 
-def _block_links(rows: list[dict], threshold: float) -> Iterator[pa.RecordBatch]:
-    bands, n = np.array([r["bands"] for r in rows], np.int64), np.array([r["n"] for r in rows], float)
-    own, at = np.array([r["own"] for r in rows]), (bands == rows[0]["bucket"]).argmax(axis=1)
-    root = {r["label"]: r["label"] for r in rows}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+        for block in blocks(batches, "text"):
+            at = np.stack([block[c].to_numpy() for c in ("bucket", "i", "j")])
+            cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), block.num_rows]):
+                if (here := tuple(at[:, s].tolist())) != group:
+                    yield from _block_links(group, held, threshold)
+                    group, held = here, []
+                held.append(block.slice(s, e - s))
+        yield from _block_links(group, held, threshold)
+
+    return x.mapInArrow(run, LINKS)
+
+
+def _block_links(group: tuple[int, int, int] | None, held: list[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    if sum(h.num_rows for h in held) < 2:
+        return
+    rows = pa.Table.from_batches(held)
+    sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), "<u2").reshape(-1, COMPONENTS)
+    n, own, band = rows["n"].to_numpy().astype(float), rows["own"].to_numpy(), rows["band"][0].as_py()
+    keys, label = rows["key"].to_pylist(), rows["label"].to_pylist()
+    root = {k: k for k in label}
 
     def find(k: bytes) -> bytes:
         while root[k] != k:
@@ -279,38 +313,48 @@ def _block_links(rows: list[dict], threshold: float) -> Iterator[pa.RecordBatch]
             k = root[k]
         return k
 
-    todo: list[np.ndarray] = []
-    for p in range(len(rows) - 1):
-        same = bands[p + 1 :] == bands[p]
-        q = np.arange(p + 1, len(rows))
-        mine = (same.argmax(axis=1) == at[p]) & (np.minimum(n[q], n[p]) >= (threshold - 1e-12) * np.maximum(n[q], n[p]))
-        if rows[0]["i"] != rows[0]["j"]:
+    bands = lambda same: same.reshape(-1, BANDS, ROWS).all(axis=2)
+    first, second, agreement = [], [], []
+    for p in range(len(sig) - 1):
+        same = sig[p + 1 :] == sig[p]
+        q = np.arange(p + 1, len(sig))
+        agree = same.sum(axis=1)
+        mine = (agree >= LEAST_AGREEMENT) & (bands(same).argmax(axis=1) == band) & (np.minimum(n[q], n[p]) >= (threshold - 1e-12) * np.maximum(n[q], n[p]))
+        if group[1] != group[2]:
             mine &= own[q] != own[p]
-        agree = same.sum(axis=1)[mine]
-        todo.append(np.stack([-agree, np.full(len(agree), p), q[mine]], axis=1))
-    pairs = np.concatenate(todo)
+        q = q[mine].astype(np.int32)
+        first.append(np.full(len(q), p, np.int32))
+        second.append(q)
+        agreement.append(agree[mine].astype(np.int16))
+    order = np.argsort(-np.concatenate(agreement), kind="stable")
+    first, second = np.concatenate(first)[order], np.concatenate(second)[order]
     known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    a, b = [], []
-    for _, p, q in pairs[np.argsort(pairs[:, 0], kind="stable")].tolist():
-        x, y = find(rows[p]["label"]), find(rows[q]["label"])
+    a, b, near = [], [], []
+    for p, q in zip(map(int, first), map(int, second)):
+        x, y = find(label[p]), find(label[q])
         if x == y:
             continue
         for i in (p, q):
             if i not in known:
-                known[i] = shingles(rows[i]["text"])
-        if similarity(known[p], known[q]) >= threshold - 1e-12:
+                known[i] = shingles(rows["text"][i].as_py())
+        if (s := similarity(known[p], known[q])) >= threshold - 1e-12:
             root[max(x, y)] = min(x, y)
-            a.append(rows[p]["key"])
-            b.append(rows[q]["key"])
+            a.append(keys[p])
+            b.append(keys[q])
+            near.append(s)
     if a:
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(near, pa.float64())], names=["a", "b", "similarity"])
 
 
-def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, class_size and kept.
+def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY, links: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, class_size, kept and text_key.
 
     class_id is the least id in the class, class_size its number of rows; kept
     marks the row of that id (rows that repeat id and text are all marked).
+    With ``links`` also near_id and near_similarity: of the texts that the
+    row's text was found similar enough to, the most similar one (its least
+    id), null if its class has no other text.  Such links hold each class
+    together; pairs within a class that needn't be compared for that are not.
 
     * A null text or one without a word is in a class of its own.
     * Rows with a null id have a part in classes but never give their name
@@ -318,26 +362,26 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
     rows = docs.select(F.col(doc_id).alias("id"), key.alias("key"), F.col(text).alias("text"))
-    nodes = _signed(rows.filter(F.col("text").isNotNull())).groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"))
+    nodes = _signed(rows.filter(F.col("text").isNotNull())).groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min("size").alias("size"), F.min("bands").alias("bands"), F.min("sig").alias("sig"))
     nodes = cut_lineage(nodes)
 
     # Buckets of more than one text; pivots are the members that share most places with others.
-    places = nodes.select("key", "n", F.explode("bands").alias("bucket"))
+    places = nodes.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
     sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     places = cut_small(places.join(sizes, "bucket"))
     degrees = places.groupBy("key").agg(F.sum("size").alias("degree"))
-    places = cut_small(places.select("bucket", "key", "n").join(degrees, "key"))
+    places = cut_small(places.select("bucket", "band", "key", "n").join(degrees, "key"))
     needed = places.select("key").distinct().join(nodes.select("key", "id"), "key")
     texts = rows.join(needed, (rows["key"] == needed["key"]) & rows["id"].eqNullSafe(needed["id"])).select(rows["key"], "text")
     texts = cut_small(texts.groupBy("key").agg(F.first("text").alias("text")), 2_000)
 
     close = F.least("n_a", "n_b") >= (threshold - 1e-12) * F.greatest("n_a", "n_b")
-    labels, tried = None, None
+    labels, tried, seen = None, None, None
     live = places.withColumn("label", F.col("key"))
     for turn in range(PIVOT_ROUNDS + 1):
         if turn:
             # Only buckets that still hold more than one component, and more than one member that was no pivot.
-            live = places.join(labels, "key", "left").select("bucket", places["key"], "n", "degree", F.coalesce("label", places["key"]).alias("label"))
+            live = places.join(labels, "key", "left").select("bucket", "band", places["key"], "n", "degree", F.coalesce("label", places["key"]).alias("label"))
             mixed = live.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("c")).filter(f"x <> y AND c > {turn + 1}").select("bucket")
             live = cut_small(live.join(mixed, "bucket"))
             if live.isEmpty():
@@ -345,7 +389,7 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         elif PIVOT_ROUNDS == 0:
             live = cut_small(live)
         if turn == PIVOT_ROUNDS:
-            found = cut_small(_linked_in_blocks(live.drop("degree"), texts, nodes.select("key", "bands"), threshold))
+            found = cut_small(_linked_in_blocks(live, texts, nodes, threshold))
         else:
             free = live
             if turn:  # a member is pivot of a bucket once
@@ -357,12 +401,21 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             pairs = others.join(pivots, "bucket").filter(close & (F.col("a") != F.col("b")) & ((F.col("label_a") != F.col("label_b")) if turn else F.lit(True)))
             found = cut_small(_verified(pairs.select("a", "b").distinct(), texts, threshold))
         # The stars of the components so far stand for all earlier links.
-        links = found if labels is None else found.unionAll(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
-        labels = cut_small(components(links))
+        seen = found if seen is None else seen.unionAll(found)
+        found = found.select("a", "b")
+        joined = found if labels is None else found.unionAll(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
+        labels = cut_small(components(joined))
 
     named = nodes.join(labels, "key", "left").select("key", "id", "copies", F.coalesce("label", nodes["key"]).alias("label"))
     classes = named.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("first"), F.sum("copies").alias("class_size"))
     where = named.select("key", "label").join(classes, "label").select("key", F.col("first.id").alias("class_id"), F.col("first.key").alias("class_key"), "class_size")
+    more = []
+    if links:
+        both = seen.unionAll(seen.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
+        best = both.groupBy("a").agg(F.max_by(F.struct("b", "similarity"), F.struct("similarity", "b")).alias("m")).select(F.col("a").alias("key"), F.col("m.b").alias("near"), F.col("m.similarity").alias("near_similarity"))
+        best = best.join(nodes.select(F.col("key").alias("near"), F.col("id").alias("near_id")), "near").drop("near")
+        where = where.join(best, "key", "left")
+        more = ["near_id", "near_similarity"]
     out = rows.select("id", "key").join(where, "key", "left")
     kept = F.col("class_key").isNull() | ((F.col("key") == F.col("class_key")) & F.col("id").eqNullSafe(F.col("class_id")))
     return out.select(
@@ -371,13 +424,19 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
         kept.alias("kept"),
         F.col("key").alias("text_key"),
+        *more,
     )
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` with one row of each class, the one of the least id."""
-    classes = duplicate_classes(docs, doc_id, text, threshold).filter("kept").select(F.col(doc_id).alias("__id"), F.col("text_key").alias("__key"))
-    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
-    c = classes.distinct()
-    joined = keyed.join(c, (keyed["__key"] == c["__key"]) & keyed[doc_id].eqNullSafe(c["__id"])).select(*[keyed[x] for x in docs.columns], keyed["__key"].alias("__k"))
-    return joined.dropDuplicates([doc_id, "__k"]).select(*docs.columns)
+    """The rows of ``docs`` with one row of each class, the one of the least id.
+
+    What goes is linked to what stays, if need be through others (see above).
+    A null text and one without a word stay, unless id and text repeat: of rows
+    that agree in both one stays.  An empty table gives no rows.
+    """
+    key, of = fresh_name(docs, "__key"), fresh_name(docs, "__id")
+    kept = duplicate_classes(docs, doc_id, text, threshold).filter("kept").select(F.col(doc_id).alias(of), F.col("text_key").alias("text_key")).distinct()
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
+    joined = keyed.join(kept.withColumnRenamed("text_key", f"{key}_"), (F.col(key) == F.col(f"{key}_")) & F.col(doc_id).eqNullSafe(F.col(of)), "left_semi")
+    return joined.dropDuplicates([doc_id, key]).select(*docs.columns)

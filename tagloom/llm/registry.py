@@ -75,7 +75,7 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
+    return near_dup.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), links=True).drop("text_key")
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

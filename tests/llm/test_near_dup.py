@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,14 +88,93 @@ def corpus(rng, hubs=3, copies=8):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("rounds,block", [(0, 5), (1, 512), (2, 3)])
-def test_classes_against_all_pairs(spark, monkeypatch, rounds, block):
+@pytest.mark.parametrize("rounds,block,size", [(0, 5, 1 << 20), (1, 512, 3000), (2, 3, 1 << 20)])
+def test_classes_against_all_pairs(spark, monkeypatch, rounds, block, size):
     monkeypatch.setattr(nd, "PIVOT_ROUNDS", rounds)
     monkeypatch.setattr(nd, "BLOCK", block)
+    monkeypatch.setattr(nd, "BLOCK_TEXT", size)
     rows = corpus(random.Random(rounds))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in nd.duplicate_classes(df).collect()}
-    assert got == brute(rows)
+    out = nd.duplicate_classes(df, links=True).collect()
+    want = brute(rows)
+    assert {r.doc_id: r.class_id for r in out} == want
+    # Every text that has another in its class names one that it is similar enough to.
+    text = dict(rows)
+    for r in out:
+        others = {text[d] for d, c in want.items() if c == r.class_id} - {text[r.doc_id]}
+        assert (r.near_id is None) == (not others)
+        if others:
+            assert want[r.near_id] == r.class_id and text[r.near_id] != text[r.doc_id]
+            assert abs(jaccard(bag(text[r.doc_id]), bag(text[r.near_id])) - r.near_similarity) < 1e-12 and r.near_similarity >= 0.8
+
+
+def test_blocks_hold_a_bounded_part_of_a_bucket(spark, monkeypatch):
+    """600 texts of one bucket, most of them not similar enough: pairs of blocks are bounded in bytes, and no link is lost."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    common, texts = [word() for _ in range(200)], []
+    for i in range(600):
+        own = texts[-1].split()[200:] + ["x"] if i % 10 == 9 else [word() for _ in range(60)]
+        texts.append(" ".join(common + own))
+    key = lambda i: i.to_bytes(2, "big")
+    nodes = []
+    for i, t in enumerate(texts):
+        shingles = nd.shingles(t)
+        sig = nd.short_values(nd.signature(*shingles))
+        sig[: nd.ROWS] = 1  # the bucket's band
+        nodes.append((key(i), int(shingles[1].sum()), len(t), bytearray(sig.tobytes())))
+    live = spark.createDataFrame([(7, 0, key(i), key(i)) for i in range(600)], "bucket long, band int, key binary, label binary")
+    nodes = spark.createDataFrame(nodes, "key binary, n long, size long, sig binary")
+    whole = spark.createDataFrame([(key(i), t) for i, t in enumerate(texts)], "key binary, text string")
+    monkeypatch.setattr(nd, "BLOCK_TEXT", sum(map(len, texts)) // 12)
+    held = nd._pairs_of_blocks(live, whole, nodes).groupBy("bucket", "i", "j").agg(F.sum(F.length("text")).alias("n")).collect()
+    assert len(held) == 12 * 13 // 2 and max(r.n for r in held) <= 2 * 1.6 * nd.BLOCK_TEXT
+    got = {frozenset((int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big"))) for r in nd._linked_in_blocks(live, whole, nodes, 0.8).collect()}
+    assert got == {frozenset((i, i - 1)) for i in range(9, 600, 10)}
+
+
+def test_recall_by_similarity():
+    """Pairs of made-up texts share a band and agree enough wherever they are similar enough; the share of the rest falls off."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    found, total = [0] * 10, [0] * 10
+    for _ in range(1500):
+        a = [word() for _ in range(rng.randrange(30, 300))]
+        b = list(a)
+        for _ in range(rng.randrange(len(a) // 8 + 1)):
+            b[rng.randrange(len(b))] = word()
+        x, y = (nd.shingles(" ".join(t)) for t in (a, b))
+        s = nd.similarity(x, y)
+        f, g = nd.signature(*x), nd.signature(*y)
+        at = min(9, int(10 * s))
+        total[at] += 1
+        found[at] += bool((nd.band_hashes(f) == nd.band_hashes(g)).any() and (nd.short_values(f) == nd.short_values(g)).sum() >= nd.LEAST_AGREEMENT)
+    assert total[8] > 100 and total[9] > 100 and found[8:] == total[8:]
+    assert found[4] < 0.5 * total[4]
+
+
+def test_recall_on_documents():
+    """All pairs of different texts of 10,000 documents, through an index of shingles: none of 0.8 or more is missed."""
+    t = pq.read_table("/root/testdata/sf0.1/documents.parquet")["text"].to_pylist()
+    sets = [s for s in map(nd.shingles, dict.fromkeys(x for x in t if x)) if len(s[0])]
+    element, weight = np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets])
+    doc = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
+    order = np.argsort(element, kind="stable")
+    element, weight, doc = element[order], weight[order], doc[order]
+    cuts = [0, *(np.flatnonzero(np.diff(element)) + 1).tolist(), len(element)]
+    common = np.zeros((len(sets), len(sets)), np.int32)
+    for a, b in zip(cuts, cuts[1:]):
+        if b - a > 1:
+            common[np.ix_(doc[a:b], doc[a:b])] += np.minimum.outer(weight[a:b], weight[a:b]).astype(np.int32)
+    n = np.array([s[1].sum() for s in sets])
+    i, j = np.nonzero(np.triu(common, 1))
+    near = common[i, j] >= 0.8 * (n[i] + n[j] - common[i, j])
+    pairs = list(zip(i[near].tolist(), j[near].tolist()))
+    assert len(pairs) > 30
+    sig = {k: nd.signature(*sets[k]) for k in {x for p in pairs for x in p}}
+    for a, b in pairs:
+        assert (nd.band_hashes(sig[a]) == nd.band_hashes(sig[b])).any()
+        assert (nd.short_values(sig[a]) == nd.short_values(sig[b])).sum() >= nd.LEAST_AGREEMENT
 
 
 def test_edge_rows(spark):
