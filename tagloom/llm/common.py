@@ -41,15 +41,26 @@ def bound_batches(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where neither that setting nor setCheckpointDir() names one (tests,
-    local runs) a temporary folder is set.
+    Where neither that setting nor setCheckpointDir() names one, local runs
+    (tests) get a temporary folder; on a cluster that is an error, as no folder
+    of one machine would do.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of a result that is no longer read."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

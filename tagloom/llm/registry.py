@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from tagloom.llm import bpe, language_id, mixing_query, near_dup, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter
+from tagloom.llm import bpe, language_id, mixing_query, near_dup, pipeline, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -93,7 +92,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
         "op1_mix_sources": mixing_query.op1_mix_sources,
         "op2_quality_rules": quality_query.op2_quality_rules,
         "op3_suffix_dedup": op3_suffix_dedup,
@@ -108,5 +107,5 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    known = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    known = {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
     return known | {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL, "op8_topk_search": OP8_SQL}
