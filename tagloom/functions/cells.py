@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.functions.numbers import fixed, fixed_exact, to_double
+from tagloom.functions.numbers import fixed, to_double
 from tagloom.functions.text import strip
 from tagloom.schema import ABSENT, COMMA_PRICES, COORDINATES, DOT_PRICES
 
@@ -19,19 +19,18 @@ def plain_cell(s: Column, compat: bool = False) -> Column:
     return F.when(s.rlike('[,"]' if compat else '[,"\n\r]'), quoted(s)).otherwise(s)
 
 
-def cell(field: str, value: Column, exact: bool = False, compat: bool = False) -> Column:
+def cell(field: str, value: Column, compat: bool = False) -> Column:
     """Text of a field: coordinates and shelf prices with a quoted comma, code prices with a point, times as whole numbers."""
     s = strip(value.cast("string"))
     number = to_double(value)
-    text = fixed_exact if exact else fixed
     other = s if compat else plain_cell(s)
-    comma = lambda places: F.concat(F.lit('"'), F.replace(text(number, places), F.lit("."), F.lit(",")), F.lit('"'))
+    comma = lambda places: F.concat(F.lit('"'), F.replace(fixed(number, places), F.lit("."), F.lit(",")), F.lit('"'))
     if field in COORDINATES:
         out = F.when(number.isNull(), other).otherwise(comma(1))
     elif field in COMMA_PRICES:
         out = F.when(number.isNull(), other).otherwise(comma(2))
     elif field in DOT_PRICES:
-        out = F.when(number.isNull(), other).otherwise(text(number, 2))
+        out = F.when(number.isNull(), other).otherwise(fixed(number, 2))
     elif field == "frame_timestamp":
         out = F.when(s.contains(",") | number.isNull(), other).otherwise(number.cast("long").cast("string"))
     else:

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from tagloom.functions.numbers import price_text
 from tagloom.functions.text import digits_only, strip
@@ -33,14 +30,14 @@ def fields_of(m: Column, fields: list[str] | None = None) -> list[Column]:
 
 
 def nfkc(s: Column) -> Column:
-    """Compatibility composition. Only needed outside ASCII; filter such rows first, as a Python function sees every row."""
+    """Compatibility composition (NFKC) on the JVM, by the ICU library that Spark ships; ASCII text doesn't reach it."""
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), s, F.lit(True))
+    return F.when(s.rlike(r"[^\x00-\x7F]"), composed).otherwise(s)
 
-    @pandas_udf("string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for p in parts:
-            yield p.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
-    return run(s)
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def unquoted(s: Column) -> Column:
@@ -52,38 +49,43 @@ def unquoted(s: Column) -> Column:
 def parse_payload(payload: Column, keys: dict[str, list[str]] | None = None, prices: list[str] | None = None) -> Column:
     """map<string,string> of a payload such as ``b=467...|p1=252.63``.
 
-    Twelve to fourteen digits alone are the code; pairs of known keys (any
-    case) go to their fields, the last of a key wins; the rest is gathered
-    under ``_extra``.  The text must already be in NFKC form where it matters.
+    The text is brought into NFKC form first, so full-width digits and signs
+    are read as plain ones.  Twelve to fourteen digits alone are the code;
+    pairs of known keys (any case) go to their fields, the last of a key wins;
+    the rest is gathered under ``_extra``.
     """
     keys, prices = keys or PAYLOAD_KEYS, prices or DOT_PRICES
     alias = F.create_map(*[F.lit(x) for field, names in keys.items() for n in names for x in (n.lower(), field)])
-    raw = strip(unquoted(strip(payload)))
-    plain = digits_only(raw)
     code = lambda v: F.create_map(F.lit("qr_code_barcode"), v)
     empty = F.from_json(F.lit("{}"), "map<string,string>")
     pattern = r"(?s)^([A-Za-z][A-Za-z0-9]*)(?U:\s*)[=:](?U:\s*)(.+)\z"
-    parts = F.filter(F.transform(F.split(raw, r"[|&;\n]+"), strip), lambda p: p != "")
 
     def pair(p: Column) -> Column:
-        field = F.try_element_at(alias, F.lower(F.regexp_extract(p, pattern, 1)))
-        value = strip(F.regexp_extract(p, pattern, 2))
-        digits = digits_only(value)
-        read = F.when(field == "qr_code_barcode", F.when(digits != "", digits).otherwise(value)).when(field.isin(prices), price_text(value)).otherwise(value)
-        return F.struct(F.coalesce(field, F.lit(EXTRA)).alias("key"), F.when(field.isNull(), p).otherwise(read).alias("value"))
-
-    pairs = F.transform(parts, pair)
-    known = F.filter(pairs, lambda e: e["key"] != EXTRA)
-    last = F.aggregate(
-        known,
-        F.filter(known, lambda e: F.lit(False)),
-        lambda acc, e: F.concat(F.filter(acc, lambda z: z["key"] != e["key"]), F.array(e)),
-    )
-    rest = F.transform(F.filter(pairs, lambda e: e["key"] == EXTRA), lambda e: e["value"])
-    extra = F.when(F.size(rest) > 0, F.array(F.struct(F.lit(EXTRA).alias("key"), F.array_join(rest, " | ").alias("value")))).otherwise(F.filter(known, lambda e: F.lit(False)))
-    by_key = F.map_from_entries(F.concat(last, extra))
-    unpaired = F.when(F.length(plain).between(12, 14), code(plain)).otherwise(F.create_map(F.lit(EXTRA), raw))
-    return F.when(raw == "", empty).when(raw.rlike(r"^[0-9]{12,14}\z"), code(raw)).when(~raw.contains("=") & ~raw.contains(":"), unpaired).otherwise(by_key)
+        said = F.struct(F.try_element_at(alias, F.lower(F.regexp_extract(p, pattern, 1))).alias("field"), strip(F.regexp_extract(p, pattern, 2)).alias("value"))
+
+        def read(m: Column) -> Column:
+            field, value = m["field"], m["value"]
+            plain = F.when(digits_only(value) != "", digits_only(value)).otherwise(value)
+            known = F.when(field == "qr_code_barcode", plain).when(field.isin(prices), price_text(value)).otherwise(value)
+            return F.struct(F.coalesce(field, F.lit(EXTRA)).alias("key"), F.when(field.isNull(), p).otherwise(known).alias("value"))
+
+        return bound(said, read)
+
+    def by_key(pairs: Column) -> Column:
+        """The last value of each key, keys in the order of these; what has no key at the end."""
+        names = F.transform(pairs, lambda e: e["key"])
+        last = F.filter(pairs, lambda e, i: (e["key"] != EXTRA) & ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+        rest = F.transform(F.filter(pairs, lambda e: e["key"] == EXTRA), lambda e: e["value"])
+        extra = F.filter(F.array(F.struct(F.lit(EXTRA).alias("key"), F.array_join(rest, " | ").alias("value"))), lambda e: F.size(rest) > 0)
+        return F.map_from_entries(F.concat(last, extra))
+
+    def parsed(raw: Column) -> Column:
+        digits = digits_only(raw)
+        unpaired = F.when(F.length(digits).between(12, 14), code(digits)).otherwise(F.create_map(F.lit(EXTRA), raw))
+        pairs = F.transform(F.filter(F.transform(F.split(raw, r"[|&;\n]+"), strip), lambda p: p != ""), pair)
+        return F.when(raw == "", empty).when(raw.rlike(r"^[0-9]{12,14}\z"), code(raw)).when(~raw.contains("=") & ~raw.contains(":"), unpaired).otherwise(bound(pairs, by_key))
+
+    return bound(strip(unquoted(strip(nfkc(payload)))), parsed)
 
 
 def chat_record(image: Column, prompt: str, fields: list[str] | None = None) -> Column:

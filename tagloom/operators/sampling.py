@@ -53,8 +53,9 @@ def systematic_split(rows: DataFrame, order: list[str], share: float, name: str
 
 def hashed_split(rows: DataFrame, key: str, share: float, seed: int = 42, name: str = "split") -> DataFrame:
     """Seeded split by hash of the key: no shuffle; the share holds on average."""
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / 1_000_000
-    return rows.withColumn(name, F.when(u < share, "val").otherwise("train"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1_000_000
+    return rows.withColumn(name, F.when(u < round(share * 1_000_000), "val").otherwise("train"))
 
 
 def shuffled_split(names: list[str], share: float, seed: int = 42) -> dict[str, str]:

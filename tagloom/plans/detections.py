@@ -140,9 +140,9 @@ def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.numbered(load(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], "line", 2)
 
 
-@register("unfinished_work", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@register("unfinished_work", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000)")
 def unfinished_work(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    done = load(spark, sf_dir, "orders").filter("o_orderstatus = 'F' AND o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey"))
     return sampling.unfinished(load(spark, sf_dir, "customer").select("c_custkey"), done, ["c_custkey"])
 
 

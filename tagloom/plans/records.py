@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions import cells, codes, geometry, naming, numbers, payload, text
-from tagloom.operators import datasets, evaluation, matching, overlay, validate
+from tagloom.operators import datasets, evaluation, matching, overlay, sampling, validate
 from tagloom.plans.catalog import load, register
 from tagloom.plans.detections import CHECK, with_check_digit
 from tagloom.schema import ABSENT, COLUMNS, archetypes
@@ -100,7 +100,10 @@ def kv_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.lit("4670025"), F.lpad(key.cast("string"), 6, "0"))
     price = F.replace(F.format_string("%.2f", "p_retailprice"), F.lit("."), F.lit(","))
     pairs = F.concat(F.lit("b="), code, F.lit("|p1=1.00|P1: "), price, F.lit(";wl1c="), F.col("p_size").cast("string"), F.lit("&foo=1"))
-    m = load(spark, sf_dir, "part").select("p_partkey", payload.parse_payload(F.when(key % 7 == 0, code).otherwise(pairs)).alias("m"))
+    said = F.when(key % 7 == 0, code).otherwise(pairs)
+    plain = "".join(map(chr, range(0x21, 0x7F)))
+    wide = F.translate(said, plain, "".join(chr(ord(c) + 0xFEE0) for c in plain))
+    m = load(spark, sf_dir, "part").select("p_partkey", payload.parse_payload(F.when(key % 5 == 1, wide).otherwise(said)).alias("m"))
     names = {"qr_code_barcode": "qr_code_barcode", "price1_qr": "price1_qr", "wholesale_level_1_count": "wholesale_level_1_count", payload.EXTRA: "extra"}
     return m.select("p_partkey", *[F.try_element_at("m", F.lit(k)).alias(v) for k, v in names.items()])
 
@@ -367,9 +370,20 @@ def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.interval_join(side("click", "click"), side("purchase", "purchase"), ["user_id"], "click_ms", "purchase_ms", 1_500_000).select("user_id", "click_id", "purchase_id")
 
 
-@register("greedy_match")
+@register(
+    "greedy_match",
+    """
+    WITH RECURSIVE edges AS (SELECT a.user_id, a.event_id AS p_ord, b.event_id AS g_ord FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase'
+                     AND abs(epoch_us(a.ts) // 1000 - epoch_us(b.ts) // 1000) <= 21600000),
+    p AS (SELECT user_id, p_ord, list(g_ord ORDER BY g_ord) AS gs, row_number() OVER (PARTITION BY user_id ORDER BY p_ord) AS n FROM edges GROUP BY user_id, p_ord),
+    r AS (SELECT user_id, 0::BIGINT AS n, []::BIGINT[] AS used, NULL::BIGINT AS p_ord, NULL::BIGINT AS g_ord FROM p GROUP BY user_id
+          UNION ALL SELECT r.user_id, p.n, CASE WHEN len(list_filter(p.gs, lambda x: NOT list_contains(r.used, x))) > 0 THEN list_append(r.used, list_filter(p.gs, lambda x: NOT list_contains(r.used, x))[1]) ELSE r.used END,
+            p.p_ord, list_filter(p.gs, lambda x: NOT list_contains(r.used, x))[1] FROM r JOIN p ON p.user_id = r.user_id AND p.n = r.n + 1)
+    SELECT user_id, p_ord, g_ord, 2 AS rule FROM r WHERE g_ord IS NOT NULL
+    """,
+)
 def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks take the first unused purchase of the user within six hours; sequential, so tested against plain Python."""
+    """Clicks take the first unused purchase of the user within six hours."""
     e = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", millis("ts").alias("ms"))
     p = e.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("p_ord"), F.col("ms").alias("p_ms"))
     g = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("g_ord"), F.col("ms").alias("g_ms"))
@@ -388,10 +402,8 @@ def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def gallery_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     p = load(spark, sf_dir, "part")
-    gallery = p.select(F.col("p_name").alias("entry")).distinct().withColumn("ord", F.row_number().over(Window.orderBy("entry")))
+    gallery = sampling.numbered(p.select(F.col("p_name").alias("entry")).distinct(), ["entry"], "ord", 1)
     names = p.select(F.substring(F.col("p_name"), F.lit(1), F.length("p_name") - 1).alias("name"))
     return matching.match_names(names, gallery).withColumn("score", F.round("score", 9))
 

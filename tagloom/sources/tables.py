@@ -14,16 +14,16 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", inferSchema=False).fillna("")
 
 
-def format_rows(rows: DataFrame, exact: bool = False, compat: bool = False, keep: list[str] | None = None) -> DataFrame:
+def format_rows(rows: DataFrame, compat: bool = False, keep: list[str] | None = None) -> DataFrame:
     """(keep, line): each record as a line of the 29-column CSV."""
     have = set(rows.columns)
-    cells = [cell(c, F.col(c), exact, compat) if c in have else F.lit("") for c in COLUMNS]
+    cells = [cell(c, F.col(c), compat) if c in have else F.lit("") for c in COLUMNS]
     return rows.select(*(keep or []), F.concat_ws(",", *cells).alias("line"))
 
 
-def write_tags(rows: DataFrame, path: str, order: list[str] | None = None, exact: bool = False, compat: bool = False) -> None:
+def write_tags(rows: DataFrame, path: str, order: list[str] | None = None, compat: bool = False) -> None:
     """One text file with a plain header; rows in the given order. Meant for the records of a few videos."""
-    lines = format_rows(rows, exact, compat, order)
+    lines = format_rows(rows, compat, order)
     body = lines.select(F.lit(1).alias("__part"), *(order or []), "line")
     head = body.sparkSession.range(1).select(F.lit(0).alias("__part"), F.lit(",".join(COLUMNS)).alias("line"))
     both = head.unionByName(body, allowMissingColumns=True).coalesce(1).sortWithinPartitions("__part", *(order or []))

@@ -1,4 +1,6 @@
 import math
+import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,8 +61,11 @@ def test_numbers(spark):
     assert ask(spark, ["x", "3,5"], numbers.coordinate) == [0.0, 3.5]
     assert ask(spark, ["6595.9", "bad"], numbers.milliseconds) == [6595, None]
     assert ask(spark, ["252,63", "129", "129.9", "129.9 руб", "hello"], numbers.price_text) == ["252.63", "129.00", "129.90", "129.90", "hello"]
-    assert ask(spark, [0.125, 2.5, None], lambda x: numbers.fixed(x, 2), "double") == ["0.12", "2.50", None]
-    assert ask(spark, [0.25, 2.675, None], lambda x: numbers.fixed_exact(x, 2), "double") == ["0.25", "2.67", None]
+    rng = random.Random(1)
+    values = [0.125, 2.5, 0.25, 2.675, 0.375, 0.005, 0.015, 1.005, 0.995, 9.995, 99.995, 0.5, 1.5, -0.001, -0.0, 0.0, -2.675, 1e15 + 0.125, 4503599627370497.5, 2.0**53 + 2, 1e18, 5e-324, 0.004999999999999999]
+    values += [rng.randrange(-(10**6), 10**6) / 1000 for _ in range(400)] + [rng.random() * 10 ** rng.randrange(-8, 15) for _ in range(400)] + [rng.randrange(10**5) / 64 for _ in range(200)]
+    for places in (1, 2, 3):
+        assert ask(spark, [*values, None], lambda x: numbers.fixed(x, places), "double") == [*(f"{v:.{places}f}" for v in values), None]
 
 
 def test_cells(spark):
@@ -98,7 +103,8 @@ def test_json_in_prose(spark):
     got = ask(spark, ['{"a": "1"}', 'text {"a": "1",\n"b": null} end', "{broken", "", None, "[1]", '{"a": [1, 2], "c": true}'], payload.json_in)
     assert got == [{"a": "1"}, {"a": "1", "b": None}, {}, {}, {}, {}, {"a": "[1,2]", "c": "true"}]
     assert ask(spark, ['{"a": " x\\n", "b": null}'], lambda r: F.array(*[payload.field_of(payload.json_in(r), k) for k in "abc"])) == [["x", "", ""]]
-    assert ask(spark, ["１²", None], payload.nfkc) == ["12", None]
+    texts = ["１²", "ｂ＝４６７０", "abc", "", "ﬁ № ①", "e\u0301", "가", "｜；＆", "\u3000x"]
+    assert ask(spark, [*texts, None], payload.nfkc) == [*(unicodedata.normalize("NFKC", t) for t in texts), None]
 
 
 def test_truth_of_records(spark):
