@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -83,8 +84,83 @@ def crop_rotated(image: np.ndarray, box: tuple[int, int, int, int], degrees: int
     return np.rot90(image[y1:y2, x1:x2], -(degrees // 90))
 
 
-def variants(image: np.ndarray, steps: dict[str, Callable[[np.ndarray], np.ndarray]]) -> Iterator[tuple[int, str, np.ndarray]]:
-    """(index, name, image) of each given preprocessing in each rotation, in order."""
+def to_bytes(image: np.ndarray) -> np.ndarray:
+    """Rounded half to even and held to 0..255."""
+    return np.clip(np.rint(image), 0, 255).astype(np.uint8)
+
+
+def equalized(image: np.ndarray) -> np.ndarray:
+    """Grey values spread by their cumulative counts; an image of one value stays."""
+    counts = np.bincount(image.ravel(), minlength=256)
+    first = int(np.flatnonzero(counts)[0])
+    rest = image.size - counts[first]
+    if not rest:
+        return image.copy()
+    table = np.cumsum(np.where(np.arange(256) > first, counts, 0)) * (255.0 / rest)
+    return to_bytes(table)[image]
+
+
+def gaussian(image: np.ndarray, size: int, sigma: float, mode: str) -> np.ndarray:
+    """Separable Gaussian mean over an odd size, as doubles; ``mode`` is the border of numpy.pad."""
+    x = np.arange(size) - size // 2
+    k = np.exp(-(x**2) / (2 * sigma**2))
+    k /= k.sum()
+    half = size // 2
+    if min(image.shape) <= half and mode == "reflect":
+        mode = "edge"
+    p = np.pad(image.astype(np.float64), half, mode=mode)
+    p = sum(k[i] * p[i : i + image.shape[0]] for i in range(size))
+    return sum(k[i] * p[:, i : i + image.shape[1]] for i in range(size))
+
+
+def binarized(image: np.ndarray, size: int = 31, less: int = 5) -> np.ndarray:
+    """White where a pixel is above the Gaussian mean round it less a constant."""
+    mean = to_bytes(gaussian(image, size, 0.3 * ((size - 1) * 0.5 - 1) + 0.8, "edge"))
+    return np.where(image.astype(np.int16) - mean > -less, 255, 0).astype(np.uint8)
+
+
+def blurred3(image: np.ndarray) -> np.ndarray:
+    """Binomial mean of three by three."""
+    return to_bytes(correlate3(image, np.outer([1, 2, 1], [1, 2, 1]) / 16))
+
+
+def sharpened(image: np.ndarray) -> np.ndarray:
+    return to_bytes(correlate3(image, np.array([[0, -1, 0], [-1, 5, -1], [0, -1, 0]], float)))
+
+
+def resized_cubic(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Cubic interpolation (a = -0.75) about pixel centres; the outermost pixels go on beyond the border."""
+
+    def along(x: np.ndarray, n: int) -> np.ndarray:
+        at = (np.arange(n) + 0.5) * (len(x) / n) - 0.5
+        low = np.floor(at).astype(int)
+        out = 0.0
+        for k in range(-1, 3):
+            d = np.abs(at - (low + k))
+            w = np.where(d <= 1, 1.25 * d**3 - 2.25 * d**2 + 1, -0.75 * (d**3 - 5 * d**2 + 8 * d - 4))
+            out = out + w.reshape(-1, *[1] * (x.ndim - 1)) * x[np.clip(low + k, 0, len(x) - 1)]
+        return out
+
+    return to_bytes(np.swapaxes(along(np.swapaxes(along(image.astype(np.float64), height), 0, 1), width), 0, 1))
+
+
+def preprocessings() -> dict[str, Callable[[np.ndarray], np.ndarray]]:
+    """The seven preprocessings by name; each takes a colour or grey image."""
+    steps = {
+        "gray": lambda g: g,
+        "equalize_hist": equalized,
+        "adaptive_thresh": binarized,
+        "adaptive_thresh_inv": lambda g: 255 - binarized(g),
+        "gaussian_blur": blurred3,
+        "upscale2x": lambda g: resized_cubic(g, 2 * g.shape[0], 2 * g.shape[1]),
+        "sharpen": sharpened,
+    }
+    return {name: (lambda image, f=f: f(gray(image))) for name, f in steps.items()}
+
+
+def variants(image: np.ndarray, steps: dict[str, Callable[[np.ndarray], np.ndarray]] | None = None) -> Iterator[tuple[int, str, np.ndarray]]:
+    """(index, name, image) of each preprocessing in each rotation, in order; with ``steps`` only of those."""
+    steps = preprocessings() if steps is None else steps
     i = 0
     for name in PREPROCESSINGS:
         made = steps[name](image) if name in steps else None
@@ -96,14 +172,83 @@ def variants(image: np.ndarray, steps: dict[str, Callable[[np.ndarray], np.ndarr
 
 @udtf(returnType="variant_idx int, variant_name string, height int, width int, data binary")
 class ImageVariants:
-    """Table function over (height, width, channels, data): the 4 of 28 variants that are built in, the rotations of ``gray``."""
+    """Table function over (height, width, channels, data): all 28 variants in order."""
 
     def eval(self, height: int, width: int, channels: int, data: bytes) -> Iterator[tuple]:
         if data is not None:
-            for i, name, v in variants(to_array(height, width, channels, data), {"gray": gray}):
+            for i, name, v in variants(to_array(height, width, channels, data)):
                 yield i, name, v.shape[0], v.shape[1], np.ascontiguousarray(v).tobytes()
 
 
+#: A reader of square codes: an image to (format, text) of what it finds. The format that is preferred, the short side that images are enlarged to.
+Reader = Callable[[np.ndarray], list[tuple[str, str]]]
+SQUARE, SHORT_SIDE = "QRCode", 1500
+
+
+def square_variants(image: np.ndarray) -> Iterator[np.ndarray]:
+    """The image enlarged (if its short side is under SHORT_SIDE), unsharp-masked, and binarised."""
+    h, w = image.shape[:2]
+    if min(h, w) < SHORT_SIDE:
+        scale = SHORT_SIDE / min(h, w)
+        yield resized_cubic(image, round(h * scale), round(w * scale))
+    g = gray(image)
+    yield to_bytes(1.6 * g - 0.6 * to_bytes(gaussian(g, 13, 2.0, "reflect")))
+    yield binarized(g, 31, 10)
+
+
+def read_square(image: np.ndarray | None, readers: list[tuple[str, Reader]]) -> tuple[str, str]:
+    """(payload, source) of the first reader that finds text: each on the image, then each on every variant.
+
+    A code of the square format goes before any other. The source is the
+    reader's name, with ``+preprocN`` for the N-th variant; both are blank if
+    nothing is found. A reader that fails has found nothing.
+    """
+    if image is None or image.size == 0:
+        return "", ""
+
+    def ask(read: Reader, x: np.ndarray) -> str:
+        try:
+            found = [(kind, text) for kind, text in read(x) if text]
+        except Exception:  # a plug-in's own errors
+            return ""
+        return next((text for kind, text in found if kind == SQUARE), found[0][1] if found else "")
+
+    for n, x in enumerate(chain([image], square_variants(image))):
+        for name, read in readers:
+            if text := ask(read, x):
+                return text, f"{name}+preproc{n}" if n else name
+    return "", ""
+
+
+def read_squares(images: DataFrame, load: Callable[[], list[tuple[str, Reader]]], keys: list[str], image: str = "image") -> DataFrame:
+    """(keys, payload, source) of an image column. ``load`` runs once per task and gives the readers in order."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        readers = load()
+        for p in parts:
+            found = [read_square(None if x is None else to_array(x["height"], x["width"], x["channels"], x["data"]), readers) for x in p[image]]
+            yield p[keys].assign(payload=[t for t, _ in found], source=[s for _, s in found])
+
+    types = dict(images.dtypes)
+    return images.select(*keys, image).mapInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", payload string, source string")
+
+
+def png(image: np.ndarray) -> bytes:
+    """A grey, or blue-green-red, image as a PNG file."""
+    import struct
+    import zlib
+
+    h, w = image.shape[:2]
+    rows = np.ascontiguousarray(image if image.ndim == 2 else image[:, :, ::-1]).reshape(h, -1)
+    body = np.hstack([np.zeros((h, 1), np.uint8), rows]).tobytes()
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    head = struct.pack(">IIBBBBB", w, h, 8, 0 if image.ndim == 2 else 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b"")
+
+
 def motion_blur(image: np.ndarray, length: int, degrees: float) -> np.ndarray:
     """Mean along a line of odd length."""
     half = length // 2

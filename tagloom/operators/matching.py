@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,61 +38,66 @@ def place_join(pred: DataFrame, truth: DataFrame, keys: list[str], most_ms: floa
     return near.withColumn("iou", iou(box("p"), box("g"))).filter(F.col("iou") >= least_iou)
 
 
+def _shortened(c: Column) -> Column:
+    """All texts that a text becomes by leaving out up to two characters."""
+    n = F.length(c)
+    cut = lambda i, j: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, j - i - 1), F.substring(c, j + 1, n))
+    one = lambda j: F.concat(F.substring(c, F.lit(1), j - 1), F.substring(c, j + 1, n))
+    places = F.sequence(F.lit(1), n)
+    two = F.flatten(F.transform(places, lambda j: F.transform(F.sequence(F.lit(1), j), lambda i: F.when(i == j, one(j)).otherwise(cut(i, j)))))
+    return F.when(n > 0, F.array_distinct(F.concat(F.array(c), two))).otherwise(F.array(c))
+
+
 def code_join(pred: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs of the same keys whose codes match; the predicted code must have 13 digits.
 
-    Equal codes are joined by hash.  Others share at least one of the parts
-    that an edit distance of two leaves intact: at an edit distance of two, one
-    of three parts of either code is in the other, moved by two places at most;
-    codes of other lengths go through their ends, at which up to ten characters
-    are compared.  Keys bound what is left to compare within a group.
+    Two codes within an edit distance of two become the same by leaving out up
+    to two characters of each; so both sides are repeated for what is left of
+    them, and an equi-join on that finds every pair.  What is left has eleven
+    digits or more, so a prefix that many codes share makes no hot key.  Codes
+    of other lengths are also compared by up to ten characters at either end,
+    in the same way.
     """
     p = pred.filter(F.col("p_code").rlike(r"^[0-9]{13}\z"))
-    g = truth.filter(F.coalesce(F.col("g_code"), F.lit("")) != "")
-
-    def ends(c: Column) -> list[Column]:
-        n = F.least(F.length(c), F.lit(10))
-        return [c, F.right(c, n), F.left(c, n)]
-
-    # Equal codes and equal ends first, by hash; then what is within the distance, by parts of both ends.
-    part = lambda s, i: F.substring(s, 1 + 3 * i, 3)
+    g = truth.filter(F.length("g_code") >= 8)  # a shorter one is more than two edits from 13 digits, and has no end of eight
+    near = p.withColumn("__left", F.explode(_shortened(F.col("p_code")))).join(g.filter(F.length("g_code").between(11, 15)).withColumn("__left", F.explode(_shortened(F.col("g_code")))), [*keys, "__left"])
 
-    def places(c: Column) -> Column:
-        out = []
-        for e in ends(c):
-            out += [F.concat_ws(":", F.lit(i), F.substring(e, 1 + 3 * i + d, 3)) for i in range(3) for d in (-2, -1, 0, 1, 2) if 1 + 3 * i + d >= 1]
-        return F.array_distinct(F.array(*out))
+    def ends(c: Column, n: Column) -> Column:
+        side = lambda name, text: F.transform(_shortened(text), lambda x: F.concat_ws(":", n.cast("string"), F.lit(name), x))
+        return F.concat(side("l", F.substring(c, F.lit(1), n)), side("r", F.substring(c, F.length(c) - n + 1, n)))
 
-    own = lambda c: F.array_distinct(F.array(*[F.concat_ws(":", F.lit(i), part(e, i)) for e in ends(c) for i in range(3)]))
-    short = g.filter(F.length("g_code") < 11)  # too short for the parts: every code of the keys is compared
-    a = p.withColumn("__part", F.explode(own(F.col("p_code"))))
-    b = g.filter(F.length("g_code") >= 11).withColumn("__part", F.explode(places(F.col("g_code"))))
-    hit = a.join(b, [*keys, "__part"]).filter(barcode_match(F.col("p_code"), F.col("g_code"))).drop("__part").distinct()
-    few = p.join(short, keys).filter(barcode_match(F.col("p_code"), F.col("g_code")))
-    return hit.unionByName(few)
+    other = g.filter(F.length("g_code") != 13)
+    a = p.withColumn("__left", F.explode(F.concat(*[ends(F.col("p_code"), F.lit(n)) for n in (8, 9, 10)])))
+    b = other.withColumn("__left", F.explode(ends(F.col("g_code"), F.least(F.length("g_code"), F.lit(10)))))
+    both = near.unionByName(a.join(b, [*keys, "__left"])).drop("__left").distinct()
+    return both.filter(barcode_match(F.col("p_code"), F.col("g_code")))
 
 
 def greedy_match(edges: DataFrame, keys: list[str], pred: str = "p_ord", truth: str = "g_ord", rule: str = "rule") -> DataFrame:
     """(keys, pred, truth, rule): predictions in order take their first unused truth, by rule, then order.
 
-    The rule is inherently sequential within a group, so each group of
-    candidate edges goes to one vectorised function; groups are the videos,
-    and only edges that passed a join are in them.
+    The rule is inherently sequential within a group.  Groups (videos) are
+    dealt to tasks and sorted there; one pass over the stream of edges holds
+    only which truths of the group are taken.
     """
-    types = dict(edges.dtypes)
-    schema = ", ".join([f"{k} {types[k]}" for k in keys] + [f"{pred} {types[pred]}", f"{truth} {types[truth]}", f"{rule} {types[rule]}"])
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values([pred, rule, truth], kind="stable")
-        used, done, take = set(), set(), []
-        for i, (p, g) in enumerate(zip(part[pred], part[truth])):
-            if p not in done and g not in used:
-                done.add(p)
-                used.add(g)
-                take.append(i)
-        return part.iloc[take][[*keys, pred, truth, rule]]
-
-    return edges.select(*keys, pred, truth, rule).groupBy(*keys).applyInPandas(run, schema)
+    named = [*keys, pred, truth, rule]
+    dealt = edges.select(*named).repartition(*keys).sortWithinPartitions(*keys, pred, rule, truth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, used, last = None, set(), None
+        for batch in batches:
+            take = []
+            for i, (*key, p, g) in enumerate(zip(*[batch[c].to_pylist() for c in [*keys, pred, truth]])):
+                if key != group:
+                    group, used, last = key, set(), None
+                if (last is None or p != last) and g not in used:
+                    last = p
+                    used.add(g)
+                    take.append(i)
+            if take:
+                yield batch.take(pa.array(take))
+
+    return dealt.mapInArrow(run, dealt.schema)
 
 
 def match_names(names: DataFrame, gallery: DataFrame, name: str = "name", least: float = 0.55) -> DataFrame:

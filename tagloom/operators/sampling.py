@@ -3,38 +3,59 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.session import cut_lineage
+
 
 def min_gap(rows: DataFrame, group: list[str], time: str, gap: int, order: str | None = None) -> DataFrame:
-    """(group, time, order): a row is kept if it is at least ``gap`` after the last kept one.
+    """(group, time, order): a row is kept if it is at least ``gap`` after the last kept one. Rows without a time go.
 
-    What is kept depends on what was kept before, so each group is folded in
-    order on the JVM.  A group (a video) must fit in a task.
+    What is kept depends on what was kept before.  Groups are dealt to tasks
+    and sorted there; one pass over the stream remembers the last kept time, so
+    a group may be of any size.
     """
     order = order or time
-    item = F.struct(F.col(time).cast("long").alias("t"), F.col(order).alias("o"))
-    listed = rows.groupBy(*group).agg(F.array_sort(F.collect_list(item)).alias("all"))
-    state = F.struct(F.lit(None).cast("long").alias("last"), F.filter("all", lambda e: F.lit(False)).alias("kept"))
-
-    def step(acc: Column, e: Column) -> Column:
-        take = acc["last"].isNull() | (e["t"] - acc["last"] >= gap)
-        return F.struct(F.when(take, e["t"]).otherwise(acc["last"]).alias("last"), F.when(take, F.concat(acc["kept"], F.array(e))).otherwise(acc["kept"]).alias("kept"))
-
-    kept = listed.select(*group, F.explode(F.aggregate("all", state, step, lambda acc: acc["kept"])).alias("e"))
-    out = kept.select(*group, F.col("e.t").alias(time), F.col("e.o").alias(order))
-    return out if order != time else kept.select(*group, F.col("e.t").alias(time))
-
-
-def numbered(rows: DataFrame, order: list[str], name: str = "n", start: int = 0, parts: int = 32) -> DataFrame:
+    named = [*group, time, *([order] if order != time else [])]
+    x = rows.filter(F.col(time).isNotNull()).select(*named, F.col(time).cast("long").alias("__at"))
+    dealt = x.repartition(*group).sortWithinPartitions(*group, "__at", order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last = None, 0
+        for batch in batches:
+            at = batch["__at"].to_numpy()
+            keys = list(zip(*[batch[g].to_pylist() for g in group])) if group else [()] * len(at)
+            cuts = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
+            take = []
+            for start, end in zip([0, *cuts], [*cuts, len(keys)]):
+                if start == end:
+                    continue
+                i = start if keys[start] != last_key else start + int(np.searchsorted(at[start:end], last + gap))
+                while i < end:  # from one kept row straight to the next
+                    take.append(i)
+                    last_key, last = keys[start], int(at[i])
+                    i = max(i + 1, start + int(np.searchsorted(at[start:end], last + gap)))
+            if take:
+                yield batch.select(named).take(pa.array(take))
+
+    return dealt.mapInArrow(run, dealt.select(*named).schema)
+
+
+def numbered(rows: DataFrame, order: list[str], name: str = "n", start: int = 0, parts: int | None = None) -> DataFrame:
     """Consecutive numbers in a global order without sorting in one task.
 
-    Rows are sorted by range; counts of the ranges give each its offset. The
-    table of offsets has a row per range and is broadcast.
+    Rows are sorted by range, as many as spark.sql.shuffle.partitions unless
+    ``parts`` says otherwise, and written out, so that both looks at them see
+    the same ranges; counts of the ranges give each its offset.  The table of
+    offsets has a row per range and is broadcast.
     """
-    spread = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cut_lineage(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
     spread = spread.withColumn("__part", F.shiftright("__at", 33)).withColumn("__in", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = spread.groupBy("__part").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

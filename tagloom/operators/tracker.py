@@ -13,7 +13,9 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # Confidence bounds, least overlap of a match, frames that a track is kept unseen.
@@ -30,6 +32,32 @@ def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return inner / np.maximum(area(a)[:, None] + area(b)[None, :] - inner, 1e-9)
 
 
+def suppress(detections: DataFrame, keys: list[str] | None = None, most_iou: float = 0.7, conf: str = "conf") -> DataFrame:
+    """Non-maximum suppression: of boxes of a frame that overlap by more than ``most_iou`` only the most confident stays.
+
+    Frames are dealt to tasks and sorted there by confidence, then by place;
+    one pass over the stream holds the boxes kept of one frame.
+    """
+    keys = keys or ["video", "frame_idx"]
+    dealt = detections.repartition(*keys).sortWithinPartitions(*keys, F.col(conf).desc(), *BOX)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frame, kept = None, np.empty((0, 4))
+        for batch in batches:
+            boxes = np.stack([batch[c].to_numpy(zero_copy_only=False).astype(float) for c in BOX], axis=1)
+            take = []
+            for i, key in enumerate(zip(*[batch[k].to_pylist() for k in keys])):
+                if key != frame:
+                    frame, kept = key, np.empty((0, 4))
+                if not len(kept) or overlaps(kept, boxes[i : i + 1]).max() <= most_iou:
+                    kept = np.vstack([kept, boxes[i]])
+                    take.append(i)
+            if take:
+                yield batch.take(pa.array(take))
+
+    return dealt.mapInArrow(run, dealt.schema)
+
+
 @dataclass
 class Tracker:
     """Open tracks of one video: number, last box, last frame."""

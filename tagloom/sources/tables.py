@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.cells import cell, final_cell
+from tagloom.operators.datasets import manifest
+from tagloom.operators.sampling import numbered
 from tagloom.schema import COLUMNS, SERVICE
 
 
@@ -83,15 +90,65 @@ def write_one_json(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").json(path)
 
 
+#: The labelling interface of the tasks.
+LABELS_XML = """\
+<View>
+  <Image name="image" value="$image" zoom="true" zoomControl="true" rotateControl="false"/>
+  <RectangleLabels name="bbox" toName="image">
+    <Label value="pricetag" background="#FF3333"/>
+  </RectangleLabels>
+</View>
+"""
+
+
 def write_tasks(tasks: DataFrame, path: str) -> None:
-    """All tasks as one JSON array in one file; for label sets that one person works through."""
-    one = tasks.agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("task")), ","), F.lit("]")).alias("value"))
-    one.coalesce(1).write.mode("overwrite").text(path)
+    """All tasks in order as one JSON array in one file, a line each, written as a stream; the labelling interface beside it."""
+    lines = numbered(tasks.select("task"), ["task"], "__n")
+    body = lines.select(F.lit(1).alias("__part"), "__n", F.concat(F.when(F.col("__n") > 0, ",").otherwise(""), "task").alias("value"))
+    ends = tasks.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "__part int, __n long, value string")
+    body.unionByName(ends).coalesce(1).sortWithinPartitions("__part", "__n").select("value").write.mode("overwrite").text(path)
+    write_files(tasks.sparkSession.createDataFrame([("labels_config.xml", LABELS_XML)], "name string, data string"), path)
+
+
+def write_files(files: DataFrame, folder: str, name: str = "name", data: str = "data") -> int:
+    """One file for each row: its name below ``folder``, its text or bytes; gives their number.
+
+    Executors write them, so the folder must be one that they share: a path, or
+    an address that Arrow's file systems know (file, hdfs, s3, ...).  A task
+    that is run again writes the same files.
+    """
+    rows = files.select(F.col(name).cast("string").alias("name"), F.col(data).cast("binary").alias("data"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
+        for batch in batches:
+            for at, content in zip(batch["name"].to_pylist(), batch["data"].to_pylist()):
+                path = f"{root.rstrip('/')}/{at}"
+                system.create_dir(os.path.dirname(path), recursive=True)
+                with system.open_output_stream(path) as out:
+                    out.write(content or b"")
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+
+
+def write_label_files(files: DataFrame, folder: str) -> int:
+    """``stem.txt`` with its label lines for each image."""
+    return write_files(files.select(F.concat("stem", F.lit(".txt")).alias("name"), F.concat("content", F.lit("\n")).alias("data")), folder)
+
+
+def write_manifest(spark: SparkSession, root: str, names: list[str]) -> None:
+    """``data.yaml`` of a data set."""
+    write_files(spark.createDataFrame([("data.yaml", manifest(root, names))], "name string, data string"), root)
 
 
-def write_label_files(files: DataFrame, path: str) -> None:
-    """One folder per stem with its label lines."""
-    files.write.mode("overwrite").partitionBy("stem").text(path)
+def read_config(text: str) -> dict:
+    """Any YAML configuration, if a YAML library is there; else the two-level lists that ``read_yaml_lists`` knows."""
+    try:
+        import yaml
+    except ImportError:
+        return read_yaml_lists(text)
+    return yaml.safe_load(text) or {}
 
 
 def read_yaml_lists(text: str) -> dict[str, dict[str, list[str]]]:
@@ -150,6 +207,6 @@ def only_csv(files: DataFrame) -> str:
     return found[0]
 
 
-def numbered_lines(rows: DataFrame, order: Column | str) -> DataFrame:
-    """File line numbers from 2, for small tables read from one file."""
-    return rows.withColumn("line", F.row_number().over(Window.orderBy(order)) + 1)
+def numbered_lines(rows: DataFrame, order: str) -> DataFrame:
+    """File line numbers from 2."""
+    return numbered(rows, [order], "line", 2)

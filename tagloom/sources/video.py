@@ -14,10 +14,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tagloom.kernels import png, to_array
+from tagloom.sources.tables import write_files
+
 SCHEMA = "video string, frame_idx int, ts_ms long, height int, width int, channels int, data binary, error string"
 DETECTIONS = "video string, track_id int, seq int, frame_idx int, ts_ms long, x1 double, y1 double, x2 double, y2 double, conf double, touches_edge boolean, sharpness double, crop binary"
 
@@ -77,12 +81,21 @@ def time_grid(videos: DataFrame, step_ms: int) -> DataFrame:
     return videos.filter("duration_ms > 0").select("video", F.explode(F.sequence(F.lit(0).cast("long"), F.col("duration_ms") - 1, F.lit(step_ms).cast("long"))).alias("ts_ms"))
 
 
-def frame_at(rows: DataFrame, frames: DataFrame, ts: str = "ts_ms") -> DataFrame:
-    """Each row with the last frame at or before its time; a row without one has nulls."""
-    f = frames.select("video", F.col("ts_ms").alias("__f_ts"), F.col("frame_idx").alias("__f_idx"))
-    x = rows.withColumn("__row", F.monotonically_increasing_id())
-    best = x.select("__row", "video", ts).join(f, "video").filter(F.col("__f_ts") <= F.col(ts)).groupBy("__row").agg(F.max(F.struct("__f_ts", "__f_idx")).alias("m"))
-    return x.join(best, "__row", "left").withColumn("frame_idx", F.col("m.__f_idx")).drop("__row", "m")
+def frame_at(rows: DataFrame, frames: DataFrame, ts: str = "ts_ms", columns: list[str] | None = None) -> DataFrame:
+    """Each row with the last frame at or before its time; a row without one has nulls.
+
+    ``columns`` of the frame come along, its number unless others are named
+    (the image is data, height, width and channels).  Rows and frames of a
+    video are sorted into one stream, in which each row takes the frame before
+    it; so the work is a sort and not rows times frames.
+    """
+    columns = columns or ["frame_idx"]
+    rest = [c for c in rows.columns if c not in ("video", ts, *columns)]
+    asked = rows.select("video", F.col(ts).cast("long").alias("__at"), F.lit(1).alias("__kind"), F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in rest]).alias("__row"))
+    shown = frames.select("video", F.col("ts_ms").cast("long").alias("__at"), F.lit(0).alias("__kind"), F.struct(*columns).alias("__frame"))
+    before = Window.partitionBy("video").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = shown.unionByName(asked, allowMissingColumns=True).withColumn("__frame", F.last("__frame", ignorenulls=True).over(before)).filter("__kind = 1")
+    return both.select("video", F.col("__at").alias(ts), *[F.col("__row")[c].alias(c) for c in rest], *[F.col("__frame")[c].alias(c) for c in columns])
 
 
 def crop_detections(frames: DataFrame, detect) -> DataFrame:
@@ -95,5 +108,16 @@ def confident(detections: DataFrame, least: float = 0.25) -> DataFrame:
 
 
 def write_images(images: DataFrame, path: str, by: str = "video") -> None:
-    """Encoded images as a binary column in Parquet, a folder for each video."""
+    """Images as a binary column in Parquet, a folder for each video."""
     images.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
+def write_image_files(images: DataFrame, folder: str, name: str = "name") -> int:
+    """One PNG file for each image (height, width, channels, data), named by a column without the ending; gives their number."""
+    encode = F.pandas_udf(_png, "binary")
+    files = images.select(F.concat(F.col(name), F.lit(".png")).alias("name"), encode("height", "width", "channels", "data").alias("data"))
+    return write_files(files, folder)
+
+
+def _png(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
+    return pd.Series([png(to_array(int(h), int(w), int(c), d)) for h, w, c, d in zip(height, width, channels, data)])

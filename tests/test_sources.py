@@ -63,8 +63,20 @@ def test_tasks_and_labels(spark, tmp_path):
     frames = spark.createDataFrame([("v", "t0000005.jpg", 5)], "video string, name string, ts_ms int")
     tables.write_tasks(datasets.labeling_tasks(frames, "http://h/"), str(tmp_path / "tasks"))
     assert json.loads(next((tmp_path / "tasks").glob("part-*")).read_text()) == [{"data": {"image": "http://h/v/t0000005.jpg", "video": "v", "frame": "t0000005.jpg", "ts_ms": 5}}]
-    tables.write_label_files(spark.createDataFrame([("a", "0 1 1 1 1")], "stem string, content string"), str(tmp_path / "labels"))
-    assert (tmp_path / "labels" / "stem=a").is_dir()
+    assert 'value="pricetag"' in (tmp_path / "tasks" / "labels_config.xml").read_text()
+    many = spark.range(300).selectExpr("'v' AS video", "format_string('t%07d.jpg', id) AS name", "cast(id AS int) AS ts_ms")
+    tables.write_tasks(datasets.labeling_tasks(many, "http://h"), str(tmp_path / "many"))
+    assert [t["data"]["ts_ms"] for t in json.loads(next((tmp_path / "many").glob("part-*")).read_text())] == list(range(300))
+    labels = spark.createDataFrame([("a", "0 1 1 1 1\n0 2 2 2 2"), ("b", "0 3 3 3 3")], "stem string, content string")
+    assert tables.write_label_files(labels, str(tmp_path / "labels")) == 2 == tables.write_label_files(labels, str(tmp_path / "labels"))
+    assert {p.name: p.read_text() for p in (tmp_path / "labels").iterdir()} == {"a.txt": "0 1 1 1 1\n0 2 2 2 2\n", "b.txt": "0 3 3 3 3\n"}
+    tables.write_manifest(spark, f"file://{tmp_path}/set", ["pricetag"])
+    assert tables.read_config((tmp_path / "set" / "data.yaml").read_text())["nc"] == 1
+    assert tables.write_files(labels.limit(0), str(tmp_path / "none"), "stem", "content") == 0
+
+
+def test_line_numbers(spark):
+    assert sorted((r.id, r.line) for r in tables.numbered_lines(spark.range(50).repartition(5), "id").collect()) == [(i, i + 2) for i in range(50)]
 
 
 def test_yaml_lists():
@@ -95,6 +107,11 @@ def test_frame_source(spark):
     assert sorted(r.ts_ms for r in grid.collect()) == [0, 100, 200]
     rows = spark.createDataFrame([("a", 85), ("a", -1)], "video string, ts_ms long")
     assert sorted((r.ts_ms, r.frame_idx) for r in video.frame_at(rows, spark.createDataFrame(got, video.SCHEMA)).collect()) == [(-1, None), (85, 3)]
+    images = video.frame_at(rows.withColumn("data", F.lit("other")).withColumn("x", F.lit(1)), spark.createDataFrame(got, video.SCHEMA), columns=["frame_idx", "data"])
+    assert images.columns == ["video", "ts_ms", "x", "frame_idx", "data"]
+    assert sorted((r.ts_ms, r.x, r.data and bytes(r.data)) for r in images.collect()) == [(-1, 1, None), (85, 1, bytes([2] * 4))]
+    exact = spark.createDataFrame([("a", 80), ("zz", 5)], "video string, ts_ms long")
+    assert sorted((r.video, r.frame_idx) for r in video.frame_at(exact, spark.createDataFrame(got, video.SCHEMA)).collect()) == [("a", 3), ("zz", None)]
 
 
 def test_bad_files_are_reported(spark, tmp_path):
@@ -105,12 +122,71 @@ def test_bad_files_are_reported(spark, tmp_path):
         video.read_frames(spark, ["bad"], "tests.test_sources:fragile_decoder").collect()
     video.write_images(got.filter("error IS NULL"), str(tmp_path / "img"))
     assert spark.read.parquet(str(tmp_path / "img")).count() == 13
+    named = got.filter("error IS NULL").selectExpr("concat(video, '/', frame_idx) AS name", "height", "width", "channels", "data")
+    assert video.write_image_files(named, str(tmp_path / "png")) == 13
+    assert (tmp_path / "png" / "a" / "1.png").read_bytes() == kernels.png(np.zeros((2, 2), np.uint8))
 
 
 def test_variants_as_a_table_function(spark):
     spark.udtf.register("image_variants", kernels.ImageVariants)
     got = spark.sql("SELECT v.* FROM VALUES (1, 2, 1, X'0102') AS t(h, w, c, d), LATERAL image_variants(h, w, c, d) v").collect()
-    assert [(r.variant_name, r.height, r.width, bytes(r.data)) for r in got] == [("gray_rot0", 1, 2, b"\1\2"), ("gray_rot90cw", 2, 1, b"\1\2"), ("gray_rot180", 1, 2, b"\2\1"), ("gray_rot90ccw", 2, 1, b"\2\1")]
+    assert [r.variant_name for r in got] == kernels.variant_names()
+    assert [(r.variant_name, r.height, r.width, bytes(r.data)) for r in got[:4]] == [("gray_rot0", 1, 2, b"\1\2"), ("gray_rot90cw", 2, 1, b"\1\2"), ("gray_rot180", 1, 2, b"\2\1"), ("gray_rot90ccw", 2, 1, b"\2\1")]
+
+
+def test_preprocessings():
+    rng = np.random.default_rng(1)
+    image = rng.integers(0, 256, (40, 50)).astype(np.uint8)
+    flat = np.full((40, 50), 9, np.uint8)
+    steps = kernels.preprocessings()
+    # By their definitions, pixel by pixel.
+    counts = np.bincount(image.ravel(), minlength=256)
+    first = int(image.min())
+    table = [round(255 * sum(counts[first + 1 : v + 1]) / (image.size - counts[first])) for v in range(256)]
+    assert np.abs(steps["equalize_hist"](image).astype(int) - np.array(table)[image]).max() <= 1 and (steps["equalize_hist"](flat) == 9).all()
+    k = np.exp(-((np.arange(31) - 15) ** 2) / 50)
+    k = np.outer(k, k) / k.sum() ** 2
+    for y, x in ((0, 0), (20, 25), (39, 49), (3, 30)):
+        mean = sum(k[i, j] * image[min(39, max(0, y + i - 15)), min(49, max(0, x + j - 15))] for i in range(31) for j in range(31))
+        assert steps["adaptive_thresh"](image)[y, x] == (255 if image[y, x] > round(mean) - 5 else 0)
+    assert (steps["adaptive_thresh"](image) == 255 - steps["adaptive_thresh_inv"](image)).all()
+    mirror = lambda i, n: -i if i < 0 else 2 * n - 2 - i if i >= n else i
+    at = lambda y, x: int(image[mirror(y, 40), mirror(x, 50)])
+    for y, x in ((0, 0), (10, 10), (39, 49)):
+        assert steps["gaussian_blur"](image)[y, x] == round(sum((2 - abs(i)) * (2 - abs(j)) * at(y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1)) / 16)
+        assert steps["sharpen"](image)[y, x] == min(255, max(0, 5 * at(y, x) - at(y - 1, x) - at(y + 1, x) - at(y, x - 1) - at(y, x + 1)))
+    big = steps["upscale2x"](image)
+    assert big.shape == (80, 100) and (steps["upscale2x"](flat) == 9).all() and np.abs(big.reshape(40, 2, 50, 2).mean(axis=(1, 3)) - image).mean() < 25
+    color = rng.integers(0, 256, (6, 7, 3)).astype(np.uint8)
+    assert [v.shape for _, n, v in kernels.variants(color) if n.startswith("upscale2x")] == [(12, 14), (14, 12), (12, 14), (14, 12)]
+
+
+def test_square_codes(spark):
+    image = np.zeros((40, 60), np.uint8)
+    never = lambda x: []
+    broken = lambda x: 1 / 0
+    large = lambda x: [("EAN13", "e"), ("QRCode", "q")] if min(x.shape[:2]) >= 1500 else []
+    white = lambda x: [("EAN13", "w"), ("QRCode", "")] if (x == 255).all() else []
+    assert kernels.read_square(image, [("zxing", never), ("cv2", lambda x: [("", "c")])]) == ("c", "cv2")
+    assert kernels.read_square(image, [("zxing", large), ("cv2", broken)]) == ("q", "zxing+preproc1")
+    assert kernels.read_square(image, [("zxing", never), ("cv2", white)]) == ("w", "cv2+preproc3")
+    assert kernels.read_square(image, [("zxing", never)]) == ("", "") == kernels.read_square(None, []) == kernels.read_square(np.empty(0), [("zxing", white)])
+    wide = np.zeros((1500, 1501), np.uint8)
+    assert kernels.read_square(wide, [("cv2", white)])[1] == "cv2+preproc2"  # not enlarged, so one variant less
+    df = spark.createDataFrame([(1, (40, 60, 1, bytearray(image.tobytes()))), (2, None)], f"id int, image {kernels.IMAGE}")
+    got = kernels.read_squares(df, lambda: [("zxing", lambda x: [("QRCode", str(x.shape))])], ["id"])
+    assert sorted(map(tuple, got.collect())) == [(1, "(40, 60)", "zxing"), (2, "", "")]
+
+
+def test_png():
+    import struct
+    import zlib
+
+    image = np.arange(24, dtype=np.uint8).reshape(2, 4, 3)
+    data = kernels.png(image)
+    assert data[:8] == b"\x89PNG\r\n\x1a\n" and struct.unpack(">II", data[16:24]) == (4, 2)
+    body = zlib.decompress(data[data.index(b"IDAT") + 4 : data.index(b"IEND") - 8])
+    assert body == b"".join(b"\0" + image[y, :, ::-1].tobytes() for y in range(2))
 
 
 def fragile_decoder(path):

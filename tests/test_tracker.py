@@ -1,8 +1,11 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import sql
-from tagloom.operators import tracker
+from tagloom.operators import batch, tracker
 from tagloom.streaming.progress import ProgressLog
 from tests.test_streaming import drain, stream
 
@@ -46,3 +49,35 @@ def test_sql_functions(spark):
     ).first()
     assert (r.a, r.b, r.c, r.d, r.e, r.f, r.g, r.i, r.j) == (True, False, [129.99, 252.63], True, "a b", 1.5, "1", ["сыра", "б"], 0.5)
     assert r.h == pytest.approx(1 / 7)
+
+
+def test_suppression_against_plain_loops(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(30):
+        for _ in range(12):
+            x, y = rng.randrange(60), rng.randrange(60)
+            rows.append(("v", i, float(x), float(y), float(x + 40), float(y + 40), rng.choice([0.3, 0.5, 0.9])))
+    want = []
+    for i in range(30):
+        kept = []
+        for r in sorted((r for r in rows if r[1] == i), key=lambda r: (-r[6], *r[2:6])):
+            if all(tracker.overlaps(np.array([k[2:6]]), np.array([r[2:6]]))[0, 0] <= 0.4 for k in kept):
+                kept.append(r)
+        want += kept
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert sorted(map(tuple, tracker.suppress(df, most_iou=0.4).collect())) == sorted(want) and len(want) < len(rows)
+    assert tracker.suppress(df.limit(0)).count() == 0
+
+
+def test_a_batch_goes_on_after_a_failure(spark):
+    seen = []
+
+    def run(video):
+        seen.append(video)
+        if video == "b":
+            raise ValueError("cannot open b")
+
+    got = {r.video: r.error for r in batch.run_each(spark, ["a", "b", "c"], run).collect()}
+    assert got == {"a": None, "b": "ValueError: cannot open b", "c": None} and seen == ["a", "b", "c"]
+    assert batch.run_each(spark, [], run).count() == 0
