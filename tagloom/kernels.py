@@ -277,6 +277,33 @@ def copy_parameters(key: str, copy: int, seed: int = 42) -> np.random.Generator:
     return np.random.default_rng([seed, zlib.crc32(key.encode()), copy])
 
 
+# Odd lengths and angles of motion blur, numbers of glare spots.
+BLUR_LENGTHS, BLUR_DEGREES, GLARE_SPOTS = (9, 21), 30.0, (1, 3)
+
+
+def augmented(image: np.ndarray, kind: str, rng: np.random.Generator) -> np.ndarray:
+    """A copy with ``motion`` blur or ``glare`` of random size."""
+    if kind == "motion":
+        low, high = BLUR_LENGTHS
+        return motion_blur(image, low + 2 * int(rng.integers(0, (high - low) // 2 + 1)), float(rng.uniform(-BLUR_DEGREES, BLUR_DEGREES)))
+    if kind == "glare":
+        spots = [(float(rng.uniform(0.1, 0.9)), float(rng.uniform(0.1, 0.9)), float(rng.uniform(0.05, 0.25))) for _ in range(int(rng.integers(GLARE_SPOTS[0], GLARE_SPOTS[1] + 1)))]
+        return glare(image, spots, float(rng.uniform(0.5, 0.9)))
+    raise ValueError(f"unknown kind {kind!r}")
+
+
+@udtf(returnType="copy_idx int, height int, width int, data binary")
+class AugmentedCopies:
+    """Table function over (key, kind, n, height, width, channels, data): n copies with ``motion`` blur or ``glare``, the same ones in every run."""
+
+    def eval(self, key: str, kind: str, n: int, height: int, width: int, channels: int, data: bytes) -> Iterator[tuple]:
+        if data is not None:
+            image = to_array(height, width, channels, data)
+            for i in range(n):
+                made = augmented(image, kind, copy_parameters(key, i))
+                yield i, made.shape[0], made.shape[1], np.ascontiguousarray(made).tobytes()
+
+
 @lru_cache(maxsize=8)
 def lens_maps(width: int, height: int, strength: str) -> tuple[np.ndarray, np.ndarray]:
     """Source pixel of each target pixel under lens distortion, kept per worker."""

@@ -1,4 +1,4 @@
-"""A plain tracker: detections of consecutive frames joined by overlap.
+"""A plain tracker: detections of consecutive frames joined by overlap with where a track's movement takes it.
 
 A stand-in with the contract of an external tracker: rows of a video in frame
 order get a track number.  Confident detections are matched first, then faint
@@ -60,36 +60,51 @@ def suppress(detections: DataFrame, keys: list[str] | None = None, most_iou: flo
 
 @dataclass
 class Tracker:
-    """Open tracks of one video: number, last box, last frame."""
+    """Open tracks of one video: number, last box, last frame, and how far the corners move a frame.
+
+    A track is looked for where its movement takes it (constant velocity, half
+    of it from the last step); a track seen once is looked for where it was.
+    """
 
     following: int = 1
     number: list[int] = field(default_factory=list)
     box: list[list[float]] = field(default_factory=list)
     seen: list[int] = field(default_factory=list)
+    move: list[list[float]] = field(default_factory=list)
+
+    def _expected(self, i: int, at: int) -> np.ndarray:
+        return np.array(self.box[i]) + np.array(self.move[i]) * (at - self.seen[i])
+
+    def _found(self, i: int, at: int, box: np.ndarray) -> None:
+        step = (box - np.array(self.box[i])) / max(1, at - self.seen[i])
+        known = np.array(self.move[i])
+        self.move[i] = (step if not known.any() else (known + step) / 2).tolist()
+        self.box[i], self.seen[i] = box.tolist(), at
 
     def frame(self, at: int, boxes: np.ndarray, conf: np.ndarray) -> list[int | None]:
         """Track numbers of the detections of a frame, None for faint ones without a track."""
         live = [i for i, s in enumerate(self.seen) if at - s <= KEEP]
-        self.number, self.box, self.seen = ([x[i] for i in live] for x in (self.number, self.box, self.seen))
+        self.number, self.box, self.seen, self.move = ([x[i] for i in live] for x in (self.number, self.box, self.seen, self.move))
         out: list[int | None] = [None] * len(boxes)
         free = set(range(len(self.number)))
         for part in (np.flatnonzero(conf >= HIGH), np.flatnonzero((conf >= LOW) & (conf < HIGH))):
             if not len(part) or not free:
                 continue
             rows = sorted(free)
-            score = overlaps(np.array([self.box[i] for i in rows]), boxes[part])
+            score = overlaps(np.array([self._expected(i, at) for i in rows]), boxes[part])
             order = sorted(((-score[i, j], rows[i], int(part[j])) for i, j in zip(*np.nonzero(score >= LEAST_IOU))))
             for _, i, j in order:
                 if i in free and out[j] is None:
                     free.discard(i)
                     out[j] = self.number[i]
-                    self.box[i], self.seen[i] = boxes[j].tolist(), at
+                    self._found(i, at, boxes[j])
         for j in np.flatnonzero(conf >= HIGH):
             if out[j] is None:
                 out[j] = self.following
                 self.number.append(self.following)
                 self.box.append(boxes[j].tolist())
                 self.seen.append(at)
+                self.move.append([0.0] * 4)
                 self.following += 1
         return out
 
@@ -118,12 +133,14 @@ def track_stream(detections: DataFrame, video: str = "video") -> DataFrame:
     def run(key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         t = Tracker()
         if state.exists:
-            following, number, boxes, seen = state.get
-            t = Tracker(following, list(number), np.array(boxes, float).reshape(-1, 4).tolist(), list(seen))
+            following, number, boxes, seen, move = state.get
+            corners = lambda x: np.array(x, float).reshape(-1, 4).tolist()
+            t = Tracker(following, list(number), corners(boxes), list(seen), corners(move))
         whole = pd.concat(list(parts))
         out = t.rows(whole)
-        state.update((t.following, t.number, [float(v) for b in t.box for v in b], t.seen))
+        flat = lambda x: [float(v) for b in x for v in b]
+        state.update((t.following, t.number, flat(t.box), t.seen, flat(t.move)))
         yield out
 
-    kept = "following long, number array<long>, boxes array<double>, seen array<long>"
+    kept = "following long, number array<long>, boxes array<double>, seen array<long>, move array<double>"
     return source.groupBy(video).applyInPandasWithState(run, _schema(source), kept, "append", GroupStateTimeout.NoTimeout)

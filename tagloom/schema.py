@@ -15,6 +15,7 @@ COLUMNS = [
 #: The value of a field that the tag doesn't have; an unreadable one is blank.
 ABSENT = "нет"
 
+# The fields by the form of their numbers.
 COORDINATES = ["x_min", "y_min", "x_max", "y_max"]
 COMMA_PRICES = ["price_default", "price_card", "price_discount"]
 DOT_PRICES = ["price1_qr", "price2_qr", "price3_qr", "price4_qr", "wholesale_level_1_price", "wholesale_level_2_price", "action_price_qr"]
@@ -23,7 +24,7 @@ PLACE = ["filename", "frame_timestamp", *COORDINATES]
 FIELDS = [c for c in COLUMNS if c not in PLACE]
 SERVICE = ["__trk_id", "__preview_crop", "__preview_frame"]
 
-#: Fields of the headline score, and how each of the 23 is compared in the field report.
+# Fields of the headline score, and how each of the 23 is compared in the field report.
 KPI_FIELDS = ["product_name", "price_default", "price_card", "price_discount", "barcode", "color", "discount_amount", "print_datetime"]
 PRICE_FIELDS = [*COMMA_PRICES, *DOT_PRICES]
 CODE_FIELDS = ["barcode", "qr_code_barcode", "id_sku"]

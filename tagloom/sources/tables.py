@@ -21,6 +21,20 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", inferSchema=False).fillna("")
 
 
+def preview_csv(spark: SparkSession, path: str, n: int = 200) -> tuple[list[dict], int]:
+    """The first n rows of a CSV file as text, in the file's order, and the number of all; nothing and 0 if it can't be read."""
+    try:
+        rows = read_csv(spark, path)
+        return [r.asDict() for r in rows.limit(n).collect()], rows.count()
+    except Exception:  # a missing, empty or broken file shows an empty table
+        return [], 0
+
+
+def write_logs(lines: DataFrame, path: str, by: str = "video") -> None:
+    """Log lines (video, line, ...) as text, a folder for each video."""
+    lines.select(by, "line").write.mode("overwrite").partitionBy(by).text(path)
+
+
 def format_rows(rows: DataFrame, compat: bool = False, keep: list[str] | None = None) -> DataFrame:
     """(keep, line): each record as a line of the 29-column CSV."""
     have = set(rows.columns)

@@ -75,6 +75,16 @@ def test_tasks_and_labels(spark, tmp_path):
     assert tables.write_files(labels.limit(0), str(tmp_path / "none"), "stem", "content") == 0
 
 
+def test_preview_and_logs(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n" + "".join(f"{i},\n" for i in range(300)))
+    first, total = tables.preview_csv(spark, str(tmp_path / "a.csv"), 3)
+    assert first == [{"x": str(i), "y": ""} for i in range(3)] and total == 300
+    (tmp_path / "empty.csv").write_text("")
+    assert tables.preview_csv(spark, str(tmp_path / "empty.csv")) == ([], 0) == tables.preview_csv(spark, str(tmp_path / "none.csv"))
+    tables.write_logs(spark.createDataFrame([("v", "one"), ("w", "two")], "video string, line string"), str(tmp_path / "logs"))
+    assert {(r.video, r.value) for r in spark.read.text(str(tmp_path / "logs")).collect()} == {("v", "one"), ("w", "two")}
+
+
 def test_line_numbers(spark):
     assert sorted((r.id, r.line) for r in tables.numbered_lines(spark.range(50).repartition(5), "id").collect()) == [(i, i + 2) for i in range(50)]
 
@@ -134,6 +144,19 @@ def test_variants_as_a_table_function(spark):
     assert [(r.variant_name, r.height, r.width, bytes(r.data)) for r in got[:4]] == [("gray_rot0", 1, 2, b"\1\2"), ("gray_rot90cw", 2, 1, b"\1\2"), ("gray_rot180", 1, 2, b"\2\1"), ("gray_rot90ccw", 2, 1, b"\2\1")]
 
 
+def test_augmented_copies(spark):
+    image = np.zeros((30, 40), np.uint8)
+    image[10:20] = 200
+    spark.udtf.register("augmented_copies", kernels.AugmentedCopies)
+    df = spark.createDataFrame([("a", bytearray(image.tobytes())), ("b", None)], "k string, d binary")
+    df.createOrReplaceTempView("images")
+    ask = lambda kind: [(r.copy_idx, bytes(r.data)) for r in spark.sql(f"SELECT v.* FROM images, LATERAL augmented_copies(k, '{kind}', 3, 30, 40, 1, d) v").collect()]
+    for kind in ("motion", "glare"):
+        got = ask(kind)
+        assert [i for i, _ in got] == [0, 1, 2] and len({d for _, d in got}) == 3 and got == ask(kind)
+        assert got[1][1] == kernels.augmented(image, kind, kernels.copy_parameters("a", 1)).tobytes()
+
+
 def test_preprocessings():
     rng = np.random.default_rng(1)
     image = rng.integers(0, 256, (40, 50)).astype(np.uint8)

@@ -51,6 +51,18 @@ def test_sql_functions(spark):
     assert r.h == pytest.approx(1 / 7)
 
 
+def test_tracks_follow_movement(spark):
+    """A box that speeds up beyond its own width keeps its track; a resting one isn't disturbed, also over unseen frames."""
+    rows, x = [], 0.0
+    for i in range(16):
+        x += 6.0 * i
+        if i not in (9, 12):
+            rows.append(("v", i, x, 0.0, x + 50, 50.0, 0.9))
+        rows.append(("v", i, 0.0, 300.0, 50.0, 350.0, 0.9))
+    got = tracker.track(spark.createDataFrame(rows, SCHEMA)).groupBy("track_id").count().collect()
+    assert sorted((r.track_id, r["count"]) for r in got) == [(1, 14), (2, 16)]
+
+
 def test_suppression_against_plain_loops(spark):
     rng = random.Random(3)
     rows = []
