@@ -13,8 +13,9 @@ budget of A tokens out of V is A div V whole epochs, then the prefix of the
 next epoch's order whose tokens fit in the rest.  The end of the prefix is
 found by two histogram passes over the leading digits of the order key and one
 window over the documents of a single slot (one in 65,536), so that no task
-sees a whole leaf, however large.  Everything is integer arithmetic on built-in
-functions.
+sees a whole leaf, however large.  Texts are read twice: once for a slim table
+of leaf, identity and tokens, which these passes go over, and once for the
+result.  Everything is integer arithmetic on built-in functions.
 """
 
 from __future__ import annotations
@@ -109,12 +110,16 @@ def mix(
       gives no rows.
     """
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    docs = docs.drop("n_tokens", "n_copies")
-    keyed = docs.withColumn("__domain", name(domain)).withColumn("__language", name(F.col(language))).withColumn("__source", name(F.col(source)))
+    columns = [c for c in docs.columns if c not in ("domain", "n_tokens", "n_copies")]
     identity = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__whole").cast("string"), identity).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__whole").cast("string"), F.col("__identity")).cast("binary"))
 
-    leaves = cut_lineage(keyed.select(*LEAF, token_count(text).alias("__tokens")).groupBy(*LEAF).agg(F.sum("__tokens").alias("__tokens")))
+    row = F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in columns]).alias("__row")  # so that no name in it clashes with one in between
+    of_leaf = [name(c).alias(x) for c, x in zip((domain, F.col(language), F.col(source)), LEAF)]
+    keyed = docs.select(row, *of_leaf, identity.alias("__identity"), token_count(text).alias("__n"))
+
+    slim = cut_lineage(keyed.drop("__row"))
+    leaves = cut_lineage(slim.groupBy(*LEAF).agg(F.sum("__n").alias("__tokens")))
     budgets = leaf_budgets(leaves, weights, budget, epochs)
     whole = F.when(F.col("__tokens") > 0, F.least(F.expr("__budget div __tokens"), F.lit(epochs))).otherwise(0).cast("long")
     budgets = budgets.withColumn("__whole", whole).withColumn("__rest", F.col("__budget") - F.col("__whole") * F.col("__tokens")).drop("__tokens", "__budget")
@@ -123,20 +128,18 @@ def mix(
     side = (lambda t: F.broadcast(t)) if small else (lambda t: t)
 
     # Two passes of leading digits narrow the end of each prefix down to one slot.
-    narrow = keyed.select(*LEAF, doc_id, text)
     at = budgets.filter(F.col("__rest") > 0).withColumn("__head", F.lit("")).withColumn("__before", F.lit(0).cast("long"))
     for step in (1, 2):
-        rows = narrow.join(side(at.select(*LEAF, "__whole", "__head")), LEAF).withColumn("__key", key).filter(F.col("__key").startswith(F.col("__head")))
-        slots = rows.withColumn("__slot", F.substring("__key", 1, DIGITS * step)).groupBy(*LEAF, "__slot").agg(F.sum(token_count(text)).alias("__n"))
+        rows = slim.join(side(at.select(*LEAF, "__whole", "__head")), LEAF).withColumn("__key", key).filter(F.col("__key").startswith(F.col("__head")))
+        slots = rows.withColumn("__slot", F.substring("__key", 1, DIGITS * step)).groupBy(*LEAF, "__slot").agg(F.sum("__n").alias("__n"))
         upto = Window.partitionBy(*LEAF).orderBy("__slot").rowsBetween(Window.unboundedPreceding, 0)
         slots = slots.withColumn("__upto", F.sum("__n").over(upto)).join(side(at.select(*LEAF, "__rest", "__before")), LEAF)
         over = slots.filter(F.col("__before") + F.col("__upto") > F.col("__rest"))
         first = over.groupBy(*LEAF).agg(F.min_by(F.struct("__slot", (F.col("__before") + F.col("__upto") - F.col("__n")).alias("b")), "__slot").alias("__f"))
         at = budgets.join(side(first), LEAF).select(*LEAF, "__whole", "__rest", F.col("__f.__slot").alias("__head"), F.col("__f.b").alias("__before"))
         at = cut_lineage(at)
-    rows = narrow.join(side(at), LEAF).withColumn("__key", key).filter(F.col("__key").startswith(F.col("__head")))
+    rows = slim.join(side(at), LEAF).withColumn("__key", key).filter(F.col("__key").startswith(F.col("__head")))
     peers = Window.partitionBy(*LEAF).orderBy("__key").rangeBetween(Window.unboundedPreceding, 0)
-    rows = rows.select(*LEAF, "__key", "__rest", "__before", token_count(text).alias("__n"))
     rows = rows.withColumn("__upto", F.col("__before") + F.sum("__n").over(peers))
     last = rows.filter(F.col("__upto") <= F.col("__rest")).groupBy(*LEAF).agg(F.max("__key").alias("__last"))
     ends = budgets.join(side(at.select(*LEAF, "__head")), LEAF, "left").join(side(last), LEAF, "left")
@@ -144,12 +147,10 @@ def mix(
 
     out = keyed.join(side(ends), LEAF, "left").withColumn("__key", key)
     taken = (F.col("__key") < F.col("__head")) | (F.col("__key") <= F.col("__last"))
-    n = token_count(text)
-    copies = F.when(F.col("n_tokens") > 0, F.coalesce(F.col("__whole"), F.lit(0)) + F.when(taken, 1).otherwise(0)).otherwise(0).cast("long")
-    out = out.withColumn("n_tokens", n).withColumn("n_copies", copies)
-    return out.select(F.col("__domain").alias("domain"), *[c for c in docs.columns if c != "domain"], "n_tokens", "n_copies")
+    copies = F.when(F.col("__n") > 0, F.coalesce(F.col("__whole"), F.lit(0)) + F.when(taken, 1).otherwise(0)).otherwise(0).cast("long")
+    return out.select(F.col("__domain").alias("domain"), *[F.col("__row")[c].alias(c) for c in columns], F.col("__n").alias("n_tokens"), copies.alias("n_copies"))
 
 
 def repeat(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each row as often as n_copies says; rows without copies go."""
-    return mixed.filter(F.col("n_copies") > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int")))).select(*columns)
+    return mixed.filter(F.col("n_copies") > 0).select(*columns, F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int"))).alias("__copy")).select(*columns)

@@ -58,12 +58,13 @@ def test_query_against_sql(spark, sf):
 def test_nulls_ties_empty_texts_and_clashes(spark):
     rows = [(1, "a b c", "en", "src0", 9), (1, "a b c", "en", "src0", 9), (None, None, None, None, 9), (2, "", "en", "src0", 9), (3, "x y", None, "src0", 9), (4, "q", "en", None, 9)] * 5
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_copies int").withColumn("domain", F.lit("old"))
+    docs = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(("__row", "__n", "__domain", "__identity", "__whole", "__key"))])
     for join_small in (True, False):
         limit = mixing.BROADCAST_LEAVES
         mixing.BROADCAST_LEAVES = limit if join_small else 0
         out = mixing.mix(docs, mixing_query.WEIGHTS, mixing_query.domain_of(), F.lit(40), 2, 1).collect()
         mixing.BROADCAST_LEAVES = limit
-        assert len(out) == 30
+        assert len(out) == 30 and all((r["__row"], r["__n"], r["__domain"], r["__key"]) == (0, 1, 2, 5) for r in out)
         assert all(r.n_copies == 0 for r in out if r.n_tokens == 0)
         assert sum(r.n_tokens * r.n_copies for r in out) <= 40
         assert len({r.n_copies for r in out if r.doc_id == 1}) == 1
@@ -73,3 +74,13 @@ def test_nulls_ties_empty_texts_and_clashes(spark):
 def test_repeat(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, 3)], "doc_id long, n_copies long")
     assert sorted(r[0] for r in mixing.repeat(df, ["doc_id"]).collect()) == [2, 3, 3, 3]
+
+
+def test_a_very_long_text_and_a_hot_source(spark):
+    """One leaf with nearly all tokens, half of them in one text: all within the budget, the rest untouched."""
+    rows = [(0, "w " * 300_000, "en", "src0")] + [(i, "a b c " * 20, "en", "src0" if i % 10 else "src1") for i in range(1, 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = mixing.mix(docs, mixing_query.WEIGHTS, mixing_query.domain_of(), F.lit(200_000), 1, 3).select("doc_id", "source", "n_tokens", "n_copies").collect()
+    assert len(out) == 5000 and max(r.n_tokens for r in out) == 300_000
+    taken = {s: sum(r.n_tokens * r.n_copies for r in out if r.source == s) for s in ("src0", "src1")}
+    assert taken["src1"] == 30_000 - 60 and sum(taken.values()) <= 200_000  # src1 gives all it has
