@@ -25,6 +25,7 @@ def half(total: Column) -> Column:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in a mixture of half of all tokens; documents without tokens have none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     mixed = mixing.mix(docs, WEIGHTS, domain_of(), half(F.col("__total")), EPOCHS, SEED)
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "n_copies")

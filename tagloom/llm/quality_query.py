@@ -11,6 +11,7 @@ LEARNER = quality_rules.Learner()
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of every whole text; a null or empty one fails the base rules."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = LEARNER.learn(docs, table(spark, sf_dir, "labels"))
     judged = quality_rules.judge(docs, rules, keep=["doc_id"])

@@ -91,6 +91,69 @@ def test_best_literal_against_all_cuts(spark):
     assert q.Learner()._best(df.filter("bad = 1")) is None and q.Learner()._best(df.limit(0)) is None
 
 
+def plain_list(rows, learner):
+    """Sequential covering in plain loops over rows (bad, held, *features)."""
+    holds = lambda literals, r: all((r[2 + f] >= cut) == above for f, above, cut in literals)
+    size = lambda part: (sum(r[0] for r in part), sum(not r[0] for r in part))
+
+    def best(part):
+        p0, n0 = size(part)
+        found = []
+        for f in range(len(q.FEATURES)):
+            values = sorted({r[2 + f] for r in part})
+            for a, b in zip(values, values[1:]):
+                cut = (a + b) / 2 if (a + b) / 2 > a else b
+                for above in (True, False):
+                    p, n = size([r for r in part if (r[2 + f] >= cut) == above])
+                    if n0 and p >= max(1, learner.min_covered) and (gain := round(p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))), 9)) > 0:
+                        found.append((gain, -f, -cut, above, n))
+        return max(found, default=None)
+
+    rules = []
+    while len(rules) < learner.max_rules:
+        left = [r for r in rows if not any(holds(x, r) for x in rules)]
+        literals = []
+        while len(literals) < learner.max_literals and (b := best([r for r in left if not r[1] and holds(literals, r)])):
+            literals.append((-b[1], b[3], -b[2]))
+            if b[4] == 0:
+                break
+        if not literals:
+            break
+
+        def worth(k):
+            p, n = size([r for r in left if r[1] and holds(literals[:k], r)])
+            return (p - n) / max(1, p + n), -k
+
+        literals = literals[: max(range(1, len(literals) + 1), key=worth)]
+        p, n = size([r for r in left if holds(literals, r)])
+        if p < learner.min_covered or p < learner.min_precision * (p + n):
+            break
+        rules.append(literals)
+    return rules
+
+
+def test_learned_list_against_plain_covering(spark):
+    rng = random.Random(21)
+    several = 0
+    for _ in range(4):
+        rows = []
+        for _ in range(400):
+            x = [float(rng.randrange(12)) for _ in q.FEATURES]
+            junk = x[2] >= 9 or (x[5] < 2 and x[1] >= 6)
+            rows.append((junk != (rng.random() < 0.02), rng.random() < 0.33, *x))
+        df = spark.createDataFrame([(int(b), *r) for b, *r in rows], "bad int, held boolean, " + ", ".join(f"{f} double" for f in q.FEATURES))
+
+        class Given(q.Learner):
+            def labelled(self, *args):
+                return df
+
+        got = Given().learn(None, None).rules
+        want = plain_list(rows, q.Learner())
+        assert [[(q.FEATURES.index(x.feature), x.above, x.threshold) for x in r.literals] for r in got] == want
+        several += len(want) > 1
+    assert several >= 2
+
+
 def test_edge_rows(spark):
     docs = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "", 2), (2, "w " * 60, 3)], "doc_id long, text string, kept int")
     none = spark.createDataFrame([], "doc_id long, quality int")
