@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.codes import barcode_match
 from tagloom.functions.geometry import iou
-from tagloom.functions.text import name_similarity, squeeze
+from tagloom.functions.text import squeeze
 
 #: A list of names up to this size is broadcast; a larger one is joined by length buckets.
 BROADCAST_NAMES = 20_000
@@ -117,7 +117,10 @@ def match_names(names: DataFrame, gallery: DataFrame, name: str = "name", least:
     else:
         low, high = F.ceil(F.col("__qlen") * least - ROUNDING).cast("int"), F.floor(F.col("__qlen") / least + ROUNDING).cast("int")
         pairs = n.withColumn("__len", F.explode(F.sequence(F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0))))).join(g, "__len", "left")
-    scored = pairs.withColumn("__score", name_similarity(F.col("__q"), F.col("__norm")))
+    # Distances beyond what the score allows aren't worked out to the end.
+    longest = F.greatest("__len", "__qlen")
+    distance = F.call_function("levenshtein", F.col("__q"), F.col("__norm"), F.floor((1 - least) * longest + ROUNDING).cast("int"))
+    scored = pairs.withColumn("__d", distance).withColumn("__score", F.when((F.col("__len") == 0) | (F.col("__qlen") == 0) | (F.col("__d") < 0), 0.0).otherwise(1.0 - F.col("__d") / longest))
     best = scored.groupBy("name").agg(F.max_by(F.struct("__entry", "__score"), F.struct(F.coalesce("__score", F.lit(-1.0)), -F.col("__ord"))).alias("b"))
     good = F.col("b.__score") >= least
     return best.select("name", F.when(good, F.col("b.__entry")).otherwise(F.col("name")).alias("canonical"), F.when(good, F.col("b.__score")).otherwise(0.0).alias("score"))

@@ -153,3 +153,7 @@ def test_names(spark):
 def test_dimensions():
     assert len(FIELDS) == 23 and set(REQUIRED) == {"red", "yellow", "green", "white", "purple", "orange", "blue"}
     assert all(set(v) <= set(FIELDS) for v in REQUIRED.values())
+
+
+def test_name_similarity(spark):
+    assert ask(spark, [("abcd", "abcx"), ("", "x"), ("a", "a"), ("ab", "abcd")], text.name_similarity) == [0.75, 0.0, 1.0, 0.5]
