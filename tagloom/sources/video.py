@@ -4,9 +4,13 @@
 frames of the files given as ``paths`` (comma-separated).  A decoder yields
 (ts_ms, height, width, channels, bytes) for a path; it is imported on the
 executor, one partition per file.  With ``stepMs`` only the first frame at or
-after each point of the grid is returned.  A file that can't be decoded fails
-the read, or with ``badFiles=report`` gives one row with the error after the
-frames before it, so that a batch goes on.
+after each point of the grid is returned.  A decoder that has an attribute
+``seek`` needn't decode all frames for that: ``seek(path)`` gives the duration
+in ms and a function from a time to (height, width, channels, bytes) or None;
+points without a frame are left out.  ``times`` (comma-separated) asks such a
+decoder for single frames.  A file that can't be decoded fails the read, or
+with ``badFiles=report`` gives one row with the error after the frames before
+it, so that a batch goes on.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ class FrameReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options.get("paths", "").split(",") if p]
         self.decoder, self.step = options.get("decoder", ""), int(options.get("stepms", options.get("stepMs", 0)))
+        self.times = [int(t) for t in options.get("times", "").split(",") if t]
         self.report = options.get("badfiles", options.get("badFiles", "fail")) == "report"
         if ":" not in self.decoder:
             raise ValueError("option decoder: module:function")
@@ -44,21 +49,39 @@ class FrameReader(DataSourceReader):
 
     def read(self, partition: FileSplit) -> Iterator[tuple]:
         module, _, name = self.decoder.partition(":")
-        due = last = 0
+        last = 0
         try:
-            for i, (ts, height, width, channels, data) in enumerate(getattr(import_module(module), name)(partition.path), 1):
-                last = i
-                if self.step:
-                    if ts < due:
-                        continue
-                    due = (ts // self.step + 1) * self.step
-                yield partition.path, i, int(ts), height, width, channels, data, None
+            decode = getattr(import_module(module), name)
+            for row in self._sought(decode.seek, partition.path) if (self.step or self.times) and hasattr(decode, "seek") else self._all(decode, partition.path):
+                last = row[1]
+                yield row
         except Exception as e:
             if not self.report:
                 raise
             yield partition.path, last + 1, None, None, None, None, None, str(e)
 
 
+    def _sought(self, seek, path: str) -> Iterator[tuple]:
+        duration, at = seek(path)
+        n = 0
+        for ts in self.times or range(0, duration, self.step):
+            frame = at(ts)
+            if frame is not None:
+                n += 1
+                yield path, n, ts, *frame, None
+
+    def _all(self, decode, path: str) -> Iterator[tuple]:
+        if self.times:
+            raise ValueError("single times need a decoder that can seek")
+        due = 0
+        for i, (ts, height, width, channels, data) in enumerate(decode(path), 1):
+            if self.step:
+                if ts < due:
+                    continue
+                due = (ts // self.step + 1) * self.step
+            yield path, i, int(ts), height, width, channels, data, None
+
+
 class FrameSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -76,6 +99,12 @@ def read_frames(spark: SparkSession, paths: list[str], decoder: str, step_ms: in
     return spark.read.format("frames").option("paths", ",".join(paths)).option("decoder", decoder).option("stepMs", str(step_ms)).option("badFiles", bad_files).load()
 
 
+def read_frame_at(spark: SparkSession, path: str, ts_ms: int, decoder: str) -> DataFrame:
+    """The frame at a time, by seeking; no row if there is none."""
+    spark.dataSource.register(FrameSource)
+    return spark.read.format("frames").option("paths", path).option("decoder", decoder).option("times", str(ts_ms)).load()
+
+
 def time_grid(videos: DataFrame, step_ms: int) -> DataFrame:
     """(video, ts_ms): every step from 0 up to the duration in ms."""
     return videos.filter("duration_ms > 0").select("video", F.explode(F.sequence(F.lit(0).cast("long"), F.col("duration_ms") - 1, F.lit(step_ms).cast("long"))).alias("ts_ms"))

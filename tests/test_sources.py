@@ -124,6 +124,16 @@ def test_frame_source(spark):
     assert sorted((r.video, r.frame_idx) for r in video.frame_at(exact, spark.createDataFrame(got, video.SCHEMA)).collect()) == [("a", 3), ("zz", None)]
 
 
+def test_decoders_that_seek(spark):
+    grid = video.read_frames(spark, ["a"], "tests.test_sources:seeking_decoder", 100)
+    assert sorted((r.frame_idx, r.ts_ms, bytes(r.data)) for r in grid.collect()) == [(1, 0, b"0"), (2, 100, b"100"), (3, 300, b"300")]  # no frame at 200
+    one = video.read_frame_at(spark, "a", 120, "tests.test_sources:seeking_decoder")
+    assert [(r.ts_ms, bytes(r.data)) for r in one.collect()] == [(120, b"120")]
+    assert video.read_frame_at(spark, "a", 200, "tests.test_sources:seeking_decoder").count() == 0
+    with pytest.raises(Exception, match="can seek"):
+        video.read_frame_at(spark, "a", 0, "tests.test_sources:fake_decoder").collect()
+
+
 def test_bad_files_are_reported(spark, tmp_path):
     got = video.read_frames(spark, ["a", "bad"], "tests.test_sources:fragile_decoder", bad_files="report")
     assert sorted((r.video, r.error) for r in got.filter("error IS NOT NULL").collect()) == [("bad", "cannot decode bad")]
@@ -219,6 +229,13 @@ def fragile_decoder(path):
         yield row
 
 
+def seeking_decoder(path):
+    raise AssertionError("frames are sought")
+
+
+seeking_decoder.seek = lambda path: (350, lambda ts: None if ts == 200 else (1, 1, 1, str(ts).encode()))
+
+
 def fake_decoder(path):
     for i in range(10):
         yield 40 * i, 2, 2, 1, bytes([i] * 4)
