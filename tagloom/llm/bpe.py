@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tagloom.llm.common import map_arrow
+from tagloom.llm.common import map_arrow, map_batches
 
 #: Longest text (code points) and pre-token (bytes) encoded without a split.
 LEAF_CHARS = 4096
@@ -269,7 +269,7 @@ def decode_tokens(df: DataFrame, ids: str = "token_ids", ranks_path: str | None
             texts = [bpe.decode(x) if x else b"" for x in batch[ids].to_pylist()]
             yield _with(batch, {out: pa.array(texts, pa.binary())})
 
-    return df.mapInArrow(run, _schema(df, f"{out} binary"))
+    return map_batches(df, run, _schema(df, f"{out} binary"))
 
 
 def digest_documents(docs: DataFrame, text: str = "text", ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,7 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.session import ship_package
+from tagloom.session import cut_lineage, shared_folder, ship_package
+
+__all__ = ["BATCH_BYTES", "BLOCK_BYTES", "WORD", "blocks", "bound_batches", "cut_lineage", "cut_small", "fresh_name", "map_arrow", "map_batches", "remove_folder", "shared_folder", "table"]
 
 #: Text bytes that an Arrow step handles at once, which bounds its memory.
 BLOCK_BYTES = 4 << 20
@@ -24,10 +25,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
-    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow, with batches bounded in bytes."""
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of about BLOCK_BYTES at most, unless the session has a bound of its own.
 
@@ -38,22 +44,6 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, str(BLOCK_BYTES))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-
-    Where neither that setting nor setCheckpointDir() names one, local runs
-    (tests) get a temporary folder; on a cluster that is an error, as no folder
-    of one machine would do.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        if not named and sc.master != "local" and not sc.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return sc.getCheckpointDir()
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of a result that is no longer read."""
     jvm = spark.sparkContext._jvm
@@ -61,12 +51,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def cut_small(df: DataFrame, rows_each: int = 50_000) -> DataFrame:
     """``cut_lineage`` with as many partitions as its number of rows calls for, never more than before.
 
@@ -92,7 +76,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYT
 
 
 def map_arrow(df: DataFrame, fn, schema: str, column: str, most: int = BLOCK_BYTES) -> DataFrame:
-    """mapInArrow over bounded blocks: fn(record batch) -> record batch or None."""
+    """map_batches over bounded blocks: fn(record batch) -> record batch or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, column, most):
@@ -100,7 +84,7 @@ def map_arrow(df: DataFrame, fn, schema: str, column: str, most: int = BLOCK_BYT
             if out is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
@@ -109,8 +93,3 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
-
-
-def utf8(column: str):
-    """A text column with null as the empty text."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from tagloom.llm.common import blocks, cut_lineage, fresh_name
+from tagloom.llm.common import blocks, cut_lineage, fresh_name, map_batches
 
 #: Hash slots for all n-gram orders together.
 SLOTS = 1 << 15
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column |
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "slot", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    counts = map_batches(rows, count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     counts = cut_lineage(counts)
     if counts.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
@@ -239,7 +239,7 @@ def usual(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str =
     p = np.exp(model.matrix)
     own = (p * model.matrix).sum(axis=0)
     mean = own.copy()
-    for r in rows.mapInArrow(add, "lang string, n double, x double").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect():
+    for r in map_batches(rows, add, "lang string, n double, x double").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect():
         mean[model.languages.index(r.lang)] = r.x / r.n
     return Usual(mean, (p * model.matrix**2).sum(axis=0) - own**2)
 
@@ -271,7 +271,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
                 arrays.append(pa.array(against.strangeness(model, names, texts), pa.float64()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *new])
 
-    return needed.mapInArrow(run, schema)
+    return map_batches(needed, run, schema)
 
 
 def fold_of(doc_id: str = "doc_id", folds: int = 5) -> Column:

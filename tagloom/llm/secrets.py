@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from tagloom.llm.common import blocks, fresh_name
+from tagloom.llm.common import blocks, fresh_name, map_batches
 
 #: Base kinds, in their order; the others follow.
 BASE = ("assign", "access", "hex")
@@ -99,7 +99,7 @@ KINDS: tuple[tuple[str, tuple[str, ...], re.Pattern, Callable[[re.Match], bool]]
     ("pem", ("-----begin ",), _PEM, _pem_check),
     ("slack", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), _SLACK, _always),
 )
-#: Where kinds other than these go on after a failed match: at the next hit.
+#: Where a kind goes on after a failed match, if not at its next hit.
 FAILED: dict[str, Callable[[str, int], int]] = {"jwt": _after_run}
 #: All kinds in the order that ties of a start are listed in.
 ORDER = {k: i for i, k in enumerate([*BASE, *(k for k, *_ in KINDS if k not in BASE)])}
@@ -190,5 +190,5 @@ def scan_documents(docs: DataFrame, text: str = "text", keep: list[str] | None =
                 arrays.append(pa.array([redact(t, s) if s else t for t, s in zip(texts, found)], pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=kept + new)
 
-    return needed.mapInArrow(run, schema)
+    return map_batches(needed, run, schema)
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import bound_batches, cut_lineage
+from tagloom.llm.common import cut_lineage, map_batches
 
 #: Quantum of the impacts.
 STEP = 4
@@ -60,7 +60,7 @@ def integers(column: pa.Array, scale: float) -> np.ndarray:
     last of them.
     """
     lengths = np.asarray(pc.list_value_length(column).to_numpy(zero_copy_only=False), np.int64)
-    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64)
+    flat = np.asarray(column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), np.float64)
     starts = np.cumsum(lengths) - lengths
     row = np.repeat(np.arange(len(lengths)), lengths)
     out = np.zeros((len(lengths), int(lengths.max(initial=0))))
@@ -268,7 +268,7 @@ def index(vectors: DataFrame, parts: int, scale: float = 1024.0) -> DataFrame:
         for number, ids, values in _dealt(batches, scale, BLOCK):
             yield pa.RecordBatch.from_pylist([{"part": part, "block": number} | ImpactBlock.build(ids, values).row()], schema)
 
-    return vectors.repartition(parts).mapInArrow(run, _INDEX)
+    return map_batches(vectors.repartition(parts), run, _INDEX)
 
 
 def _query_blocks(queries: DataFrame, parts: int, scale: float) -> DataFrame:
@@ -278,7 +278,7 @@ def _query_blocks(queries: DataFrame, parts: int, scale: float) -> DataFrame:
         for number, ids, values in _dealt(batches, scale, QUERY_BLOCK):
             yield pa.RecordBatch.from_pydict({"block": [number], "ids": [ids.astype("<i8").tobytes()], "matrix": [_pack(values.ravel())]}, pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("matrix", pa.binary())]))
 
-    return queries.repartition(parts).mapInArrow(run, "block long, ids binary, matrix binary")
+    return map_batches(queries.repartition(parts), run, "block long, ids binary, matrix binary")
 
 
 def _searched(blocks: DataFrame, asked: DataFrame, parts: range, slices: int, k: int) -> DataFrame:
@@ -314,7 +314,7 @@ def _searched(blocks: DataFrame, asked: DataFrame, parts: range, slices: int, k:
                 number = (r["block"] << _POSITION) | search.who
                 yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(ids[search.who]), pa.array(search.vec), pa.array(search.score)], names=["query", "query_id", "vec_id", "score"])
 
-    return dealt.mapInArrow(run, "query long, query_id long, vec_id long, score long")
+    return map_batches(dealt, run, "query long, query_id long, vec_id long, score long")
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 10, scale: float = 1024.0, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -329,11 +329,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, scale: float = 1024
     * A score beyond a long counts as the last long, in order and result.
     * Fewer candidates than k give fewer rows; no candidates, none.
     """
-    spark = vectors.sparkSession
-    bound_batches(spark)
     numbers = F.col(embedding).cast("array<double>")
     whole = F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = vectors.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & whole).select(F.col(vec_id).cast("long").alias("vec_id"), numbers.alias("embedding"), queries.alias("asked"))
+    rows = vectors.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & whole).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"), queries.alias("asked"))
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("asked").alias("q")).first()
     n_blocks = -(-total.n // BLOCK)
     n_parts = max(1, min(n_blocks, FIRST), -(-n_blocks // PART))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructType
 
-from tagloom.llm.common import fresh_name
+from tagloom.llm.common import fresh_name, map_batches
 
 #: The broadcast holds at most so many rules, of so many characters in all.
 MAX_RULES, MAX_CHARS = 1_000_000, 64 << 20
@@ -133,4 +133,4 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url"
             arrays = [batch.column(i) for i in range(len(kept))] + [pa.array(c, pa.string()) for c in cols]
             yield pa.RecordBatch.from_arrays(arrays, names=kept + new)
 
-    return needed.mapInArrow(run, schema)
+    return map_batches(needed, run, schema)

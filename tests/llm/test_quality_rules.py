@@ -169,3 +169,10 @@ def test_edge_rows(spark):
     clash = q.judge(docs.select("doc_id", "text", *[F.lit(1).alias(c) for c in inner]), rules)
     assert clash.filter("__w + __z + __s + __f + __lines + __text + __row = 7").count() == 4
     assert sorted(r.n_words for r in clash.collect()) == [0, 0, 0, 60]
+
+
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "one two three " * 100_000 + "#"), (2, "x" * 1_000_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in q.judge(docs, q.DecisionList(())).collect()}
+    assert (got[1].n_words, got[1].n_repeat_words, got[1].n_symbols, got[1].base_failed) == (300_001, 300_000, 1, True)
+    assert (got[2].n_words, got[2].word_chars) == (1, 1_000_000)

@@ -77,3 +77,9 @@ def test_the_broadcast_is_bounded(monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_CHARS", 20)
     with pytest.raises(ValueError, match="20 characters"):
         url_filter.UrlTrie([("a.b/c", "allow")] * 5)
+
+
+def test_a_very_long_url():
+    trie = url_filter.UrlTrie([("b/x/x/", "block"), ("a.b/", "allow")])
+    host, path = url_filter.split_url("http://" + "l." * 200_000 + "a.b/" + "x/" * 500_000)
+    assert trie.find(host, path) == ("b/x/x/", "block")
