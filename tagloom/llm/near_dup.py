@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import blocks, cut_lineage, cut_small, fresh_name
+from tagloom.llm.common import blocks, cut_lineage, cut_small, fresh_name, map_batches
 
 WORDS = 5
 #: Bands and components in each: a pair of similarity 0.8 shares a band with a probability over 0.9999.
@@ -187,11 +187,11 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 # -- tables -----------------------------------------------------------------
 
-LINKS = "a binary, b binary, similarity double"
+LINKS = "a long, b long, similarity double"
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(id, key, n, size, bands, sig) of rows (id, key, text) whose text has a word: shingles, bytes, bands, short components."""
+    """(id, text_key, n, size, bands, sig) of rows (id, text_key, text) whose text has a word: shingles, bytes, bands, short components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -208,10 +208,10 @@ def _signed(rows: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), flat)
             at = pa.array(keep, pa.int32())
             size = pc.binary_length(block["text"]).cast(pa.int64())
-            columns = [block["id"].take(at), block["key"].take(at), pa.array(n, pa.int64()), size.take(at), lists, pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "n", "size", "bands", "sig"])
+            columns = [block["id"].take(at), block["text_key"].take(at), pa.array(n, pa.int64()), size.take(at), lists, pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_key", "n", "size", "bands", "sig"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, key binary, n long, size long, bands array<long>, sig binary")
+    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, text_key binary, n long, size long, bands array<long>, sig binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -232,7 +232,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             out = pa.RecordBatch.from_arrays([block["a"], block["b"], near], names=["a", "b", "similarity"])
             yield out.filter(pc.greater_equal(near, threshold - 1e-12))
 
-    return x.mapInArrow(run, LINKS)
+    return map_batches(x, run, LINKS)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _linked_in_blocks(live: DataFrame, texts: DataFrame, nodes: DataFrame, thres
                 held.append(block.slice(s, e - s))
         yield from _block_links(group, held, threshold)
 
-    return x.mapInArrow(run, LINKS)
+    return map_batches(x, run, LINKS)
 
 
 def _block_links(group: tuple[int, int, int] | None, held: list[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -307,7 +307,7 @@ def _block_links(group: tuple[int, int, int] | None, held: list[pa.RecordBatch],
     keys, label = rows["key"].to_pylist(), rows["label"].to_pylist()
     root = {k: k for k in label}
 
-    def find(k: bytes) -> bytes:
+    def find(k: int) -> int:
         while root[k] != k:
             root[k] = root[root[k]]
             k = root[k]
@@ -343,7 +343,7 @@ def _block_links(group: tuple[int, int, int] | None, held: list[pa.RecordBatch],
             b.append(keys[q])
             near.append(s)
     if a:
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(near, pa.float64())], names=["a", "b", "similarity"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(near, pa.float64())], names=["a", "b", "similarity"])
 
 
 def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY, links: bool = False) -> DataFrame:
@@ -360,10 +360,14 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     * Rows with a null id have a part in classes but never give their name
       unless all ids of a class are null.
     """
-    key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    rows = docs.select(F.col(doc_id).alias("id"), key.alias("key"), F.col(text).alias("text"))
-    nodes = _signed(rows.filter(F.col("text").isNotNull())).groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min("size").alias("size"), F.min("bands").alias("bands"), F.min("sig").alias("sig"))
-    nodes = cut_lineage(nodes)
+    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    rows = docs.select(F.col(doc_id).alias("id"), digest.alias("text_key"), F.col(text).alias("text"))
+    nodes = _signed(rows.filter(F.col("text").isNotNull())).groupBy("text_key")
+    nodes = nodes.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"), F.min("size").alias("size"), F.min("bands").alias("bands"), F.min("sig").alias("sig"))
+    # From here on a text goes by a number: a hash, or if two texts had the same one, its place in the table as written.
+    nodes = cut_lineage(nodes.withColumn("key", F.xxhash64("text_key")))
+    if not nodes.groupBy("key").count().filter("count > 1").isEmpty():
+        nodes = cut_lineage(nodes.withColumn("key", F.monotonically_increasing_id()))
 
     # Buckets of more than one text; pivots are the members that share most places with others.
     places = nodes.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
@@ -371,8 +375,8 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     places = cut_small(places.join(sizes, "bucket"))
     degrees = places.groupBy("key").agg(F.sum("size").alias("degree"))
     places = cut_small(places.select("bucket", "band", "key", "n").join(degrees, "key"))
-    needed = places.select("key").distinct().join(nodes.select("key", "id"), "key")
-    texts = rows.join(needed, (rows["key"] == needed["key"]) & rows["id"].eqNullSafe(needed["id"])).select(rows["key"], "text")
+    needed = places.select("key").distinct().join(nodes.select("key", "text_key", "id"), "key")
+    texts = rows.join(needed, (rows["text_key"] == needed["text_key"]) & rows["id"].eqNullSafe(needed["id"])).select("key", "text")
     texts = cut_small(texts.groupBy("key").agg(F.first("text").alias("text")), 2_000)
 
     close = F.least("n_a", "n_b") >= (threshold - 1e-12) * F.greatest("n_a", "n_b")
@@ -406,9 +410,9 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         joined = found if labels is None else found.unionAll(labels.select(F.col("key").alias("a"), F.col("label").alias("b")))
         labels = cut_small(components(joined))
 
-    named = nodes.join(labels, "key", "left").select("key", "id", "copies", F.coalesce("label", nodes["key"]).alias("label"))
-    classes = named.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("first"), F.sum("copies").alias("class_size"))
-    where = named.select("key", "label").join(classes, "label").select("key", F.col("first.id").alias("class_id"), F.col("first.key").alias("class_key"), "class_size")
+    named = nodes.join(labels, "key", "left").select("key", "text_key", "id", "copies", F.coalesce("label", nodes["key"]).alias("label"))
+    classes = named.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("first"), F.sum("copies").alias("class_size"))
+    where = named.select("key", "text_key", "label").join(classes, "label").select("key", "text_key", F.col("first.id").alias("class_id"), F.col("first.text_key").alias("class_key"), "class_size")
     more = []
     if links:
         both = seen.unionAll(seen.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
@@ -416,14 +420,14 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         best = best.join(nodes.select(F.col("key").alias("near"), F.col("id").alias("near_id")), "near").drop("near")
         where = where.join(best, "key", "left")
         more = ["near_id", "near_similarity"]
-    out = rows.select("id", "key").join(where, "key", "left")
-    kept = F.col("class_key").isNull() | ((F.col("key") == F.col("class_key")) & F.col("id").eqNullSafe(F.col("class_id")))
+    out = rows.select("id", "text_key").join(where, "text_key", "left")
+    kept = F.col("class_key").isNull() | ((F.col("text_key") == F.col("class_key")) & F.col("id").eqNullSafe(F.col("class_id")))
     return out.select(
         F.col("id").alias(doc_id),
         F.when(F.col("class_key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
         kept.alias("kept"),
-        F.col("key").alias("text_key"),
+        "text_key",
         *more,
     )
 
