@@ -17,8 +17,10 @@ one, and a group that has one member left is dropped before the next digit:
    are counted: equal groups are exactly the repeated windows.
 
 Sorting is by range over all columns, so that a digit that a third of all rows
-share is spread over many tasks.  A group that touches the edge of a task's
-range is never settled there but handed to the next digit.
+share is spread over many tasks.  The ranges are cut at quantiles of a sample of
+the documents, which only balances them, so that rows are made once.  A group
+that touches the edge of a task's range is never settled there but handed to
+the next digit.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import blocks, cut_lineage
+from tagloom.llm.common import blocks, cut_lineage, map_batches
 from tagloom.llm.near_dup import _BYTES, _POWERS, mix64
 
 LENGTH = 200
@@ -41,6 +43,8 @@ CELL = 16
 #: Windows hashed at once, and input bytes for each range of the sort.
 PIECE = 1 << 20
 RANGE_BYTES = 64 << 20
+#: Bytes of the documents that the ranges are cut by: at least, and for each range. Rows of a range that it must have.
+SAMPLE_BYTES, SAMPLE_EACH, SAMPLE_ROWS = 16 << 20, 4096, 8
 
 _SHIFT = 20  # a run of windows is packed as start << 20 | count
 _MOST = (1 << _SHIFT) - 1
@@ -149,13 +153,51 @@ def settle(digit: np.ndarray, one: np.ndarray, two: np.ndarray, periodic: np.nda
     return (whole + 2 * split).astype(np.int8)
 
 
-def _settled(rows: DataFrame, ranges: int) -> DataFrame:
-    """(rid, run, repeated, open) of rows (digit, one, two, rid, run), sorted by range."""
-    order = ["digit", "one", "two", "rid", "run"]
-    rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+ORDER = ["digit", "one", "two", "rid", "run"]
+_ROWS = ", ".join(f"{c} long" for c in ORDER)
+
+
+def part_of(columns: list[np.ndarray], bounds: list[np.ndarray]) -> np.ndarray:
+    """Number of bounds below each row, both compared column by column; bounds ascend."""
+    low, high = np.searchsorted(bounds[0], columns[0], "left"), np.searchsorted(bounds[0], columns[0], "right")
+    if len(columns) > 1 and len(tied := np.flatnonzero(high > low)):
+        tied = tied[np.argsort(low[tied], kind="stable")]
+        for rows in np.split(tied, np.flatnonzero(np.diff(low[tied])) + 1):
+            a, b = int(low[rows[0]]), int(high[rows[0]])
+            low[rows] += part_of([c[rows] for c in columns[1:]], [x[a:b] for x in bounds[1:]])
+    return low
+
+
+def _ranged(source: DataFrame, make, ranges: int, share: float) -> DataFrame:
+    """The rows that ``make`` has of ``source``, dealt to ranges and sorted within them.
+
+    The bounds are quantiles of the rows of a share of the documents.  Where
+    few long documents leave too small a sample, Spark's own sampling takes
+    its place, for which it makes all rows one more time.
+    """
+    some = source.filter(F.pmod(F.xxhash64(F.lit("sample"), "rid"), F.lit(1_000_000)) < max(1, round(share * 1_000_000)))
+    sample = map_batches(some, make, _ROWS).toArrow()
+    if sample.num_rows < SAMPLE_ROWS * ranges and share < 1:
+        return map_batches(source, make, _ROWS).repartitionByRange(ranges, *ORDER).sortWithinPartitions(*ORDER)
+    columns = [sample[c].to_numpy() for c in ORDER]
+    order = np.lexsort(columns[::-1])
+    at = order[(np.arange(1, ranges) * len(order)) // ranges] if len(order) else order
+    shared = source.sparkSession.sparkContext.broadcast([c[at] for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b[c].to_numpy() for c in order] for b in batches]
+        for batch in make(batches):
+            part = part_of([batch[c].to_numpy() for c in ORDER], shared.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], names=[*ORDER, "part"])
+
+    return map_batches(source, run, f"{_ROWS}, part int").repartitionById(ranges, "part").sortWithinPartitions(*ORDER)
+
+
+def _settled(source: DataFrame, make, ranges: int, share: float) -> DataFrame:
+    """(rid, run, repeated, open) of the rows (digit, one, two, rid, run) that ``make`` has of ``source``."""
+    rows = _ranged(source, make, ranges, share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b[c].to_numpy() for c in ORDER] for b in batches]
         if parts:
             digit, one, two, rid, packed = (np.concatenate(c) for c in zip(*parts))
             said = settle(digit, one, two, (packed & _PERIODIC) > 0)
@@ -165,7 +207,14 @@ def _settled(rows: DataFrame, ranges: int) -> DataFrame:
                 x = at[i : i + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(rid[x]), pa.array(packed[x]), pa.array((said[x] & 1) > 0), pa.array((said[x] & 2) > 0)], names=["rid", "run", "repeated", "open"])
 
-    return rows.mapInArrow(run, "rid long, run long, repeated boolean, open boolean")
+    return map_batches(rows, run, "rid long, run long, repeated boolean, open boolean")
+
+
+def _numbered(docs: DataFrame, doc_id: str, body: Column) -> DataFrame:
+    """(rid, id, text): a number for each pair of id and text, rows that agree in both share theirs."""
+    rows = docs.select(F.col(doc_id).alias("id"), body.alias("text"), F.md5(body.cast("binary")).alias("digest"))
+    numbers = cut_lineage(rows.select(F.col("id").alias("of"), F.col("digest").alias("with")).distinct().withColumn("rid", F.monotonically_increasing_id()))
+    return cut_lineage(rows.join(numbers, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("with"))).select("rid", "id", "text"))
 
 
 def _by_document(settled: DataFrame, name: str) -> DataFrame:
@@ -187,12 +236,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body = F.coalesce(F.col(text), F.lit(""))
     integral = docs.schema[doc_id].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
     about = docs.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(doc_id).alias("ids"), F.coalesce(F.sum(F.octet_length(body)), F.lit(0)).alias("bytes")).first()
-    # Ids that repeat or are null give way to a hash of id and text; rows that agree in both share their answer.
-    rid = F.col(doc_id).cast("long") if integral and about.n == about.ids else F.xxhash64(F.col(doc_id), body)
-    rows = docs.select(rid.alias("rid"), F.col(doc_id).alias("id"), body.alias("text"))
+    # Ids that aren't whole numbers, repeat or are null give way to numbers of id and text; the rows are written out once more then.
+    if integral and about.n == about.ids:
+        rows = docs.select(F.col(doc_id).cast("long").alias("rid"), F.col(doc_id).alias("id"), body.alias("text"))
+    else:
+        rows = _numbered(docs, doc_id, body)
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-about.bytes // RANGE_BYTES))
-    schema = "digit long, one long, two long, rid long, run long"
-    order = ["digit", "one", "two", "rid", "run"]
+    share = min(1.0, max(SAMPLE_BYTES, ranges * SAMPLE_EACH) / max(1, about.bytes))
 
     # First digit.
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +254,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     out.append((first, fingerprints(pieces), np.full(len(first), r, np.int64), packed))
             if out:
                 first, prints, rids, packed = (np.concatenate(c) for c in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (first, prints[:, 0].copy(), prints[:, 1].copy(), rids, packed)], names=order)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (first, prints[:, 0].copy(), prints[:, 1].copy(), rids, packed)], names=ORDER)
 
     long_ = rows.filter(F.octet_length("text") >= length)
-    first = cut_lineage(_settled(long_.select("rid", "text").mapInArrow(spans, schema), ranges))
+    first = cut_lineage(_settled(long_.select("rid", "text"), spans, ranges, share))
     by_doc = _by_document(first, "1")
     windows = F.octet_length("text") - (length - 1)
     known = F.aggregate("repeated1", F.lit(0).cast("long"), lambda a, x: a + x.bitwiseAND(F.lit(_MOST)))
@@ -220,7 +270,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             z = [deflate.compress(t.encode()) for t in block["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([block["rid"], pa.array(z, pa.binary()), block["repeated1"], block["open1"]], names=["rid", "data", "repeated1", "open1"])
 
-    part = cut_lineage(part.select("rid", "text", "repeated1", "open1").mapInArrow(pack, "rid long, data binary, repeated1 array<long>, open1 array<long>"))
+    part = cut_lineage(map_batches(part.select("rid", "text", "repeated1", "open1"), pack, "rid long, data binary, repeated1 array<long>, open1 array<long>"))
 
     # Second digit.
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,10 +286,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         packed.append(p)
                 prints = fingerprints(bodies)
                 cols = (fingerprints(heads)[:, 0], prints[:, 0], prints[:, 1], np.full(len(packed), r, np.int64), np.array(packed, np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in cols], names=order)
+                yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in cols], names=ORDER)
 
     opened = part.filter(F.size("open1") > 0).select("rid", "data", F.col("open1").alias("open"))
-    second = cut_lineage(_settled(opened.mapInArrow(cells, schema), ranges))
+    second = cut_lineage(_settled(opened, cells, ranges, share))
     by_cell = _by_document(second, "2")
 
     # Last digit: single windows.
@@ -254,7 +304,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in cols], names=["one", "two", "rid", "run"])
 
     deep = part.select("rid", "data").join(by_cell.filter(F.size("open2") > 0).select("rid", F.col("open2").alias("open")), "rid")
-    deep = cut_lineage(deep.mapInArrow(singles, "one long, two long, rid long, run long"))
+    deep = cut_lineage(map_batches(deep, singles, "one long, two long, rid long, run long"))
     often = deep.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two")
     third = deep.join(often, ["one", "two"]).groupBy("rid").agg(F.collect_set("run").alias("repeated3"))
 
@@ -280,7 +330,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.string())], names=["rid", "n_removed", "n_spans", "kept_sha256"])
 
     full = part.select("rid", "data", "repeated1").join(by_cell.select("rid", "repeated2"), "rid", "left").join(third, "rid", "left")
-    judged = full.mapInArrow(verdict, "rid long, n_removed long, n_spans long, kept_sha256 string").groupBy("rid").agg(*[F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256")])
+    judged = map_batches(full, verdict, "rid long, n_removed long, n_spans long, kept_sha256 string").groupBy("rid").agg(*[F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256")])
 
     base = rows.select("rid", "id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     out = base.join(judged, "rid", "left").join(by_doc.select("rid", "known"), "rid", "left")

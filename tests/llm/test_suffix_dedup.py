@@ -49,6 +49,44 @@ def test_against_brute_force(spark, seed, length, gram, cell, ranges):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_ranges_against_comparing():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 3, (400, 4))
+    bounds = rows[rng.choice(400, 12)]
+    bounds = bounds[np.lexsort(bounds.T[::-1])]
+    want = [sum(tuple(b) < tuple(r) for b in bounds.tolist()) for r in rows.tolist()]
+    assert sd.part_of(list(rows.T), list(bounds.T)).tolist() == want
+    assert sd.part_of(list(rows.T), [b[:0] for b in bounds.T]).tolist() == [0] * 400
+
+
+@pytest.mark.parametrize("each", [0, 1 << 20])
+def test_small_samples_only_change_the_ranges(spark, monkeypatch, each):
+    """Bounds by a part of the documents, or by Spark where that is too small."""
+    monkeypatch.setattr(sd, "SAMPLE_BYTES", 600)
+    monkeypatch.setattr(sd, "SAMPLE_EACH", 0)
+    monkeypatch.setattr(sd, "SAMPLE_ROWS", each)
+    rows = random_rows(random.Random(4), 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(sd.remove_repeats(df, length=20, gram=7, cell=4)) == brute(rows, 20)
+
+
+def test_ids_of_any_kind(spark):
+    """Text ids, null ids and ids that repeat with other texts."""
+    rng = random.Random(6)
+    rows = [(None if i % 7 == 0 else f"id{i % 5}", t) for i, t in random_rows(rng, 30)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert got(sd.remove_repeats(df, length=20, gram=7, cell=4)) == brute(rows, 20)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(7)
+    long_ = "".join(rng.choice("abcdefgh ") for _ in range(2_500_000))
+    rows = [(1, long_), (2, "x" + long_[1_200_000:1_201_000] + "y"), (3, "z" * 500), (4, long_[5:150])]
+    out = {r.doc_id: r for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: (r.n_bytes, r.n_removed, r.n_spans) for d, r in out.items()} == {1: (2_500_000, 1000, 1), 2: (1002, 1000, 1), 3: (500, 500, 1), 4: (145, 0, 0)}
+    assert out[1].kept_sha256 == hashlib.sha256((long_[:1_200_000] + long_[1_201_000:]).encode()).hexdigest()
+
+
 def test_pieces_and_long_runs(spark, monkeypatch):
     rows = random_rows(random.Random(8), 20)
     levels = sd.Levels(20, 7, 4)
