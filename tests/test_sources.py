@@ -8,7 +8,7 @@ from tagloom import kernels
 from tagloom.functions.payload import chat_record, truth_of
 from tagloom.operators import datasets
 from tagloom.schema import COLUMNS
-from tagloom.sources import tables, video
+from tagloom.sources import decoders, tables, video
 
 
 def written(path):
@@ -134,6 +134,28 @@ def test_decoders_that_seek(spark):
         video.read_frame_at(spark, "a", 0, "tests.test_sources:fake_decoder").collect()
 
 
+def y4m_file(path, space, planes):
+    """Ten frames of 4 x 2 at 25 a second; planes(i) gives the bytes of frame i."""
+    path.write_bytes(f"YUV4MPEG2 W4 H2 F25:1 Ip A1:1 C{space}\n".encode() + b"".join(b"FRAME\n" + planes(i) for i in range(10)))
+    return str(path)
+
+
+def test_uncompressed_video(spark, tmp_path):
+    grey = y4m_file(tmp_path / "g.y4m", "mono", lambda i: bytes([20 * i] * 8))
+    color = y4m_file(tmp_path / "c.y4m", "420jpeg", lambda i: bytes([81] * 8 + [90] * 2 + [240] * 2))  # red
+    got = video.read_frames(spark, [grey, f"file://{color}"], "tagloom.sources.decoders:y4m").collect()
+    assert sorted((r.ts_ms, r.channels, bytes(r.data)) for r in got if r.channels == 1) == [(40 * i, 1, bytes([20 * i] * 8)) for i in range(10)]
+    assert all(np.abs(np.frombuffer(r.data, np.uint8).reshape(-1, 3).astype(int) - [0, 0, 254]).max() <= 2 for r in got if r.channels == 3)
+    grid = video.read_frames(spark, [grey], "tagloom.sources.decoders:y4m", 100)
+    assert sorted((r.ts_ms, r.data[0]) for r in grid.collect()) == [(0, 0), (100, 40), (200, 100), (300, 140)]
+    assert video.read_frame_at(spark, grey, 399, "tagloom.sources.decoders:y4m").first().data[0] == 180
+    assert video.read_frame_at(spark, grey, 400, "tagloom.sources.decoders:y4m").count() == 0
+    (tmp_path / "bad.y4m").write_bytes((tmp_path / "g.y4m").read_bytes()[:-3])
+    bad = video.read_frames(spark, [str(tmp_path / "bad.y4m"), str(tmp_path / "none.y4m")], "tagloom.sources.decoders:y4m", bad_files="report")
+    assert sorted((r.error is None) for r in bad.collect()) == [False, False] + [True] * 9
+    assert kernels.read_square(np.zeros((9, 9), np.uint8), decoders.code_readers()) == ("", "")
+
+
 def test_bad_files_are_reported(spark, tmp_path):
     got = video.read_frames(spark, ["a", "bad"], "tests.test_sources:fragile_decoder", bad_files="report")
     assert sorted((r.video, r.error) for r in got.filter("error IS NOT NULL").collect()) == [("bad", "cannot decode bad")]
