@@ -439,8 +439,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     A null text and one without a word stay, unless id and text repeat: of rows
     that agree in both one stays.  An empty table gives no rows.
     """
-    key, of = fresh_name(docs, "__key"), fresh_name(docs, "__id")
-    kept = duplicate_classes(docs, doc_id, text, threshold).filter("kept").select(F.col(doc_id).alias(of), F.col("text_key").alias("text_key")).distinct()
+    key, of, known = (fresh_name(docs, n) for n in ("__key", "__id", "__known"))
+    kept = duplicate_classes(docs, doc_id, text, threshold).filter("kept").select(F.col(doc_id).alias(of), F.col("text_key").alias(known)).distinct()
     keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
-    joined = keyed.join(kept.withColumnRenamed("text_key", f"{key}_"), (F.col(key) == F.col(f"{key}_")) & F.col(doc_id).eqNullSafe(F.col(of)), "left_semi")
+    joined = keyed.join(kept, (F.col(key) == F.col(known)) & F.col(doc_id).eqNullSafe(F.col(of)), "left_semi")
     return joined.dropDuplicates([doc_id, key]).select(*docs.columns)

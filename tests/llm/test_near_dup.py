@@ -179,7 +179,7 @@ def test_recall_on_documents():
 def test_edge_rows(spark):
     t = "one two three four five six seven"
     rows = [(1, None, 5), (2, "", 5), (3, " \n", 5), (4, "", 5), (None, t, 5), (7, t, 5), (7, t, 5), (8, "a b", 5), (9, "a  b", 5), (10, "a c", 5), (None, "z z z z z z", 6)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, kept int").withColumn("key", F.lit(0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept int").selectExpr("*", "0 AS key", "1 AS __key", "2 AS __id_", "3 AS text_key", "4 AS class_id", "5 AS near_id")
     got = sorted((r.doc_id or 0, r.class_id or 0, r.class_size, r.kept) for r in nd.duplicate_classes(df).collect())
     assert got == sorted([(1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, True), (4, 4, 1, True), (0, 7, 3, False), (7, 7, 3, True), (7, 7, 3, True), (8, 8, 2, True), (9, 8, 2, False), (10, 10, 1, True), (0, 0, 1, True)])
     one = nd.keep_one(df)
