@@ -139,6 +139,7 @@ def queries():
         "op8_topk_search": op8_topk_search,
         "op9_near_dup": op9_near_dup,
         "op10_secret_scan": op10_secret_scan,
+        "quality_base_stats": quality_query.quality_base_stats,
         "length_sums": length_sums,
         "secret_base_counts": secret_base_counts,
     }
@@ -146,4 +147,4 @@ def queries():
 
 def oracle_sql() -> dict[str, str]:
     known = {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
-    return known | {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL, "op8_topk_search": OP8_SQL, "length_sums": LENGTH_SUMS_SQL, "secret_base_counts": SECRET_BASE_SQL}
+    return known | {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL, "op8_topk_search": OP8_SQL, "quality_base_stats": quality_query.BASE_STATS_SQL, "length_sums": LENGTH_SUMS_SQL, "secret_base_counts": SECRET_BASE_SQL}

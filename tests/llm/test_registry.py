@@ -6,7 +6,7 @@ import pytest
 from tagloom.llm import registry
 
 
-@pytest.mark.parametrize("name", ["length_sums", "secret_base_counts", "op6_url_filter"])
+@pytest.mark.parametrize("name", ["quality_base_stats", "length_sums", "secret_base_counts", "op6_url_filter"])
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_query_against_sql(spark, name, sf):
     df = registry.queries()[name](spark, sf)
