@@ -43,11 +43,14 @@ CELL = 16
 #: Windows hashed at once, and input bytes for each range of the sort.
 PIECE = 1 << 20
 RANGE_BYTES = 64 << 20
-#: Bytes of the documents that the ranges are cut by: at least, and for each range. Rows of a range that it must have.
-SAMPLE_BYTES, SAMPLE_EACH, SAMPLE_ROWS = 16 << 20, 4096, 8
+#: Bytes of the documents that the ranges are cut by: at least, and for each range.
+SAMPLE_BYTES, SAMPLE_EACH = 16 << 20, 4096
+#: Rows of each range that the sample must have, and of the whole sample (40 bytes each) at most, about, however many ranges there are.
+SAMPLE_ROWS, SAMPLE_MOST = 8, 2_000_000
 
 _SHIFT = 20  # a run of windows is packed as start << 20 | count
 _MOST = (1 << _SHIFT) - 1
+_BYTES_A_ROW = 32  # of text that a row of the first pass stands for, at least, about
 _PERIODIC = 1 << 62  # marks a span in which windows may equal each other
 
 
@@ -168,16 +171,18 @@ def part_of(columns: list[np.ndarray], bounds: list[np.ndarray]) -> np.ndarray:
     return low
 
 
-def _ranged(source: DataFrame, make, ranges: int, share: float) -> DataFrame:
+def _ranged(source: DataFrame, make, ranges: int, share: float, size: int) -> DataFrame:
     """The rows that ``make`` has of ``source``, dealt to ranges and sorted within them.
 
-    The bounds are quantiles of the rows of a share of the documents.  Where
-    few long documents leave too small a sample, Spark's own sampling takes
-    its place, for which it makes all rows one more time.
+    The bounds are quantiles of the rows of a share of the documents, whose
+    number is bounded by thinning them (``size`` is that of all documents).
+    Where few long documents leave too small a sample, Spark's own sampling
+    takes its place, for which it makes all rows one more time.
     """
     some = source.filter(F.pmod(F.xxhash64(F.lit("sample"), "rid"), F.lit(1_000_000)) < max(1, round(share * 1_000_000)))
-    sample = map_batches(some, make, _ROWS).toArrow()
-    if sample.num_rows < SAMPLE_ROWS * ranges and share < 1:
+    thin = max(1, int(share * size / _BYTES_A_ROW / SAMPLE_MOST))
+    sample = map_batches(some, make, _ROWS).filter(F.pmod(F.xxhash64("rid", "run"), F.lit(thin)) == 0).toArrow()
+    if sample.num_rows < min(SAMPLE_ROWS * ranges, SAMPLE_MOST // 4) and share < 1:
         return map_batches(source, make, _ROWS).repartitionByRange(ranges, *ORDER).sortWithinPartitions(*ORDER)
     columns = [sample[c].to_numpy() for c in ORDER]
     order = np.lexsort(columns[::-1])
@@ -192,9 +197,9 @@ def _ranged(source: DataFrame, make, ranges: int, share: float) -> DataFrame:
     return map_batches(source, run, f"{_ROWS}, part int").repartitionById(ranges, "part").sortWithinPartitions(*ORDER)
 
 
-def _settled(source: DataFrame, make, ranges: int, share: float) -> DataFrame:
+def _settled(source: DataFrame, make, ranges: int, share: float, size: int) -> DataFrame:
     """(rid, run, repeated, open) of the rows (digit, one, two, rid, run) that ``make`` has of ``source``."""
-    rows = _ranged(source, make, ranges, share)
+    rows = _ranged(source, make, ranges, share, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[b[c].to_numpy() for c in ORDER] for b in batches]
@@ -257,7 +262,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (first, prints[:, 0].copy(), prints[:, 1].copy(), rids, packed)], names=ORDER)
 
     long_ = rows.filter(F.octet_length("text") >= length)
-    first = cut_lineage(_settled(long_.select("rid", "text"), spans, ranges, share))
+    first = cut_lineage(_settled(long_.select("rid", "text"), spans, ranges, share, about.bytes))
     by_doc = _by_document(first, "1")
     windows = F.octet_length("text") - (length - 1)
     known = F.aggregate("repeated1", F.lit(0).cast("long"), lambda a, x: a + x.bitwiseAND(F.lit(_MOST)))
@@ -289,7 +294,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in cols], names=ORDER)
 
     opened = part.filter(F.size("open1") > 0).select("rid", "data", F.col("open1").alias("open"))
-    second = cut_lineage(_settled(opened, cells, ranges, share))
+    second = cut_lineage(_settled(opened, cells, ranges, share, about.bytes))
     by_cell = _by_document(second, "2")
 
     # Last digit: single windows.

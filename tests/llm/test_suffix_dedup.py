@@ -59,9 +59,10 @@ def test_ranges_against_comparing():
     assert sd.part_of(list(rows.T), [b[:0] for b in bounds.T]).tolist() == [0] * 400
 
 
-@pytest.mark.parametrize("each", [0, 1 << 20])
-def test_small_samples_only_change_the_ranges(spark, monkeypatch, each):
-    """Bounds by a part of the documents, or by Spark where that is too small."""
+@pytest.mark.parametrize("each,most", [(0, 1 << 20), (1 << 20, 1 << 20), (0, 5)])
+def test_small_samples_only_change_the_ranges(spark, monkeypatch, each, most):
+    """Bounds by a part of the documents, by Spark where that is too small, or by a thinned part."""
+    monkeypatch.setattr(sd, "SAMPLE_MOST", most)
     monkeypatch.setattr(sd, "SAMPLE_BYTES", 600)
     monkeypatch.setattr(sd, "SAMPLE_EACH", 0)
     monkeypatch.setattr(sd, "SAMPLE_ROWS", each)
