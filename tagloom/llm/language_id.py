@@ -34,7 +34,7 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 
 #: Code points in a batch, and cells of the matrix gathered at once.
-PIECE, CELLS = 1 << 16, 1 << 20
+PIECE, CELLS = 1 << 15, 1 << 20
 
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 _SHIFT = np.uint32(32 - SLOTS.bit_length() + 1)
@@ -83,7 +83,7 @@ def hashed(pieces: list[tuple[str, int]]) -> Grams:
         first = starts + np.maximum(0, carried - n + 1)
         number = np.maximum(0, ends - n + 1 - first)
         at = np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
-        out.append((((h * np.uint32(0x85EBCA6B)) >> _SHIFT)[at], number))
+        out.append((((h * np.uint32(0x85EBCA6B)) >> _SHIFT).take(at), number))
     return out
 
 
@@ -137,7 +137,7 @@ class LanguageModel:
                 some = np.flatnonzero(number)
                 if len(some):
                     starts = (np.cumsum(number) - number)[some]
-                    np.add.at(out, rows[some], np.add.reduceat(self.matrix[slots], starts, axis=0))
+                    np.add.at(out, rows[some], np.add.reduceat(self.matrix.take(slots, axis=0), starts, axis=0))
                     np.add.at(sizes, rows[some], number[some])
         return out, sizes
 
