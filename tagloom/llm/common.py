@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.session import cut_lineage, shared_folder, ship_package
 
-__all__ = ["BATCH_BYTES", "BLOCK_BYTES", "WORD", "blocks", "bound_batches", "cut_lineage", "cut_small", "fresh_name", "map_arrow", "map_batches", "remove_folder", "shared_folder", "table"]
+__all__ = ["BATCH_BYTES", "BLOCK_BYTES", "WORD", "blocks", "bound_batches", "cut_lineage", "cut_small", "fresh_name", "map_arrow", "map_batches", "release_shuffles", "remove_folder", "shared_folder", "table"]
 
 #: Text bytes that an Arrow step handles at once, which bounds its memory.
 BLOCK_BYTES = 4 << 20
@@ -51,16 +51,28 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut_small(df: DataFrame, rows_each: int = 50_000) -> DataFrame:
+def cut_small(df: DataFrame, rows_each: int = 50_000, at_most: int | None = None) -> DataFrame:
     """``cut_lineage`` with as many partitions as its number of rows calls for, never more than before.
 
     Iterations over tables much smaller than the input then don't write a file
-    for every pair of partitions of the input.
+    for every pair of partitions of the input; where a bound on the rows is
+    known beforehand, not even one for every partition.
     """
+    if at_most is not None:
+        return cut_lineage(df.coalesce(max(1, -(-at_most // rows_each))))
     cut = cut_lineage(df)
     return cut.coalesce(max(1, -(-cut.count() // rows_each)))
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Asks the driver to collect what nothing refers to any more, and with it the files of its shuffles.
+
+    Where a written table has taken the place of a large shuffle, disk use
+    then doesn't depend on when the driver would come to it.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``most`` bytes of a column each (one row at least)."""
     for batch in batches:

@@ -238,6 +238,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 def components(links: DataFrame) -> DataFrame:
     """(key, label) of every key in a link (a, b); label is the least key of its component."""
     edges = cut_small(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    most = 3 * edges.count()  # a step gives about an edge for each one it gets, and one for each end
     while not _are_stars(edges):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -245,7 +246,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         near = large.join(least, "a")
         small = near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
-        edges = cut_small(small.distinct())
+        edges = cut_small(small.distinct(), at_most=most)
     return edges.select(F.col("a").alias("key"), F.col("b").alias("label")).unionAll(edges.select(F.col("b").alias("key"), F.col("b").alias("label")).distinct())
 
 
