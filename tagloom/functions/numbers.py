@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import strip
+from tagloom.functions.text import bound, strip
 
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
@@ -35,19 +35,29 @@ def fixed(x: Column, places: int) -> Column:
     there are no fractions, the digits are those of the shortest form.
     """
     ten = 10**places
-    x = x.cast("double")
-    size = F.abs(x)
-    whole = F.floor(size).cast("long")
-    part = size - whole.cast("double")
-    spread = part * F.lit(134217729.0)  # 2^27 + 1
-    high = spread - (spread - part)
-    cut = F.floor(part * ten).cast("long")
-    above = (high * ten - (cut + F.lit(0.5))) + (part - high) * ten
-    cents = cut + F.when((above > 0) | ((above == 0) & (cut % 2 == 1)), 1).otherwise(0)
-    over = F.when(cents == ten, 1).otherwise(0)
-    sign = F.when((x < 0) | (x.cast("string") == "-0.0"), "-").otherwise("")
-    text = F.concat(sign, (whole + over).cast("string"), F.lit("."), F.lpad((cents % ten).cast("string"), places, "0"))
-    return F.when(x.isNull(), F.lit(None).cast("string")).when(size < 2.0**62, text).otherwise(F.format_string(f"%.{places}f", x))
+
+    def split(x: Column) -> Column:
+        whole = F.floor(F.abs(x))
+        return F.struct(x.alias("x"), whole.alias("whole"), (F.abs(x) - whole.cast("double")).alias("part"))
+
+    def halved(e: Column) -> Column:
+        spread = e["part"] * F.lit(134217729.0)  # 2^27 + 1
+        return F.struct(e["x"].alias("x"), e["whole"].alias("whole"), e["part"].alias("part"), (spread - (spread - e["part"])).alias("high"), F.floor(e["part"] * ten).alias("cut"))
+
+    def rounded(e: Column) -> Column:
+        above = (e["high"] * ten - (e["cut"] + F.lit(0.5))) + (e["part"] - e["high"]) * ten
+        up = (above > 0) | ((above == 0) & (e["cut"] % 2 == 1))
+        return F.struct(e["x"].alias("x"), e["whole"].alias("whole"), (e["cut"] + F.when(up, 1).otherwise(0)).alias("cents"))
+
+    def joined(e: Column) -> Column:
+        over = e["cents"] == ten
+        sign = F.when((e["x"] < 0) | (e["x"].cast("string") == "-0.0"), "-").otherwise("")
+        units, cents = F.when(over, e["whole"] + 1).otherwise(e["whole"]), F.when(over, 0).otherwise(e["cents"])
+        return F.concat(sign, units.cast("string"), F.lit("."), F.lpad(cents.cast("string"), places, "0"))
+
+    text = lambda x: bound(bound(bound(split(x), halved), rounded), joined)
+    said = lambda x: F.when(x.isNull(), F.lit(None).cast("string")).when(F.abs(x) < 2.0**62, text(x)).otherwise(F.format_string(f"%.{places}f", x))
+    return bound(x.cast("double"), said)
 
 
 def price_text(s: Column) -> Column:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagloom.functions.numbers import price_text
-from tagloom.functions.text import digits_only, strip
+from tagloom.functions.text import bound, digits_only, strip
 from tagloom.schema import DOT_PRICES, FIELDS, PAYLOAD_KEYS
 
 EXTRA = "_extra"
@@ -35,11 +33,6 @@ def nfkc(s: Column) -> Column:
     return F.when(s.rlike(r"[^\x00-\x7F]"), composed).otherwise(s)
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def unquoted(s: Column) -> Column:
     """Percent escapes decoded; ``+`` and what isn't a valid escape stay."""
     guarded = F.regexp_replace(F.replace(s, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
