@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.session import cut_lineage, shared_folder, ship_package
 
-__all__ = ["BATCH_BYTES", "BLOCK_BYTES", "WORD", "blocks", "bound_batches", "cut_lineage", "cut_small", "fresh_name", "map_arrow", "map_batches", "remove_folder", "shared_folder", "table"]
+__all__ = ["BATCH_BYTES", "BLOCK_BYTES", "WORD", "blocks", "bound_batches", "cut_lineage", "cut_small", "fresh_name", "map_arrow", "map_batches", "others", "remove_folder", "shared_folder", "table"]
 
 #: Text bytes that an Arrow step handles at once, which bounds its memory.
 BLOCK_BYTES = 4 << 20
@@ -96,3 +96,9 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def others(df: DataFrame, keep: list[str] | None, new: list[str]) -> list[str]:
+    """The ``keep`` columns (all, if None) but for those that bear one of the ``new`` names in any case, as Spark compares names."""
+    taken = {n.lower() for n in new}
+    return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, language_id, mixing_query, near_dup, pipeline, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter
+from tagloom.llm import bpe, conversation_query, language_id, mixing_query, near_dup, pipeline, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter, vector_query
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -139,6 +139,8 @@ def queries():
         "op8_topk_search": op8_topk_search,
         "op9_near_dup": op9_near_dup,
         "op10_secret_scan": op10_secret_scan,
+        "op12_conversation_repair": conversation_query.op12_conversation_repair,
+        "op13_vector_codes": vector_query.op13_vector_codes,
         "quality_base_stats": quality_query.quality_base_stats,
         "length_sums": length_sums,
         "secret_base_counts": secret_base_counts,
@@ -147,4 +149,4 @@ def queries():
 
 def oracle_sql() -> dict[str, str]:
     known = {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
-    return known | {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL, "op8_topk_search": OP8_SQL, "quality_base_stats": quality_query.BASE_STATS_SQL, "length_sums": LENGTH_SUMS_SQL, "secret_base_counts": SECRET_BASE_SQL}
+    return known | {"op1_mix_sources": mixing_query.OP1_SQL, "op6_url_filter": OP6_SQL, "op8_topk_search": OP8_SQL, "op12_conversation_repair": conversation_query.OP12_SQL, "op13_vector_codes": vector_query.OP13_SQL, "quality_base_stats": quality_query.BASE_STATS_SQL, "length_sums": LENGTH_SUMS_SQL, "secret_base_counts": SECRET_BASE_SQL}
