@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, conversation_query, language_id, mixing_query, near_dup, pipeline, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter, vector_query
+from tagloom.llm import bpe, classifier_query, conversation_query, language_id, mixing_query, near_dup, pipeline, quality_query, secrets, suffix_dedup, token_counts, topk_search, url_filter, vector_query
 from tagloom.llm.common import table
 
 #: Fixed rules of the url query.
@@ -139,6 +139,7 @@ def queries():
         "op8_topk_search": op8_topk_search,
         "op9_near_dup": op9_near_dup,
         "op10_secret_scan": op10_secret_scan,
+        "op11_quality_classifier": classifier_query.op11_quality_classifier,
         "op12_conversation_repair": conversation_query.op12_conversation_repair,
         "op13_vector_codes": vector_query.op13_vector_codes,
         "quality_base_stats": quality_query.quality_base_stats,
