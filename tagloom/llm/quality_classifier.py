@@ -5,9 +5,9 @@ of words, and of the pattern in which neighbouring words are the same one.  Each
 indicators of a text are brought to length one; on these a linear model with
 hinge loss is fitted by dual coordinate descent.
 
-Learning takes labelled rows up to a documented bound.  Their indicators are
-written once; sums by class and slot give the ratios.  The rows are dealt into
-blocks, and each round works through all blocks at once: a block's task
+Learning takes labelled rows up to a documented bound.  They are dealt into
+blocks, whose indicators are written once; sums by class and slot give the
+ratios.  Each round works through all blocks at once: a block's task
 descends on its own dual variables, starting from the weights of all, as if its
 own change were made by every block (so that the sum of all changes is safe), and
 hands back its variables and the change of the weights.  Rounds end when the
@@ -20,6 +20,7 @@ each slot).  A text passes through in pieces and is held as one bit a slot.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -120,45 +121,54 @@ def ratios(counts: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
     return np.log(share[1]) - np.log(share[0])
 
 
-@dataclass
-class Block:
-    """Rows of a block: where each begins among the slots, the slots, their classes (-1, 1)."""
+def scaled(r: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The values of a row's features: the ratios of its slots, of length one."""
+    x = r[slots]
+    length = np.sqrt(x @ x)
+    return x / length if length > 0 else x
 
-    starts: np.ndarray
-    slots: np.ndarray
-    sides: np.ndarray
 
-    def scaled(self, r: np.ndarray) -> np.ndarray:
-        """The values of the features: ratios of the slots, each row of length one."""
-        x = r[self.slots]
-        row = np.repeat(np.arange(len(self.sides)), np.diff(self.starts))
-        length = np.sqrt(np.bincount(row, x * x, len(self.sides)))
-        return x / np.where(length > 0, length, 1.0)[row]
-
-    def margins(self, x: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Weights end with the bias."""
-        row = np.repeat(np.arange(len(self.sides)), np.diff(self.starts))
-        return np.bincount(row, x * weights[self.slots], len(self.sides)) + weights[-1]
+@dataclass
+class Block:
+    """Rows of a block: their slots, classes (0, 1) and whether they are held back."""
+
+    slots: list[np.ndarray]
+    labels: np.ndarray
+    held: np.ndarray
+
+    def row(self) -> dict:
+        """Slots as gaps, compressed: about a byte each instead of four."""
+        gaps = [np.diff(s, prepend=0).astype("<i4").tobytes() for s in self.slots]
+        return {"sizes": np.array([len(s) for s in self.slots], "<i8").tobytes(), "gaps": zlib.compress(b"".join(gaps), 1), "labels": self.labels.astype("i1").tobytes(), "held": self.held.astype("i1").tobytes()}
+
+    @classmethod
+    def of(cls, row: dict, held: bool | None = None) -> Block:
+        """The rows held back or not, or all."""
+        ends = np.cumsum(np.frombuffer(row["sizes"], "<i8"))
+        kept = np.frombuffer(row["held"], "i1") == 1
+        gaps, labels = np.frombuffer(zlib.decompress(row["gaps"]), "<i4"), np.frombuffer(row["labels"], "i1")
+        which = range(len(ends)) if held is None else np.flatnonzero(kept == held).tolist()
+        slots = [np.cumsum(gaps[ends[i - 1] if i else 0 : ends[i]], dtype=np.int32) for i in which]
+        return cls(slots, labels[list(which)], kept[list(which)])
 
     def descend(self, r: np.ndarray, weights: np.ndarray, duals: np.ndarray, cost: float, share: float, passes: int, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
-        """(duals, change of the weights, hinge loss before) of some passes in a seeded order.
+        """(duals, change of the weights, hinge loss before) of some passes in a seeded order; weights end with the bias.
 
         ``share`` is the number of blocks: the change counts so often in a
         block's own steps, which makes the sum of all blocks' changes an ascent.
         """
-        x = self.scaled(r)
-        loss = float(np.maximum(0.0, 1.0 - self.sides * self.margins(x, weights)).sum())
+        sides = (2.0 * self.labels - 1.0).tolist()
+        spans = [(s, scaled(r, s)) for s in self.slots]
+        loss = sum(max(0.0, 1.0 - y * float(v @ weights[at] + weights[-1])) for y, (at, v) in zip(sides, spans))
         duals, change, order = duals.copy(), np.zeros_like(weights), np.random.default_rng(seed)
-        spans = [(self.slots[a:b], x[a:b]) for a, b in zip(self.starts[:-1].tolist(), self.starts[1:].tolist())]
-        curve = share * (1.0 + np.array([v @ v for _, v in spans]))
+        curve = [share * (1.0 + float(v @ v)) for _, v in spans]
         for _ in range(passes):
             for i in order.permutation(len(spans)).tolist():
                 at, v = spans[i]
-                side, bias = self.sides[i], weights[-1] + share * change[-1]
-                slope = side * (v @ weights[at] + share * (v @ change[at]) + bias) - 1.0
+                slope = sides[i] * float(v @ (weights[at] + share * change[at]) + weights[-1] + share * change[-1]) - 1.0
                 new = min(max(duals[i] - slope / curve[i], 0.0), cost)
                 if new != duals[i]:
-                    step = (new - duals[i]) * side
+                    step = (new - duals[i]) * sides[i]
                     change[at] += step * v
                     change[-1] += step
                     duals[i] = new
@@ -221,8 +231,9 @@ class Trainer:
     """max_labelled: labelled ids learned from, about (a share by hash of the id is taken beyond it).
 
     cost bounds the dual variables; rounds of so many passes end at a relative
-    duality gap of ``tolerance``; a block has about ``block_cells`` slots; every
-    ``holdout``-th id is kept for the logistic curve.
+    duality gap of ``tolerance``; a block has about ``block_rows`` rows and
+    ``block_cells`` slots at most; every ``holdout``-th id is kept for the
+    logistic curve.
     """
 
     max_labelled: int = 20_000
@@ -231,11 +242,12 @@ class Trainer:
     passes: int = 5
     tolerance: float = 0.02
     holdout: int = 5
+    block_rows: int = 7_000
     block_cells: int = 1 << 24
     gaps: list[float] = field(default_factory=list)
 
     def sample(self, docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-        """(id, y, held, slots) of the labelled ids, one row each: of several labels the least, of several texts that of the least hash."""
+        """(id, block, y, held, text) of the labelled ids, one row each: of several labels the least, of several texts that of the least hash."""
         hashed = lambda what, of: F.crc32(F.concat(F.lit(what + ":"), F.col("id").cast("string")).cast("binary")) % of
         known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("y"))
         total = known.count()
@@ -243,98 +255,87 @@ class Trainer:
             known = known.filter(hashed("sample", 1_000_000) < int(1_000_000 * self.max_labelled / total))
         # About max_labelled pairs of an id and a label at most: bounded by the parameter.
         rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(known), "id")
-        rows = rows.groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("id", "y", (hashed("held", self.holdout) == 0).alias("held"), F.col("t.text").alias("text"))
+        rows = rows.groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+        n_blocks = max(1, -(-min(total, self.max_labelled) // self.block_rows))
+        return rows.select("id", hashed("block", n_blocks).cast("int").alias("block"), "y", (hashed("held", self.holdout) == 0).alias("held"), F.col("t.text").alias("text")).repartition(n_blocks, "block")
+
+    def blocks(self, rows: DataFrame) -> DataFrame:
+        """Indicators of the sampled texts, written once: a row for each block, several for one with too many slots."""
+        dealt = rows.sortWithinPartitions("block", "id")
+        schema = pa.schema([("block", pa.string()), *[(c, pa.binary()) for c in ("sizes", "gaps", "labels", "held")]])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             indicators = Indicators()
-            for block in blocks(batches, "text", 1 << 20):
-                found = [indicators.of(t) for t in block["text"].to_pylist()]
-                columns = [block["id"], block["y"], block["held"], pa.array([len(s) for s in found], pa.int32()), pa.array([s.astype("<i4").tobytes() for s in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "held", "n", "slots"])
+            at, part, held, cells = None, 0, [], 0
+
+            def out() -> pa.RecordBatch:
+                whole = Block([s for s, _, _ in held], np.array([y for _, y, _ in held]), np.array([h for _, _, h in held]))
+                return pa.RecordBatch.from_pylist([{"block": f"{at}.{part}"} | whole.row()], schema)
+
+            for batch in blocks(batches, "text", 1 << 20):
+                for b, y, h, t in zip(batch["block"].to_pylist(), batch["y"].to_pylist(), batch["held"].to_pylist(), batch["text"]):
+                    slots = indicators.of(t.as_py())
+                    if held and (b != at or cells + len(slots) > self.block_cells):
+                        yield out()
+                        part = part + 1 if b == at else 0
+                        held, cells = [], 0
+                    at = b
+                    held.append((slots, y, h))
+                    cells += len(slots)
+            if held:
+                yield out()
 
-        schema = StructType([rows.schema["id"]]).add("y", "integer").add("held", "boolean").add("n", "integer").add("slots", "binary")
-        return cut_lineage(map_batches(rows, run, schema))
+        return cut_lineage(map_batches(dealt, run, "block string, sizes binary, gaps binary, labels binary, held binary"))
 
     def fit(self, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
         """Learns which texts are labelled 1 and which 0; other labels and null ids are left out, a null text is empty.
 
         Without rows of both labels every text scores the smoothed share of label 1.
         """
-        rows = self.sample(docs, labels, doc_id, text, label)
-        said = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("ones"), F.countDistinct(F.when(~F.col("held"), F.col("y"))).alias("kinds"), F.countDistinct(F.when(F.col("held"), F.col("y"))).alias("spare"), F.sum("n").alias("cells")).first()
-        if said.kinds < 2:
-            return _constant(int(said.ones), said.n)
-        own = rows.filter(~F.col("held"))
-        ratio = ratios(self._counts(own))
-        n_blocks = max(1, -(-said.cells // self.block_cells))
-        weights = self._descend(self._blocks(own, n_blocks), ratio)
+        dealt = self.blocks(self.sample(docs, labels, doc_id, text, label))
+        known = dealt.select("block", "labels", "held").collect()  # two bytes for each labelled id learned from
+        y = np.concatenate([np.frombuffer(k.labels, "i1") for k in known]) if known else np.empty(0)
+        held = np.concatenate([np.frombuffer(k.held, "i1") for k in known]) if known else np.empty(0)
+        if len(set(y[held == 0].tolist())) < 2:
+            return _constant(int(y.sum()), len(y))
+        dealt = dealt.coalesce(len(known))
+        ratio = ratios(self._counts(dealt))
+        weights = self._descend(dealt, ratio, {k.block: len(k.held) - int(np.frombuffer(k.held, "i1").sum()) for k in known})
         model = Model(ratio, weights[:-1] * ratio, float(weights[-1]), (1.0, 0.0))
-        return Model(model.ratio, model.pull, model.bias, logistic(*self._margins(rows.filter("held") if said.spare == 2 else rows, model)))
+        spare = len(set(y[held == 1].tolist())) == 2
+        return Model(model.ratio, model.pull, model.bias, logistic(*self._margins(dealt, model, True if spare else None)))
 
-    def _counts(self, rows: DataFrame) -> np.ndarray:
+    def _counts(self, dealt: DataFrame) -> np.ndarray:
         """Indicators by class and slot: at most two rows for each slot come to the driver."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, SLOTS), np.int64)
-            for batch in batches:
-                for y, slots in zip(batch["y"].to_pylist(), batch["slots"]):
-                    sums[y, np.frombuffer(slots.as_py(), "<i4")] += 1
+            for row in _rows(batches):
+                block = Block.of(row, held=False)
+                for slots, y in zip(block.slots, block.labels.tolist()):
+                    sums[y, slots] += 1
             y, slot = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(slot, pa.int32()), pa.array(sums[y, slot])], names=["y", "slot", "n"])
 
-        counted = map_batches(rows.select("y", "slots"), run, "y int, slot int, n long").groupBy("y", "slot").agg(F.sum("n").alias("n")).toArrow()
+        counted = map_batches(dealt, run, "y int, slot int, n long").groupBy("y", "slot").agg(F.sum("n").alias("n")).toArrow()
         out = np.zeros((2, SLOTS))
         out[counted["y"].to_numpy(), counted["slot"].to_numpy()] = counted["n"].to_numpy()
         return out
 
-    def _blocks(self, rows: DataFrame, n_blocks: int) -> DataFrame:
-        """(block, starts, slots, sides): rows dealt by hash of the id; one with more than twice the cells is cut."""
-        number = F.crc32(F.concat(F.lit("block:"), F.col("id").cast("string")).cast("binary")) % n_blocks
-        dealt = rows.select(number.alias("block"), "id", "y", "slots").repartition(n_blocks, "block").sortWithinPartitions("block", "id")
-        most = 2 * self.block_cells
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, part, sides, slots, cells = None, 0, [], [], 0
-
-            def out() -> pa.RecordBatch:
-                starts = np.concatenate([[0], np.cumsum([len(s) // 4 for s in slots])])
-                row = {"block": [f"{at}.{part}"], "starts": [starts.astype("<i8").tobytes()], "slots": [b"".join(slots)], "sides": [np.array(sides, "<f8").tobytes()]}
-                return pa.RecordBatch.from_pydict(row, pa.schema([("block", pa.string()), ("starts", pa.binary()), ("slots", pa.binary()), ("sides", pa.binary())]))
-
-            for batch in batches:
-                for b, y, s in zip(batch["block"].to_pylist(), batch["y"].to_pylist(), batch["slots"]):
-                    s = s.as_py()
-                    if slots and (b != at or cells + len(s) // 4 > most):
-                        yield out()
-                        part = part + 1 if b == at else 0
-                        sides, slots, cells = [], [], 0
-                    at = b
-                    sides.append(1.0 if y == 1 else -1.0)
-                    slots.append(s)
-                    cells += len(s) // 4
-            if slots:
-                yield out()
-
-        return cut_lineage(map_batches(dealt, run, "block string, starts binary, slots binary, sides binary"))
-
-    def _descend(self, dealt: DataFrame, ratio: np.ndarray) -> np.ndarray:
-        """Weights of all slots and the bias."""
-        sizes = {r.block: r.n for r in dealt.select("block", (F.length("sides") / 8).cast("int").alias("n")).collect()}  # a name for each block
-        duals = {b: np.zeros(n) for b, n in sizes.items()}  # a number for each labelled id learned from
-        weights, share, cost, passes = np.zeros(SLOTS + 1), len(sizes), self.cost, self.passes
+    def _descend(self, dealt: DataFrame, ratio: np.ndarray, sizes: dict[str, int]) -> np.ndarray:
+        """Weights of all slots and the bias; sizes: rows learned from in each block."""
+        duals = {b: np.zeros(n) for b, n in sizes.items()}
+        weights, share, cost = np.zeros(SLOTS + 1), len(sizes), self.cost
+        schema = pa.schema([("block", pa.string()), ("duals", pa.binary()), ("change", pa.binary()), ("loss", pa.float64())])
         self.gaps.clear()
-        dealt = dealt.coalesce(share)
         for turn in range(self.rounds + 1):
-            shared = dealt.sparkSession.sparkContext.broadcast((ratio, weights, duals, passes if turn < self.rounds else 0))
+            shared = dealt.sparkSession.sparkContext.broadcast((ratio, weights, duals, self.passes if turn < self.rounds else 0))
 
             def run(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
                 ratio, weights, duals, passes = shared.value
-                for batch in batches:
-                    for i in range(batch.num_rows):
-                        name, starts, slots, sides = (batch[c][i].as_py() for c in ("block", "starts", "slots", "sides"))
-                        block = Block(np.frombuffer(starts, "<i8"), np.frombuffer(slots, "<i4"), np.frombuffer(sides, "<f8"))
-                        new, change, loss = block.descend(ratio, weights, duals[name], cost, share, passes, turn)
-                        yield pa.RecordBatch.from_pydict({"block": [name], "duals": [new.tobytes()], "change": [change.tobytes()], "loss": [loss]}, pa.schema([("block", pa.string()), ("duals", pa.binary()), ("change", pa.binary()), ("loss", pa.float64())]))
+                for row in _rows(batches):
+                    new, change, loss = Block.of(row, held=False).descend(ratio, weights, duals[row["block"]], cost, share, passes, turn)
+                    yield pa.RecordBatch.from_pylist([{"block": row["block"], "duals": new.tobytes(), "change": change.tobytes(), "loss": loss}], schema)
 
             found = map_batches(dealt, run, "block string, duals binary, change binary, loss double").toArrow().sort_by("block").to_pylist()
             shared.unpersist()
@@ -343,25 +344,32 @@ class Trainer:
             self.gaps.append((least - (sum(float(d.sum()) for d in duals.values()) - norm)) / max(least, 1e-300))
             if self.gaps[-1] <= self.tolerance:
                 break
-            duals = {f["block"]: np.frombuffer(f["duals"]) for f in found}
-            weights = weights + sum(np.frombuffer(f["change"]) for f in found)
+            if turn < self.rounds:
+                duals = {f["block"]: np.frombuffer(f["duals"]) for f in found}
+                weights = weights + sum(np.frombuffer(f["change"]) for f in found)
         return weights
 
-    def _margins(self, rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    def _margins(self, dealt: DataFrame, model: Model, held: bool | None) -> tuple[np.ndarray, np.ndarray]:
         """Margin and label of each row, of which there are no more than labelled ids learned from."""
-        shared = rows.sparkSession.sparkContext.broadcast(model)
+        shared = dealt.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                margins = [shared.value.margin(np.frombuffer(s.as_py(), "<i4")) for s in batch["slots"]]
-                yield pa.RecordBatch.from_arrays([pa.array(margins, pa.float64()), batch["y"]], names=["margin", "y"])
+            for row in _rows(batches):
+                block = Block.of(row, held)
+                yield pa.RecordBatch.from_arrays([pa.array([shared.value.margin(s) for s in block.slots], pa.float64()), pa.array(block.labels, pa.int32())], names=["margin", "y"])
 
-        found = map_batches(rows.select("y", "slots"), run, "margin double, y int").toArrow()
+        found = map_batches(dealt, run, "margin double, y int").toArrow()
         shared.unpersist()
         order = np.lexsort((found["y"].to_numpy(), found["margin"].to_numpy()))
         return found["margin"].to_numpy()[order], found["y"].to_numpy()[order].astype(float)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, cut: float = CUT) -> DataFrame:
     """Adds score (0 to 1, higher: label 1 is likelier) and predicted (1 if the score is ``cut`` or more) to the ``keep`` columns (all, if None).
 

@@ -97,13 +97,13 @@ def plain_fit(examples, cost, passes=400):
     return ratio, w, w @ w / 2 + cost * loss
 
 
-@pytest.mark.parametrize("cells", [1 << 24, 6000])
-def test_fit_against_plain_descent(spark, cells):
+@pytest.mark.parametrize("limits,one", [({}, True), ({"block_rows": 80}, False), ({"block_cells": 6000}, False)], ids=["one", "rows", "cells"])
+def test_fit_against_plain_descent(spark, limits, one):
     rows, labels = made(1, 240)
-    trainer = qc.Trainer(rounds=60, tolerance=1e-4, block_cells=cells)
+    trainer = qc.Trainer(rounds=200, tolerance=1e-4 if one else 0.05, **limits)
     docs = spark.createDataFrame(rows, DOCS).repartition(5)
     model = trainer.fit(docs, spark.createDataFrame(labels, LABELS))
-    assert trainer.gaps[-1] <= (1e-4 if cells > 6000 else 0.05) and trainer.gaps[0] == pytest.approx(1.0)
+    assert trainer.gaps[-1] <= (1e-4 if one else 0.05) and trainer.gaps[0] == pytest.approx(1.0)
     text, indicators = dict(rows), qc.Indicators()
     own = [(indicators.of(text[i]), y) for i, y in labels if zlib.crc32(f"held:{i}".encode()) % 5]
     ratio, w, best = plain_fit(own, 1.0)
