@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tagloom.llm.common import map_arrow, map_batches
+from tagloom.llm.common import map_arrow, map_batches, others
 
 #: Longest text (code points) and pre-token (bytes) encoded without a split.
 LEAF_CHARS = 4096
@@ -282,7 +282,7 @@ def digest_documents(docs: DataFrame, text: str = "text", ranks_path: str | None
     gives no rows.
     """
     ranks_path, pattern = ranks_path or default_ranks(), pattern or default_pattern()
-    kept = [c for c in docs.columns if c not in (text, "n_tokens", "ids_sha256", "decoded_sha256")]
+    kept = others(docs, [c for c in docs.columns if c != text], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = encoder(ranks_path, pattern)
@@ -305,7 +305,7 @@ def count_documents(docs: DataFrame, text: str = "text", ranks_path: str | None
     table gives no rows; a column that already bears the new name is replaced.
     """
     ranks_path, pattern = ranks_path or default_ranks(), pattern or default_pattern()
-    kept = [c for c in docs.columns if c not in (text, out)]
+    kept = others(docs, [c for c in docs.columns if c != text], [out])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = encoder(ranks_path, pattern)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from tagloom.llm.common import blocks, cut_lineage, fresh_name, map_batches
+from tagloom.llm.common import blocks, cut_lineage, fresh_name, map_batches, others
 
 #: Hash slots for all n-gram orders together.
 SLOTS = 1 << 15
@@ -253,7 +253,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
     them at all is what the strangeness says.
     """
     new = ["lang_pred", "score"] + ([] if against is None else ["strangeness"])
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    kept = others(docs, keep, new)
     shared = docs.sparkSession.sparkContext.broadcast((model, against))
     body = fresh_name(docs, "__text")
     needed = docs.select(*kept, docs[text].alias(body))

@@ -63,10 +63,11 @@ def fill(nodes: DataFrame, parents: list[str], name: str, cap: str, weight: str,
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     x = nodes.withColumn("__cap_before", F.coalesce(F.sum(cap).over(before), F.lit(0)))
     x = x.withColumn("__weight_rest", F.sum(weight).over(among) - F.coalesce(F.sum(weight).over(before), F.lit(0)))
-    x = x.withColumn("__short", F.col(cap) * F.col("__weight_rest") <= (F.col(budget) - F.col("__cap_before")) * F.col(weight))
+    big = lambda c: F.col(c).cast("decimal(38,0)")  # noqa: E731  a product of two longs fits
+    x = x.withColumn("__short", big(cap) * big("__weight_rest") <= (big(budget) - big("__cap_before")) * big(weight))
     x = x.withColumn("__used", F.coalesce(F.sum(F.when(F.col("__short"), F.col(cap))).over(among), F.lit(0)))
     x = x.withColumn("__free_weight", F.sum(F.when(~F.col("__short"), F.col(weight))).over(among))
-    share = F.expr(f"({budget} - __used) * {weight} div __free_weight")
+    share = F.expr(f"(CAST({budget} - __used AS decimal(38,0)) * CAST({weight} AS decimal(38,0))) div __free_weight")
     return x.withColumn(out, F.when(F.col("__short"), F.col(cap)).otherwise(share)).drop("__cap_before", "__weight_rest", "__short", "__used", "__free_weight")
 
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import WORD, cut_lineage
+from tagloom.llm.common import WORD, cut_lineage, others
 
 #: The statistics of the base rules, in their order.
 BASE_STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -37,20 +37,25 @@ def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``__s``, a struct of the base statistics and the rates learned from. A null text counts as empty.
 
-    n_repeat_words sorts the three-word windows of a text with their places;
-    equal neighbours in that order are the windows found more than once, and
-    the words they cover are counted once each.
+    n_repeat_words sorts the three-word windows of a text, by 128 bits of hashes,
+    with their places; windows with an equal neighbour in that order are those
+    found more than once.  In the order of their places each covers the words
+    up to the next one, three at most.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     x = _once(docs, F.regexp_extract_all(t, F.lit(f"({WORD})"), F.lit(1)), "__w")
     n = F.size("__w")
-    k = F.greatest(n - 2, F.lit(0))
-    windows = F.arrays_zip(*[F.slice("__w", F.lit(i), k).alias(a) for i, a in ((1, "a"), (2, "b"), (3, "c"))], F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0))).alias("i"))
-    x = _once(x, F.when(n >= 3, F.sort_array(windows)), "__z")
-    pairs = F.arrays_zip(F.slice("__z", F.lit(1), F.size("__z") - 1).alias("p"), F.slice("__z", F.lit(2), F.size("__z") - 1).alias("q"))
-    same = lambda e: (e["p"]["c"] == e["q"]["c"]) & (e["p"]["b"] == e["q"]["b"]) & (e["p"]["a"] == e["q"]["a"])
-    places = F.flatten(F.transform(F.filter(pairs, same), lambda e: F.flatten(F.array(*[F.array(e[s]["i"], e[s]["i"] + 1, e[s]["i"] + 2) for s in "pq"]))))
-    covered = F.size(F.array_distinct(places))
+    word = lambda i: F.get("__w", i)
+    window = lambda i: F.struct(*[F.xxhash64(F.lit(seed), word(i), word(i + 1), word(i + 2)).alias(h) for seed, h in ((1, "g"), (2, "h"))], i.alias("i"))
+    x = _once(x, F.when(n >= 4, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), window))), "__z")
+    same = lambda p, q: (p["g"] == q["g"]) & (p["h"] == q["h"])
+    after = F.slice("__z", F.lit(2), F.greatest(F.size("__z") - 1, F.lit(0)))
+    x = _once(x, F.when(n >= 4, F.zip_with("__z", after, lambda p, q: F.coalesce(same(p, q), F.lit(False)))), "__e")  # whether the next window is an equal one
+    place = F.transform("__z", lambda w, k: F.when(F.get("__e", k) | F.coalesce(F.get("__e", k - 1), F.lit(False)), w["i"]))
+    x = _once(x, F.when(n >= 4, F.sort_array(F.filter(place, lambda i: i.isNotNull()))), "__i")
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last"))
+    more = lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last"))
+    covered = F.aggregate("__i", start, more, lambda a: a["n"])
     lines = F.filter(F.split(t, "\n"), lambda s: s.rlike(WORD))
     x = x.withColumn("__lines", lines)
     count = lambda pattern: F.regexp_count(t, F.lit(pattern)).cast("long")
@@ -64,7 +69,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         count(r"\p{Lu}").alias("n_upper"),
         count("[!?]").alias("n_marks"),
     )
-    return _once(x, stats, "__s").drop("__w", "__z", "__lines")
+    return _once(x, stats, "__s").drop("__w", "__z", "__e", "__i", "__lines")
 
 
 def feature_columns(s: str = "__s") -> list[Column]:
@@ -223,9 +228,9 @@ def judge(docs: DataFrame, rules: DecisionList, text: str = "text", keep: list[s
     replaced.
     """
     new = [*BASE_STATS, "base_failed", "rule", "kept"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    row = F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in kept])  # so that no name of theirs clashes with one in between
-    x = with_statistics(docs.select(row.alias("__row"), F.col(text).alias("__text")), "__text").drop("__text")
+    kept = others(docs, keep, new)
+    own = [F.col(f"`{c}`").alias(f"__own{i}") for i, c in enumerate(kept)]  # so that no name of theirs clashes with one in between
+    x = with_statistics(docs.select(*own, F.col(text).alias("__text")), "__text").drop("__text")
     x = x.withColumn("__f", F.struct(*feature_columns()))
-    x = x.select(*[F.col("__row")[c].alias(c) for c in kept], *[F.col(f"__s.{c}").alias(c) for c in BASE_STATS], base_failed().alias("base_failed"), rules.as_column("__f.").alias("rule"))
+    x = x.select(*[F.col(f"__own{i}").alias(c) for i, c in enumerate(kept)], *[F.col(f"__s.{c}").alias(c) for c in BASE_STATS], base_failed().alias("base_failed"), rules.as_column("__f.").alias("rule"))
     return x.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))

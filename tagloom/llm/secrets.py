@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from tagloom.llm.common import blocks, fresh_name, map_batches
+from tagloom.llm.common import blocks, fresh_name, map_batches, others
 
 #: Base kinds, in their order; the others follow.
 BASE = ("assign", "access", "hex")
@@ -75,8 +75,8 @@ def _next(text: str, start: int) -> int:
 
 
 def _after_run(text: str, start: int) -> int:
-    """A token's first part goes up to the end of its run, so all hits in the run fail with the first."""
-    return _JWT_RUN.match(text, start).end()
+    """A token's first part goes up to the end of its run, so all hits in the run fail with the first, unless that failed by its case."""
+    return _JWT_RUN.match(text, start).end() if text.startswith("eyJ", start) else start + 1
 
 
 _ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -170,7 +170,7 @@ def scan_documents(docs: DataFrame, text: str = "text", keep: list[str] | None =
     already bear the new names are replaced.
     """
     new = ["secrets", *([redacted] if redacted else [])]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    kept = others(docs, keep, new)
     body = fresh_name(docs, "__text")
     needed = docs.select(*kept, docs[text].alias(body))
     item = StructType().add("kind", StringType()).add("start", LongType()).add("end", LongType())

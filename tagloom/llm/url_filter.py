@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructType
 
-from tagloom.llm.common import fresh_name, map_batches
+from tagloom.llm.common import fresh_name, map_batches, others
 
 #: The broadcast holds at most so many rules, of so many characters in all.
 MAX_RULES, MAX_CHARS = 1_000_000, 64 << 20
@@ -114,7 +114,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url"
     """
     shared = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules))
     new = ["host", "path", "rule", "verdict"]
-    kept = [c for c in (pages.columns if keep is None else keep) if c not in new]
+    kept = others(pages, keep, new)
     address = fresh_name(pages, "__url")
     needed = pages.select(*kept, pages[url].alias(address))
     schema = StructType(list(pages.select(*kept).schema.fields))

@@ -40,6 +40,14 @@ def test_budgets_against_repetition(spark):
         assert got == want
 
 
+def test_products_beyond_a_long(spark):
+    leaves = {("a", "x", s): n for s, n in zip("pqrs", (6 * 10**13, 9 * 10**13, 10**12, 3 * 10**13))}
+    weights = {"p": 100_000, "q": 70_001, "r": 99_999, "s": 3}
+    df = spark.createDataFrame([(*k, n) for k, n in leaves.items()], "__domain string, __language string, __source string, __tokens long")
+    got = {r["__source"]: r["__budget"] for r in mixing.leaf_budgets(df, mixing.MixWeights({}, {}, weights), F.lit(10**14), 1).collect()}
+    assert got == split(10**14, {s: (n, weights[s]) for (_, _, s), n in leaves.items()})
+
+
 def rows_of(df):
     return sorted(map(tuple, df.select("doc_id", "domain", "lang", "source", "n_tokens", "n_copies").collect()), key=repr)
 

@@ -176,3 +176,11 @@ def test_a_very_long_text(spark):
     got = {r.doc_id: r for r in q.judge(docs, q.DecisionList(())).collect()}
     assert (got[1].n_words, got[1].n_repeat_words, got[1].n_symbols, got[1].base_failed) == (300_001, 300_000, 1, True)
     assert (got[2].n_words, got[2].word_chars) == (1, 1_000_000)
+
+
+def test_twenty_megabytes_of_one_phrase_and_of_different_words(spark):
+    """The longest text once over and over, and once without any repeat; a phrase whose windows differ by places only."""
+    for text in ("one two three " * 1_430_000, " ".join(map(str, range(2_500_000)))):
+        docs = spark.createDataFrame([(1,)], "doc_id long").withColumn("text", F.lit(text) if len(text) < 1 << 20 else F.concat_ws("", *[F.lit(text[i : i + (1 << 22)]) for i in range(0, len(text), 1 << 22)]))
+        r = q.judge(docs, q.DecisionList(())).first()
+        assert tuple(r[c] for c in q.BASE_STATS) == brute(text)
