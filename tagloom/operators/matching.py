@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +13,8 @@ from pyspark.sql import functions as F
 from tagloom.functions.codes import barcode_match
 from tagloom.functions.geometry import iou
 from tagloom.functions.text import squeeze
+from tagloom.session import cut_lineage
 
-#: A list of names up to this size is broadcast; a larger one is joined by length buckets.
-BROADCAST_NAMES = 20_000
 #: More than the rounding error of a length times or over a score.
 ROUNDING = 1e-6
 
@@ -38,50 +39,95 @@ def place_join(pred: DataFrame, truth: DataFrame, keys: list[str], most_ms: floa
     return near.withColumn("iou", iou(box("p"), box("g"))).filter(F.col("iou") >= least_iou)
 
 
-def _shortened(c: Column) -> Column:
-    """All texts that a text becomes by leaving out up to two characters."""
-    n = F.length(c)
-    cut = lambda i, j: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, j - i - 1), F.substring(c, j + 1, n))
-    one = lambda j: F.concat(F.substring(c, F.lit(1), j - 1), F.substring(c, j + 1, n))
-    places = F.sequence(F.lit(1), n)
-    two = F.flatten(F.transform(places, lambda j: F.transform(F.sequence(F.lit(1), j), lambda i: F.when(i == j, one(j)).otherwise(cut(i, j)))))
-    return F.when(n > 0, F.array_distinct(F.concat(F.array(c), two))).otherwise(F.array(c))
+def _left_over(codes: DataFrame, keys: list[str], code: str, text: Column, length: int, cuts: int, tag: str) -> DataFrame:
+    """(keys, code, __left): a hash of the tag and of each text that is left of a text of the given length without ``cuts`` of its characters."""
+    x = codes.select(*keys, code, text.alias("__c"))
+    places = [c for c in combinations(range(1, length + 1), cuts)]
+    x = x.withColumn("__at", F.explode(F.array(*[F.struct(*[F.lit(i).alias(f"x{k}") for k, i in enumerate(c)], F.lit(length + 1).alias("end")) for c in places])))
+    ends = [F.lit(0), *[F.col(f"__at.x{k}") for k in range(cuts)], F.col("__at.end")]
+    left = F.concat(*[F.substring("__c", a + 1, b - a - 1) for a, b in pairwise(ends)])
+    return x.select(*keys, code, F.xxhash64(F.lit(tag), left).alias("__left"))
 
 
 def code_join(pred: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs of the same keys whose codes match; the predicted code must have 13 digits.
 
-    Two codes within an edit distance of two become the same by leaving out up
-    to two characters of each; so both sides are repeated for what is left of
-    them, and an equi-join on that finds every pair.  What is left has eleven
-    digits or more, so a prefix that many codes share makes no hot key.  Codes
-    of other lengths are also compared by up to ten characters at either end,
-    in the same way.
+    Two texts within an edit distance of two have all but two characters of the
+    longer one in common, in the same order; so one that leaves out just so many
+    of each in every way has an equal result on both sides.  Codes are compared
+    once each, and only they and hashes of these results go through the
+    equi-join.  What is left has eleven digits or more, so a prefix that many
+    codes share makes no hot key.  Codes of other lengths are also compared by
+    up to ten characters at either end, in the same way.  Which lengths there
+    are on the true side is asked first; predictions are only shortened to what
+    these call for.
     """
-    p = pred.filter(F.col("p_code").rlike(r"^[0-9]{13}\z"))
-    g = truth.filter(F.length("g_code") >= 8)  # a shorter one is more than two edits from 13 digits, and has no end of eight
-    near = p.withColumn("__left", F.explode(_shortened(F.col("p_code")))).join(g.filter(F.length("g_code").between(11, 15)).withColumn("__left", F.explode(_shortened(F.col("g_code")))), [*keys, "__left"])
-
-    def ends(c: Column, n: Column) -> Column:
-        side = lambda name, text: F.transform(_shortened(text), lambda x: F.concat_ws(":", n.cast("string"), F.lit(name), x))
-        return F.concat(side("l", F.substring(c, F.lit(1), n)), side("r", F.substring(c, F.length(c) - n + 1, n)))
-
+    p = cut_lineage(pred.filter(F.col("p_code").rlike(r"^[0-9]{13}\z")).select(*keys, "p_code").distinct())
+    # A code shorter than eight is more than two edits from 13 digits, and has no end of eight.
+    g = cut_lineage(truth.filter(F.length("g_code") >= 8).select(*keys, "g_code").distinct())
+    lengths = {r.n for r in g.select(F.least(F.length("g_code"), F.lit(16)).alias("n")).distinct().collect()}  # nine at most
+
+    ours, theirs = [], []
+    for longest in (13, 14, 15):
+        these = sorted(n for n in lengths if (11 <= n <= 13 if longest == 13 else n == longest))
+        if these:
+            ours.append(_left_over(p, keys, "p_code", F.col("p_code"), 13, 15 - longest, f"{longest}"))
+        for n in these:
+            theirs.append(_left_over(g.filter(F.length("g_code") == n), keys, "g_code", F.col("g_code"), n, n - longest + 2, f"{longest}"))
     other = g.filter(F.length("g_code") != 13)
-    a = p.withColumn("__left", F.explode(F.concat(*[ends(F.col("p_code"), F.lit(n)) for n in (8, 9, 10)])))
-    b = other.withColumn("__left", F.explode(ends(F.col("g_code"), F.least(F.length("g_code"), F.lit(10)))))
-    both = near.unionByName(a.join(b, [*keys, "__left"])).drop("__left").distinct()
-    return both.filter(barcode_match(F.col("p_code"), F.col("g_code")))
-
-
-def greedy_match(edges: DataFrame, keys: list[str], pred: str = "p_ord", truth: str = "g_ord", rule: str = "rule") -> DataFrame:
+    for n in sorted({min(n, 10) for n in lengths if n != 13}):
+        same = other.filter(F.least(F.length("g_code"), F.lit(10)) == n)
+        for side, cut in (("l", F.left), ("r", F.right)):
+            ours.append(_left_over(p, keys, "p_code", cut(F.col("p_code"), F.lit(n)), n, 2, f"{side}{n}"))
+            theirs.append(_left_over(same, keys, "g_code", cut(F.col("g_code"), F.lit(n)), n, 2, f"{side}{n}"))
+    near = p.join(g, keys).filter(F.lit(False))
+    if ours:
+        found = reduce(DataFrame.unionAll, ours).join(reduce(DataFrame.unionAll, theirs), [*keys, "__left"])
+        near = found.select(*keys, "p_code", "g_code").distinct().filter(barcode_match(F.col("p_code"), F.col("g_code")))
+    both = near.join(pred, [*keys, "p_code"]).join(truth, [*keys, "g_code"])
+    return both.select(*keys, *[c for c in pred.columns if c not in keys], *[c for c in truth.columns if c not in keys])
+
+
+def greedy_match(edges: DataFrame, keys: list[str], pred: str = "p_ord", truth: str = "g_ord", rule: str = "rule", stream_edges: int = 1_000_000, rounds: int = 40) -> DataFrame:
     """(keys, pred, truth, rule): predictions in order take their first unused truth, by rule, then order.
 
-    The rule is inherently sequential within a group.  Groups (videos) are
-    dealt to tasks and sorted there; one pass over the stream of edges holds
-    only which truths of the group are taken.
+    Groups (videos) of up to ``stream_edges`` edges are dealt to tasks and
+    sorted there; one pass over the stream of edges holds only which truths of
+    the group are taken.  Larger groups are settled in rounds of joins first,
+    spread over all tasks: a prediction whose first free truth no earlier
+    prediction can still ask for is sure to get it, so it is matched, and the
+    edges of both go.  The first prediction is always among these, and where
+    predictions compete for different truths most are.  A group that has shrunk
+    to the bound is streamed with the rest, as is what is left after ``rounds``.
     """
     named = [*keys, pred, truth, rule]
-    dealt = edges.select(*named).repartition(*keys).sortWithinPartitions(*keys, pred, rule, truth)
+    rows = cut_lineage(edges.select(*named))
+    group = [f"__k{i}" for i in range(len(keys))]
+    same = lambda df: reduce(Column.__and__, [F.col(k).eqNullSafe(df[n]) for k, n in zip(keys, group)])
+    above = lambda df: df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, group)]).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > stream_edges).drop("__n")
+    large = cut_lineage(above(rows))
+    done: list[DataFrame] = []
+    if large.isEmpty():
+        small = rows
+    else:
+        small = rows.join(large, same(large), "left_anti")
+        live = cut_lineage(rows.join(large, same(large), "left_semi"))
+        for _ in range(rounds):
+            if live.isEmpty():
+                break
+            ask = live.groupBy(*keys, pred).agg(F.min(F.struct(rule, truth)).alias("__first")).select(*keys, pred, F.col(f"__first.{truth}").alias(truth), F.col(f"__first.{rule}").alias(rule))
+            ask, least = ask.select(*[F.col(c).alias(f"__a{i}") for i, c in enumerate(named)]), live.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, group)], F.col(truth).alias("__g")).agg(F.min(pred).alias("__p"))
+            on = reduce(Column.__and__, [F.col(f"__a{i}").eqNullSafe(F.col(n)) for i, n in enumerate(group)])
+            k = len(keys)
+            sure = cut_lineage(ask.join(least, on & (F.col(f"__a{k + 1}") == F.col("__g")) & (F.col(f"__a{k}") == F.col("__p"))).select(*[f"__a{i}" for i in range(len(named))]))
+            done.append(sure.select(*[F.col(f"__a{i}").alias(c) for i, c in enumerate(named)]))
+            own = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__a{i}")) for i, c in enumerate(keys)])
+            live = live.join(sure, own & (F.col(pred) == F.col(f"__a{k}")), "left_anti").join(sure, own & (F.col(truth) == F.col(f"__a{k + 1}")), "left_anti")
+            live = cut_lineage(live)
+            if above(live).isEmpty():
+                break
+        small = small.unionAll(live)
+    dealt = small.repartition(*keys).sortWithinPartitions(*keys, pred, rule, truth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, used, last = None, set(), None
@@ -97,33 +143,97 @@ def greedy_match(edges: DataFrame, keys: list[str], pred: str = "p_ord", truth:
             if take:
                 yield batch.take(pa.array(take))
 
-    return dealt.mapInArrow(run, dealt.schema)
+    return reduce(DataFrame.unionAll, done, dealt.mapInArrow(run, dealt.schema))
+
+
+def _classes(norm: Column) -> Column:
+    """(low, high): a bit for each of the first four characters of each of 32 classes of characters.
+
+    An edit takes away one character of a class at most and adds one, so the
+    bits that one text has and another hasn't are no more than their edit
+    distance.
+    """
+    sorted_ = F.sort_array(F.transform(F.split(norm, ""), lambda c: F.pmod(F.xxhash64(c), F.lit(32)).cast("int")))
+    none = F.lit(0).cast("long")
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("run"), none.alias("low"), none.alias("high"))
+
+    def add(a: Column, c: Column) -> Column:
+        run = F.when(c == a["last"], a["run"] + 1).otherwise(0)
+        bit = F.when(run < 4, F.call_function("shiftleft", F.lit(1).cast("long"), (c % 16) * 4 + run)).otherwise(none)
+        return F.struct(c.alias("last"), run.alias("run"), F.when(c < 16, a["low"].bitwiseOR(bit)).otherwise(a["low"]).alias("low"), F.when(c >= 16, a["high"].bitwiseOR(bit)).otherwise(a["high"]).alias("high"))
+
+    return F.aggregate(sorted_, start, add, lambda a: F.struct(a["low"].alias("low"), a["high"].alias("high")))
+
+
+def _measured(rows: DataFrame, text: str, pivots: list[str]) -> DataFrame:
+    """Adds length, classes and distances to the pivots of a squeezed text, by the text's letter."""
+    x = rows.withColumn(f"{text}_len", F.length(text)).withColumn(f"{text}_bits", _classes(F.col(text)))
+    return x.withColumns({f"{text}_p{i}": F.levenshtein(F.col(text), F.lit(p)) for i, p in enumerate(pivots)})
+
+
+def _trigrams(text: str) -> Column:
+    padded = F.concat(F.lit("  "), text, F.lit(" "))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))))
+
+
+#: Width of a cell of distances to the first pivot; entries that a rare part is looked for among, and parts of a name.
+CELL, RARE, PARTS = 4, 64, 2
+
+
+def name_pairs(names: DataFrame, gallery: DataFrame, least: float) -> DataFrame:
+    """(name, q, ord, entry, g, most): pairs whose edit distance has to be worked out; no other can be a name's best.
+
+    Edit distance is a metric, and three bounds on it are cheap: lengths,
+    distances to two far-apart entries (pivots), and characters by class.  How
+    far a name has to look is known from the best of a few entries that share
+    its rarest parts of three characters, if it has such.  With that reach a
+    name is repeated for the lengths and the cells of distances to the first
+    pivot that it covers, and joins the entries there; the other bounds are
+    filters of the join.  The reach includes the distance of the entry found,
+    so that equals are compared too.
+    """
+    g = gallery.select(F.col("ord"), F.col("entry"), squeeze(F.col("entry")).alias("g")).filter("g <> ''")
+    far = g.agg(F.min_by("g", "ord").alias("a")).first().a
+    second = g.agg(F.max_by("g", F.struct(F.levenshtein(F.col("g"), F.lit(far or "")), F.col("g"))).alias("b")).first().b
+    pivots = [far or "", second or ""]
+    g = cut_lineage(_measured(g, "g", pivots))
+    n = names.select(F.col("name"), squeeze(F.col("name")).alias("q")).filter("q <> ''")
+    n = cut_lineage(_measured(n, "q", pivots))
+
+    parts = g.select("ord", "g", "g_len", F.explode(_trigrams("g")).alias("part"))
+    rare = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= RARE)
+    own = n.select("name", "q", "q_len", F.explode(_trigrams("q")).alias("part")).join(rare, "part")
+    own = own.groupBy("name", "q", "q_len").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "part"))), 1, PARTS).alias("p")).select("name", "q", "q_len", F.explode("p.part").alias("part"))
+    near = own.join(parts.join(rare, "part", "left_semi"), "part")
+    score = 1.0 - F.levenshtein(F.col("q"), F.col("g")) / F.greatest("q_len", "g_len")
+    found = near.groupBy("name").agg(F.max(score).alias("found"))
+
+    x = n.join(found, "name", "left").withColumn("found", F.greatest(F.coalesce("found", F.lit(least)), F.lit(least)))
+    low, high = F.ceil(F.col("q_len") * F.col("found") - ROUNDING).cast("int"), F.floor(F.col("q_len") / F.col("found") + ROUNDING).cast("int")
+    x = x.withColumn("g_len", F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))))
+    x = x.withColumn("most", F.floor((1 - F.col("found")) * F.greatest("q_len", "g_len") + ROUNDING).cast("int"))
+    cell = lambda c: F.floor(c / CELL).cast("int")
+    x = x.withColumn("cell", F.explode(F.sequence(cell(F.col("q_p0") - F.col("most")), cell(F.col("q_p0") + F.col("most")))))
+    both = x.join(g.withColumn("cell", cell(F.col("g_p0"))), ["g_len", "cell"])
+    within = [F.abs(F.col(f"q_p{i}") - F.col(f"g_p{i}")) <= F.col("most") for i in range(len(pivots))]
+    more = lambda a, b: sum((F.bit_count(F.col(f"{a}_bits.{h}").bitwiseAND(F.bitwise_not(F.col(f"{b}_bits.{h}")))) for h in ("low", "high")), F.lit(0))
+    within += [more(a, b) <= F.col("most") for a, b in ("qg", "gq")]
+    return both.filter(reduce(Column.__and__, within)).select("name", "q", "ord", "entry", "g", "most")
 
 
 def match_names(names: DataFrame, gallery: DataFrame, name: str = "name", least: float = 0.55) -> DataFrame:
     """(name, canonical, score): the most similar gallery entry, the first of equals; the name itself below ``least``.
 
-    ``gallery`` has (ord, entry).  Names are compared once each.  Only pairs
-    whose lengths allow the score are compared, which loses nothing: the bounds
-    are wider than the score's by a rounding error, and the score decides.  A
-    gallery of checked size is broadcast; a larger one is joined on equal
-    length, each name being repeated for the lengths that can reach the score.
+    ``gallery`` has (ord, entry).  Names are compared once each, with the
+    entries that ``name_pairs`` leaves; the score decides.  ``least`` must be
+    over 0.  A null or blank name, or an empty gallery, gives the name itself.
     """
-    g = gallery.select(F.col("ord").alias("__ord"), F.col("entry").alias("__entry"), squeeze(F.col("entry")).alias("__norm")).withColumn("__len", F.length("__norm"))
-    n = names.select(F.col(name).alias("name")).distinct().withColumn("__q", squeeze(F.col("name"))).withColumn("__qlen", F.length("__q"))
-    reach = F.least("__len", "__qlen") >= F.lit(least) * F.greatest("__len", "__qlen") - ROUNDING
-    if gallery.count() <= BROADCAST_NAMES:
-        pairs = n.join(F.broadcast(g), reach, "left")
-    else:
-        low, high = F.ceil(F.col("__qlen") * least - ROUNDING).cast("int"), F.floor(F.col("__qlen") / least + ROUNDING).cast("int")
-        pairs = n.withColumn("__len", F.explode(F.sequence(F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0))))).join(g, "__len", "left")
-    # Distances beyond what the score allows aren't worked out to the end.
-    longest = F.greatest("__len", "__qlen")
-    distance = F.call_function("levenshtein", F.col("__q"), F.col("__norm"), F.floor((1 - least) * longest + ROUNDING).cast("int"))
-    scored = pairs.withColumn("__d", distance).withColumn("__score", F.when((F.col("__len") == 0) | (F.col("__qlen") == 0) | (F.col("__d") < 0), 0.0).otherwise(1.0 - F.col("__d") / longest))
-    best = scored.groupBy("name").agg(F.max_by(F.struct("__entry", "__score"), F.struct(F.coalesce("__score", F.lit(-1.0)), -F.col("__ord"))).alias("b"))
-    good = F.col("b.__score") >= least
-    return best.select("name", F.when(good, F.col("b.__entry")).otherwise(F.col("name")).alias("canonical"), F.when(good, F.col("b.__score")).otherwise(0.0).alias("score"))
+    once = names.select(F.col(name).alias("name")).distinct()
+    pairs = name_pairs(once, gallery, least)
+    distance = F.call_function("levenshtein", F.col("q"), F.col("g"), F.col("most"))
+    scored = pairs.withColumn("d", distance).filter("d >= 0").withColumn("score", 1.0 - F.col("d") / F.greatest(F.length("q"), F.length("g"))).filter(F.col("score") >= least)
+    best = scored.groupBy(F.col("name").alias("__name")).agg(F.max_by(F.struct("entry", "score"), F.struct("score", -F.col("ord"))).alias("b"))
+    return once.join(best, F.col("name") == F.col("__name"), "left").select("name", F.coalesce("b.entry", "name").alias("canonical"), F.coalesce("b.score", F.lit(0.0)).alias("score"))
 
 
 def artifact_join(rows: DataFrame, artifacts: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:

@@ -149,6 +149,17 @@ def test_greedy_match(spark):
     edges = list({("v" + str(rng.randrange(4)), rng.randrange(8), rng.randrange(8), rng.choice([1, 2])) for _ in range(90)})
     df = spark.createDataFrame(edges, "v string, p_ord int, g_ord int, rule int")
     assert sorted(map(tuple, matching.greedy_match(df, ["v"]).collect())) == brute_greedy(edges)
+    for rounds in (40, 1):  # large groups: in rounds, and the rest as a stream
+        assert sorted(map(tuple, matching.greedy_match(df, ["v"], stream_edges=3, rounds=rounds).collect())) == brute_greedy(edges)
+
+
+def test_greedy_match_of_one_large_group(spark):
+    """One video: most of it is settled in rounds, spread over tasks; null keys and predictions that all want the same."""
+    rng = random.Random(8)
+    edges = list({(None, p, p // 2 + rng.randrange(40), rng.choice([1, 2])) for p in range(3000) for _ in range(5)}) + [("w", p, g, 2) for p in range(30) for g in range(30)]
+    df = spark.createDataFrame(edges, "v string, p_ord long, g_ord long, rule int").repartition(4)
+    want = sorted([(None, *e[1:]) for e in brute_greedy([("", *e[1:]) for e in edges if e[0] is None])] + brute_greedy([e for e in edges if e[0]]), key=repr)
+    assert sorted(map(tuple, matching.greedy_match(df, ["v"], stream_edges=1000, rounds=8).collect()), key=repr) == want
 
 
 def test_greedy_query(spark, sf_dir):
@@ -161,25 +172,57 @@ def test_greedy_query(spark, sf_dir):
     assert got == brute_greedy(edges)
 
 
-def test_gallery(spark, monkeypatch):
-    gallery = spark.createDataFrame([(0, "Молоко отборное"), (1, "Сыр российский"), (2, "Сыр  РОССИЙСКИЙ"), (3, "Хлеб")], "ord int, entry string")
-    names = spark.createDataFrame([("Молоко отборное",), ("Малоко отборное",), ("сыр российский",), ("совсем другое имя",), ("",)], "name string")
-    for limit in (10, 0):
-        monkeypatch.setattr(matching, "BROADCAST_NAMES", limit)
-        got = {r.name: r.canonical for r in matching.match_names(names, gallery).collect()}
-        assert got == {"Молоко отборное": "Молоко отборное", "Малоко отборное": "Молоко отборное", "сыр российский": "Сыр российский", "совсем другое имя": "совсем другое имя", "": ""}
+def test_gallery(spark):
+    gallery = spark.createDataFrame([(0, "Молоко отборное"), (1, "Сыр российский"), (2, "Сыр  РОССИЙСКИЙ"), (3, "Хлеб"), (4, " ")], "ord int, entry string")
+    names = spark.createDataFrame([("Молоко отборное",), ("Малоко отборное",), ("сыр российский",), ("совсем другое имя",), ("",), (" ",)], "name string")
+    got = {r.name: (r.canonical, round(r.score, 9)) for r in matching.match_names(names, gallery).collect()}
+    assert got == {"Молоко отборное": ("Молоко отборное", 1.0), "Малоко отборное": ("Молоко отборное", round(14 / 15, 9)), "сыр российский": ("Сыр российский", 1.0), "совсем другое имя": ("совсем другое имя", 0.0), "": ("", 0.0), " ": (" ", 0.0)}
+    got = {r.name: r.canonical for r in matching.match_names(names, gallery.limit(0)).collect()}
+    assert len(got) == 6 and all(a == b for a, b in got.items())
 
 
-def test_gallery_compares_lengths_at_the_very_bound(spark, monkeypatch):
-    """A score of exactly 0.55 counts in a small gallery and in a large one, whichever text is the longer."""
+def test_gallery_compares_lengths_at_the_very_bound(spark):
+    """A score of exactly 0.55 counts, whichever text is the longer."""
     pairs = [(33, 60), (66, 120), (55, 100), (99, 180), (110, 200), (100, 55), (180, 99), (200, 110)]
     names = [(chr(97 + i) * a,) for i, (a, _) in enumerate(pairs)]
     entries = [(i, chr(97 + i) * b) for i, (_, b) in enumerate(pairs)]
     gallery = spark.createDataFrame(entries, "ord int, entry string")
-    for limit in (10, 0):
-        monkeypatch.setattr(matching, "BROADCAST_NAMES", limit)
-        got = {r.name: r.canonical for r in matching.match_names(spark.createDataFrame(names, "name string"), gallery).collect()}
-        assert got == {n: e for (n,), (_, e) in zip(names, entries)}
+    got = {r.name: r.canonical for r in matching.match_names(spark.createDataFrame(names, "name string"), gallery).collect()}
+    assert got == {n: e for (n,), (_, e) in zip(names, entries)}
+
+
+def best_entry(name, entries, least=0.55):
+    q = " ".join(name.lower().split())
+    scored = [(1 - edit(q, g) / max(len(q), len(g)), -i, e) for i, (e, g) in enumerate((e, " ".join(e.lower().split())) for e in entries) if q and g]
+    s, _, e = max(scored, default=(0.0, 0, name))
+    return (e, round(s, 9)) if s >= least else (name, 0.0)
+
+
+def test_gallery_against_all_pairs(spark):
+    """Names near and far, repeated entries, few letters so that edit distances are close to each other."""
+    rng = random.Random(6)
+    for letters in ("ab ", "abcdefgh ", "абвгдежзиклмн ёй"):
+        entries = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 25))) for _ in range(120)] + ["  Ab  a"] * 3
+        names = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 25))) for _ in range(60)]
+        for e in rng.sample(entries, 60):
+            x = list(e)
+            for _ in range(rng.randrange(6)):
+                i = rng.randrange(len(x) + 1)
+                x[i : i + rng.randrange(2)] = rng.choice(letters) * rng.randrange(2)
+            names.append("".join(x))
+        got = {r.name: (r.canonical, round(r.score, 9)) for r in matching.match_names(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(list(enumerate(entries)), "ord int, entry string")).collect()}
+        assert got == {n: best_entry(n, entries) for n in names}
+
+
+def test_gallery_compares_few_of_many(spark):
+    """20,000 entries: names with some edits, and ones that are in none."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("абвгдежзиклмнопрстуфхцчшщэюя") for _ in range(rng.randrange(3, 10))) for _ in range(3000)]
+    entries = [" ".join(rng.choice(words) for _ in range(rng.randrange(2, 5))) for _ in range(20_000)]
+    names = [e[:5] + "х" + e[6:-1] for e in entries[:150]] + [" ".join(rng.choice(words) for _ in range(3)) for _ in range(50)]
+    gallery = spark.createDataFrame(list(enumerate(entries)), "ord int, entry string").repartition(4)
+    compared = matching.name_pairs(spark.createDataFrame([(n,) for n in names], "name string"), gallery, 0.55).count()
+    assert 150 <= compared < len(entries) * len(names) / 10
 
 
 def test_lookup_joins(spark):
