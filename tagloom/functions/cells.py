@@ -19,10 +19,17 @@ def plain_cell(s: Column, compat: bool = False) -> Column:
     return F.when(s.rlike('[,"]' if compat else '[,"\n\r]'), quoted(s)).otherwise(s)
 
 
-def cell(field: str, value: Column, compat: bool = False) -> Column:
-    """Text of a field: coordinates and shelf prices with a quoted comma, code prices with a point, times as whole numbers."""
+#: Fields whose cells are made from numbers.
+NUMBERS = {*COORDINATES, *COMMA_PRICES, *DOT_PRICES, "frame_timestamp"}
+
+
+def cell(field: str, value: Column, compat: bool = False, number: Column | None = None) -> Column:
+    """Text of a field: coordinates and shelf prices with a quoted comma, code prices with a point, times as whole numbers.
+
+    ``number`` is a column with the value as a double, if there is one already.
+    """
     s = strip(value.cast("string"))
-    number = to_double(value)
+    number = to_double(value) if number is None else number
     other = s if compat else plain_cell(s)
     comma = lambda places: F.concat(F.lit('"'), F.replace(fixed(number, places), F.lit("."), F.lit(",")), F.lit('"'))
     if field in COORDINATES:

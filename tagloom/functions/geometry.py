@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagloom.functions.numbers import fixed, to_double
+from tagloom.functions.text import bound
 
 # Lens distortion presets (k1, k2) and focal length as a share of the longer side.
 LENS = {"weak": (-0.10, 0.00), "medium": (-0.25, 0.05), "strong": (-0.45, 0.15)}
@@ -63,7 +64,7 @@ def from_label(cx: Column, cy: Column, w: Column, h: Column, width: Column, heig
 
 def box_key(b: Box) -> Column:
     """Coordinates to one decimal joined by ``_``; one that can't be read is an empty part."""
-    part = lambda c: F.coalesce(fixed(to_double(c), 1), F.lit(""))
+    part = lambda c: F.coalesce(bound(to_double(c), lambda n: fixed(n, 1)), F.lit(""))
     return F.concat_ws("_", *map(part, b))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType
 
 from tagloom.functions.text import bound, strip
 
@@ -26,9 +27,34 @@ def milliseconds(s: Column) -> Column:
     return to_double(s).cast("long")
 
 
+def number_of(c: Column, kind: DataType) -> Column:
+    """``to_double`` of a column of a known type: numbers need no parsing, only NaN and infinities are none."""
+    if not isinstance(kind, NumericType):
+        return to_double(c)
+    x = c.cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
+
+
 def fixed(x: Column, places: int) -> Column:
     """Fixed-point text of the exact binary value, half to even; null for null. ``places`` is 1 to 3.
 
+    Below 10^9 a product with a power of ten is off by less than a thousandth;
+    so what is farther from a tie is rounded there, in generated code, and only
+    the rest goes by ``_fixed_exact``.  ``x`` is named often: give it as a
+    column of its own if it is costly.
+    """
+    x = x.cast("double")
+    scaled = F.abs(x) * 10**places
+    sure = (F.abs(x) < 1e9) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-3)
+    cents = F.floor(scaled + 0.5)
+    sign = F.when((x < 0) | ((x == 0) & (x.cast("string") == "-0.0")), "-").otherwise("")
+    text = F.concat(sign, F.call_function("div", cents, F.lit(10**places)).cast("string"), F.lit("."), F.lpad((cents % 10**places).cast("string"), places, "0"))
+    return F.when(sure, text).otherwise(_fixed_exact(x, places))
+
+
+def _fixed_exact(x: Column, places: int) -> Column:
+    """``fixed`` for any number.
+
     The fraction is exact, and so are the products of its two halves of 26
     bits with a power of ten; so the distance to the next tie has the right
     sign, and ties are only those of the binary value.  Beyond 2^62, where

@@ -10,7 +10,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.functions.cells import cell, final_cell
+from tagloom.functions.cells import NUMBERS, cell, final_cell
+from tagloom.functions.numbers import number_of
 from tagloom.operators.datasets import manifest
 from tagloom.operators.sampling import numbered
 from tagloom.schema import COLUMNS, SERVICE
@@ -37,8 +38,11 @@ def write_logs(lines: DataFrame, path: str, by: str = "video") -> None:
 
 def format_rows(rows: DataFrame, compat: bool = False, keep: list[str] | None = None) -> DataFrame:
     """(keep, line): each record as a line of the 29-column CSV."""
-    have = set(rows.columns)
-    cells = [cell(c, F.col(c), compat) if c in have else F.lit("") for c in COLUMNS]
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    # Numbers are columns of their own, so that each is read once, however often its cell names it.
+    numbers = {c: f"__number_{c}" for c in COLUMNS if c in have and c in NUMBERS}
+    rows = rows.withColumns({n: number_of(F.col(c), have[c]) for c, n in numbers.items()})
+    cells = [cell(c, F.col(c), compat, F.col(numbers[c]) if c in numbers else None) if c in have else F.lit("") for c in COLUMNS]
     return rows.select(*(keep or []), F.concat_ws(",", *cells).alias("line"))
 
 

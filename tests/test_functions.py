@@ -157,3 +157,16 @@ def test_dimensions():
 
 def test_name_similarity(spark):
     assert ask(spark, [("abcd", "abcx"), ("", "x"), ("a", "a"), ("ab", "abcd")], text.name_similarity) == [0.75, 0.0, 1.0, 0.5]
+
+
+def test_fixed_against_the_exact_binary_value(spark):
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    rng = random.Random(12)
+    xs = [0.0, -0.0, 0.125, -0.375, 2.675, 1.005, 0.05, -0.04, 1e-300, 999999999.9995, 1e9 - 0.005, 1e9 + 0.5, 1e15 + 0.125, 2.0**62, 1e300, 0.995, 99.9999, 123456789.0005]
+    xs += [rng.choice([1, -1]) * round(rng.random() * 10 ** rng.randrange(10), rng.randrange(5)) for _ in range(400)] + [rng.randrange(10**6) / 8 for _ in range(200)]
+    for places in (1, 2, 3):
+        got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").orderBy("i").select(numbers.fixed(F.col("x"), places)).collect()]
+        want = [format(Decimal(x).quantize(Decimal(10) ** -places, ROUND_HALF_EVEN), "f") if abs(x) < 2.0**62 else None for x in xs]
+        assert [g for g, w in zip(got, want) if w is not None] == [w for w in want if w is not None]
+    assert spark.range(1).select(numbers.fixed(F.lit(None).cast("double"), 2)).first()[0] is None
