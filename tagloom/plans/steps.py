@@ -199,6 +199,16 @@ def hashed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.hashed_split(load(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.1)
 
 
+@register(
+    "exact_split",
+    """
+    SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id)) <= (SELECT round(count(*) * 0.15) FROM documents) THEN 'val' ELSE 'train' END AS split FROM documents
+    """,
+)
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.exact_split(load(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.15)
+
+
 @register("good_crops", "SELECT p_partkey FROM part WHERE p_size * 10 >= 120 AND p_retailprice / 30 >= 40")
 def good_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 10).alias("height"), (F.col("p_retailprice") / 30).alias("sharpness"))

@@ -300,6 +300,41 @@ def test_sampling(spark):
     assert sampling.unfinished(spark.range(5), spark.range(3), ["id"]).count() == 2
 
 
+def kept_times(times, gap):
+    out = []
+    for t in sorted(times):
+        if not out or t - out[-1] >= gap:
+            out.append(t)
+    return out
+
+
+@pytest.mark.parametrize("gap", [0, 1, 700, 40_000, 10**7])
+def test_least_gap_over_ranges(spark, monkeypatch, gap):
+    """One group over many ranges, small ones within a range, null groups, equal times; no group at all."""
+    monkeypatch.setattr(sampling, "RANGE_ROWS", 50)
+    rng = random.Random(gap)
+    rows = [("hot", rng.randrange(100_000)) for _ in range(1500)] + [(f"v{rng.randrange(40)}", rng.randrange(50_000)) for _ in range(300)] + [(None, t) for t in range(0, 9000, 300)] + [("hot", None)]
+    df = spark.createDataFrame(rows, "video string, ts long").repartition(3)
+    want = [(v, t) for v in {v for v, _ in rows} for t in kept_times([t for w, t in rows if w == v and t is not None], gap)]
+    got = sampling.min_gap(df, ["video"], "ts", gap)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(r.ts for r in sampling.min_gap(df, [], "ts", gap).collect()) == kept_times([t for _, t in rows if t is not None], gap)
+    assert sampling.min_gap(df.limit(0), ["video"], "ts", gap).collect() == []
+
+
+def test_exact_split(spark):
+    ids = spark.range(1003).repartition(7)
+    for share in (0.0, 0.1, 0.333, 1.0):
+        split = {r.id: r.split for r in sampling.exact_split(ids, "id", share).collect()}
+        assert list(split.values()).count("val") == round(1003 * share)
+        assert split == {r.id: r.split for r in sampling.exact_split(ids.repartition(2), "id", share).collect()}
+    other = {r.id for r in sampling.exact_split(ids, "id", 0.1, seed=1).filter("split = 'val'").collect()}
+    assert other != {r.id for r in sampling.exact_split(ids, "id", 0.1).filter("split = 'val'").collect()}
+    twice = sampling.exact_split(spark.createDataFrame([(None,)] * 50 + [(i,) for i in range(50)], "id long"), "id", 0.2)
+    assert {r.n for r in twice.groupBy("id").agg(F.countDistinct("split").alias("n")).collect()} == {1} and twice.filter("split = 'val'").count() <= 20
+    assert sampling.exact_split(ids.limit(0), "id", 0.5).count() == 0
+
+
 def test_barcode_cascade(spark):
     good, other = "4670025474665", "4600000000008"
     attempts = spark.createDataFrame([("v", 1, 0, 0, "12"), ("v", 1, 1, 3, good), ("v", 2, 0, 0, None)], "video string, track_id int, seq int, variant_idx int, text string")
