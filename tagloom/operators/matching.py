@@ -39,6 +39,10 @@ def place_join(pred: DataFrame, truth: DataFrame, keys: list[str], most_ms: floa
     return near.withColumn("iou", iou(box("p"), box("g"))).filter(F.col("iou") >= least_iou)
 
 
+#: True codes of a group that each of its predictions is compared with.
+FEW_CODES = 128
+
+
 def _left_over(codes: DataFrame, keys: list[str], code: str, text: Column, length: int, cuts: int, tag: str) -> DataFrame:
     """(keys, code, __left): a hash of the tag and of each text that is left of a text of the given length without ``cuts`` of its characters."""
     x = codes.select(*keys, code, text.alias("__c"))
@@ -52,11 +56,13 @@ def _left_over(codes: DataFrame, keys: list[str], code: str, text: Column, lengt
 def code_join(pred: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs of the same keys whose codes match; the predicted code must have 13 digits.
 
-    Two texts within an edit distance of two have all but two characters of the
+    Codes are compared once each.  Where a group (a video) has no more than
+    FEW_CODES true ones, a prediction is compared with all of them, which is
+    fewer than the rows it would be repeated for; in larger groups by what is
+    left of both:  Two texts within an edit distance of two have all but two characters of the
     longer one in common, in the same order; so one that leaves out just so many
-    of each in every way has an equal result on both sides.  Codes are compared
-    once each, and only they and hashes of these results go through the
-    equi-join.  What is left has eleven digits or more, so a prefix that many
+    of each in every way has an equal result on both sides.  Only codes and
+    hashes of these results go through the equi-join.  What is left has eleven digits or more, so a prefix that many
     codes share makes no hot key.  Codes of other lengths are also compared by
     up to ten characters at either end, in the same way.  Which lengths there
     are on the true side is asked first; predictions are only shortened to what
@@ -65,6 +71,10 @@ def code_join(pred: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
     p = cut_lineage(pred.filter(F.col("p_code").rlike(r"^[0-9]{13}\z")).select(*keys, "p_code").distinct())
     # A code shorter than eight is more than two edits from 13 digits, and has no end of eight.
     g = cut_lineage(truth.filter(F.length("g_code") >= 8).select(*keys, "g_code").distinct())
+    few = cut_lineage(g.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).select(*keys, (F.col("__n") <= FEW_CODES).alias("__few")))
+    p, g = p.join(few, keys), g.join(few, keys)
+    near = p.filter("__few").drop("__few").join(g.filter("__few").drop("__few"), keys).filter(barcode_match(F.col("p_code"), F.col("g_code")))
+    p, g = p.filter("NOT __few").drop("__few"), g.filter("NOT __few").drop("__few")
     lengths = {r.n for r in g.select(F.least(F.length("g_code"), F.lit(16)).alias("n")).distinct().collect()}  # nine at most
 
     ours, theirs = [], []
@@ -80,10 +90,10 @@ def code_join(pred: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
         for side, cut in (("l", F.left), ("r", F.right)):
             ours.append(_left_over(p, keys, "p_code", cut(F.col("p_code"), F.lit(n)), n, 2, f"{side}{n}"))
             theirs.append(_left_over(same, keys, "g_code", cut(F.col("g_code"), F.lit(n)), n, 2, f"{side}{n}"))
-    near = p.join(g, keys).filter(F.lit(False))
     if ours:
         found = reduce(DataFrame.unionAll, ours).join(reduce(DataFrame.unionAll, theirs), [*keys, "__left"])
-        near = found.select(*keys, "p_code", "g_code").distinct().filter(barcode_match(F.col("p_code"), F.col("g_code")))
+        found = found.select(*keys, "p_code", "g_code").distinct().filter(barcode_match(F.col("p_code"), F.col("g_code")))
+        near = near.select(*keys, "p_code", "g_code").unionAll(found)
     both = near.join(pred, [*keys, "p_code"]).join(truth, [*keys, "g_code"])
     return both.select(*keys, *[c for c in pred.columns if c not in keys], *[c for c in truth.columns if c not in keys])
 
@@ -228,7 +238,7 @@ def match_names(names: DataFrame, gallery: DataFrame, name: str = "name", least:
     entries that ``name_pairs`` leaves; the score decides.  ``least`` must be
     over 0.  A null or blank name, or an empty gallery, gives the name itself.
     """
-    once = names.select(F.col(name).alias("name")).distinct()
+    once = cut_lineage(names.select(F.col(name).alias("name")).distinct())
     pairs = name_pairs(once, gallery, least)
     distance = F.call_function("levenshtein", F.col("q"), F.col("g"), F.col("most"))
     scored = pairs.withColumn("d", distance).filter("d >= 0").withColumn("score", 1.0 - F.col("d") / F.greatest(F.length("q"), F.length("g"))).filter(F.col("score") >= least)

@@ -30,7 +30,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from tagloom.plans import detections, records, steps  # noqa: F401  they register their queries
+    from tagloom.plans import detections, records, runs, steps  # noqa: F401  they register their queries
 
     return _QUERIES
 

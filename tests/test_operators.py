@@ -109,7 +109,9 @@ def edit(a, b):
     return row[-1]
 
 
-def test_code_join_loses_nothing(spark):
+@pytest.mark.parametrize("few", [1000, 0])
+def test_code_join_loses_nothing(spark, monkeypatch, few):
+    monkeypatch.setattr(matching, "FEW_CODES", few)
     rng = random.Random(5)
     p = ["".join(rng.choice("0123456789") for _ in range(13)) for _ in range(25)] + ["short"]
     g = []
@@ -376,3 +378,44 @@ def test_label_sets(spark):
     assert "train: images/train" in datasets.manifest("/d", ["tag"])
     crops = spark.createDataFrame([(200, 80.0), (100, 80.0), (200, 20.0)], "height int, sharpness double")
     assert datasets.good_crops(crops).count() == 1
+
+
+def test_a_whole_run(spark):
+    """Detections to CSV lines: best frames, codes, a payload of a candidate frame, names by the gallery; tracks without answers."""
+    from tagloom.operators import run
+    from tagloom.sources import tables
+
+    good, other = "4670025474665", "4600000000008"
+    frames = [("v", 1, "/d/v.mp4", s, s * 40, 1.0, 2.0, 30.5, 40.0, 100.0, float(s % 3), s == 0) for s in range(6)] + [("v", 2, "/d/v.mp4", 9, 360, 0.0, 0.0, 5.0, 5.0, 25.0, 1.0, False)]
+    detections = spark.createDataFrame(frames, "video string, track_id int, path string, seq int, ts_ms int, x1 double, y1 double, x2 double, y2 double, area double, sharpness double, touches_edge boolean")
+    decoded = spark.createDataFrame([("v", 1, 3, 0, "12"), ("v", 1, 4, 2, good)], "video string, track_id int, seq int, variant_idx int, text string")
+    reads = spark.createDataFrame([("v", 1, 'x {"color": "red", "product_name": "Малоко отборное", "price_default": "12.5", "barcode": "' + other + '"}')], "video string, track_id int, raw string")
+    payloads = spark.createDataFrame([("v", 1, 0, "p1=5", "zxing"), ("v", 1, 1, "p1=7", "zxing")], "video string, track_id int, seq int, payload string, source string")
+    gallery = spark.createDataFrame([(0, "Молоко отборное"), (1, "Сыр")], "ord int, entry string")
+    out = run.resolve_run(detections, decoded, reads, None, payloads, gallery)
+    rows = {r.track_id: r for r in out.collect()}
+    r = rows[1]
+    assert (r.seq, r.product_name, r.barcode, r.barcode_source, r.price1_qr, r.qr_source) == (2, "Молоко отборное", good, "zxing", "5.00", "zxing")
+    assert (rows[2].seq, rows[2].product_name, rows[2].barcode, rows[2].barcode_source, rows[2].qr_source) == (9, "", "", "none", None)
+    lines = sorted(r.line for r in tables.format_rows(run.record_run(out)).collect())
+    assert lines[1] == 'd/v.mp4,Молоко отборное,"12,50",,нет,4670025474665,,,нет,нет,нет,red,,80,"1,0","2,0","30,5","40,0",,5.00,,нет,,нет,нет,нет,нет,нет,нет'
+    plain = run.resolve_run(detections, decoded, reads, skip_fallback=True)
+    assert {r.track_id: (r.product_name, r.barcode_source, r.price1_qr) for r in plain.collect()} == {1: ("Малоко отборное", "zxing", ""), 2: ("", "skipped_fallback", "")}
+
+
+def test_evaluation_of_a_run(spark):
+    from tagloom.operators import run
+
+    def record(line, **cells):
+        return ("v", line, *[cells.get(c, "") for c in COLUMNS])
+
+    schema = "video string, line int, " + ", ".join(f"{c} string" for c in COLUMNS)
+    place = {"frame_timestamp": "1000", "x_min": "0", "y_min": "0", "x_max": "10", "y_max": "10,0"}
+    truth = spark.createDataFrame([record(1, barcode="4670025474665", color="red", price_card="2.00"), record(2, **place, color="blue"), record(3, color="white")], schema)
+    pred = spark.createDataFrame([record(1, barcode="4670025474666", color="Red", price_card="2,00"), record(2, **(place | {"frame_timestamp": "2500", "x_min": "1"}), color="red"), record(3, **(place | {"frame_timestamp": "late"})), record(4, **(place | {"frame_timestamp": "9000"}))], schema)
+    assert [(r.p_ord, r.g_ord, r.rule) for r in run.match_run(pred, truth, ["video"]).orderBy("p_ord").collect()] == [(1, 1, 1), (2, 2, 2)]
+    r = run.evaluate_run(pred, truth, ["video"]).first()
+    assert (r.n_pred, r.n_gt, r.matched, r.precision, r.kpi_pass_rate, r.acc_color, r.acc_barcode, r.acc_price_card, r.acc_product_name) == (4, 3, 2, 0.5, 0.5, 0.5, 1.0, 1.0, 0.0)
+    assert r.recall == pytest.approx(2 / 3)
+    none = run.evaluate_run(pred.limit(0), truth.limit(0), ["video"]).first()
+    assert (none.matched, none.recall, none.precision, none.kpi_pass_rate) == (0, 0.0, 0.0, 0.0)
