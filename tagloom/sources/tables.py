@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from tagloom.functions.numbers import number_of
 from tagloom.operators.datasets import manifest
 from tagloom.operators.sampling import numbered
 from tagloom.schema import COLUMNS, SERVICE
+from tagloom.sources.sinks import opened, write_ordered, write_whole
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -55,6 +54,26 @@ def write_tags(rows: DataFrame, path: str, order: list[str] | None = None, compa
     both.select("line").write.mode("overwrite").text(path, lineSep="\n")
 
 
+def write_tags_ordered(rows: DataFrame, path: str, order: list[str], compat: bool = False) -> None:
+    """``write_tags`` for any number of records: ordered parts, the header being the first, in place once all are written."""
+    write_ordered(format_rows(rows, compat, order), path, order, header=",".join(COLUMNS), suffix=".csv")
+
+
+def write_editable_ordered(rows: DataFrame, path: str, order: list[str]) -> None:
+    """``write_editable`` for any number of records, in the given order."""
+    names = [*[c for c in SERVICE if c in rows.columns], *COLUMNS]
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    cells = [F.when(text(c).rlike('[,"\n\r]'), F.concat(F.lit('"'), F.replace(text(c), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text(c)) for c in names]
+    body = rows.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], F.concat_ws(",", *cells).alias("line"))
+    write_ordered(body, path, [f"__o{i}" for i in range(len(order))], header=",".join(names), suffix=".csv")
+
+
+def write_tasks_ordered(tasks: DataFrame, path: str) -> None:
+    """``write_tasks`` for any number of tasks: parts that are one JSON array in the order of their names."""
+    lines = numbered(tasks.select("task"), ["task"], "__n")
+    write_ordered(lines.select("__n", F.concat(F.when(F.col("__n") > 0, ",").otherwise(""), "task").alias("line")), path, ["__n"], header="[", footer="]", suffix=".json")
+
+
 def write_tags_by_video(rows: DataFrame, path: str, key: str = "filename", order: list[str] | None = None) -> None:
     """A folder per video, written by as many tasks as there are videos; headers are lines of rank 0."""
     lines = format_rows(rows, keep=[key, *(order or [])]).withColumn("__part", F.lit(1))
@@ -132,19 +151,17 @@ def write_files(files: DataFrame, folder: str, name: str = "name", data: str = "
     """One file for each row: its name below ``folder``, its text or bytes; gives their number.
 
     Executors write them, so the folder must be one that they share: a path, or
-    an address that Arrow's file systems know (file, hdfs, s3, ...).  A task
-    that is run again writes the same files.
+    an address that Arrow's file systems know (file, hdfs, s3, ...).  Each file
+    is written aside and moved into place, so a task that is lost leaves no
+    half file, and one that is run again the same files.
     """
     rows = files.select(F.col(name).cast("string").alias("name"), F.col(data).cast("binary").alias("data"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = fs.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
+        system, root = opened(folder)
         for batch in batches:
             for at, content in zip(batch["name"].to_pylist(), batch["data"].to_pylist()):
-                path = f"{root.rstrip('/')}/{at}"
-                system.create_dir(os.path.dirname(path), recursive=True)
-                with system.open_output_stream(path) as out:
-                    out.write(content or b"")
+                write_whole(system, f"{root}/{at}", content or b"")
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
     return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
