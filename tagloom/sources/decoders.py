@@ -109,7 +109,27 @@ def y4m(path: str) -> Iterator[tuple[int, int, int, int, bytes]]:
             yield int(n * video.frame_ms + 1e-9), *frame
 
 
+def _y4m_span(path: str, low: int, high: int) -> Iterator[tuple[int, int, int, int, int, bytes]]:
+    with _open(path) as file:
+        video = _Y4m(file)
+        duration, at = video.sought()
+        step = len("FRAME\n") + video.length
+        number, rest = divmod(file.size() - video.start, step)
+        for n in range(max(0, int(low / video.frame_ms) - 1), number):
+            ts = int(n * video.frame_ms + 1e-9)
+            if ts >= high:
+                return
+            if ts >= low:
+                frame = at(n * video.frame_ms)
+                if frame is None:
+                    raise ValueError("frames with parameters can't be sought")
+                yield n + 1, ts, *frame
+        if rest and high > duration:
+            raise ValueError("the last frame isn't whole")
+
+
 y4m.seek = lambda path: _Y4m(_open(path)).sought()
+y4m.span = _y4m_span
 
 
 def opencv(path: str) -> Iterator[tuple[int, int, int, int, bytes]]:

@@ -3,25 +3,39 @@
 ``spark.read.format("frames").option("decoder", "module:function")`` lists the
 frames of the files given as ``paths`` (comma-separated).  A decoder yields
 (ts_ms, height, width, channels, bytes) for a path; it is imported on the
-executor, one partition per file.  With ``stepMs`` only the first frame at or
-after each point of the grid is returned.  A decoder that has an attribute
-``seek`` needn't decode all frames for that: ``seek(path)`` gives the duration
-in ms and a function from a time to (height, width, channels, bytes) or None;
-points without a frame are left out.  ``times`` (comma-separated) asks such a
-decoder for single frames.  A file that can't be decoded fails the read, or
-with ``badFiles=report`` gives one row with the error after the frames before
-it, so that a batch goes on.
+executor.  With ``stepMs`` only the first frame at or after each point of the
+grid is returned.  What a decoder has as attributes saves decoding:
+
+* ``seek(path)`` gives the duration in ms and a function from a time to
+  (height, width, channels, bytes) or None; with ``stepMs`` only the points are
+  decoded (frame_idx is the point's number, points without a frame are left
+  out), and ``times`` (comma-separated) asks for single frames.
+* ``span(path, low, high)`` yields (frame_idx, ts_ms, height, width, channels,
+  bytes) of the frames with low <= ts_ms < high.
+
+With such a decoder a file is read by ``slices`` tasks, a range of its time
+each; without one by one task.  Filters on video and ts_ms are pushed down
+where spark.sql.python.filterPushdown.enabled is set (``read_frames`` does):
+other files aren't opened, and frames outside of the times not decoded; a
+decoder without attributes is stopped at the last time.
+
+A file that can't be decoded fails the read, or with ``badFiles=report`` gives
+one row with the error after the frames before it (one for each slice), so that
+a batch goes on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from importlib import import_module
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.types import BinaryType, IntegerType, StringType, StructType
 
 from tagloom.kernels import png, to_array
 from tagloom.sources.tables import write_files
@@ -30,9 +44,16 @@ SCHEMA = "video string, frame_idx int, ts_ms long, height int, width int, channe
 DETECTIONS = "video string, track_id int, seq int, frame_idx int, ts_ms long, x1 double, y1 double, x2 double, y2 double, conf double, touches_edge boolean, sharpness double, crop binary"
 
 
+_NEVER = 1 << 62
+
+
+@dataclass
 class FileSplit(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    """A slice of a file's time, of so many."""
+
+    path: str
+    number: int = 0
+    of: int = 1
 
 
 class FrameReader(DataSourceReader):
@@ -40,19 +61,41 @@ class FrameReader(DataSourceReader):
         self.paths = [p for p in options.get("paths", "").split(",") if p]
         self.decoder, self.step = options.get("decoder", ""), int(options.get("stepms", options.get("stepMs", 0)))
         self.times = [int(t) for t in options.get("times", "").split(",") if t]
+        self.slices = max(1, int(options.get("slices", 1)))
         self.report = options.get("badfiles", options.get("badFiles", "fail")) == "report"
+        self.low, self.high = -_NEVER, _NEVER  # times asked for: low <= ts_ms < high
+        self.videos: set[str] | None = None
         if ":" not in self.decoder:
             raise ValueError("option decoder: module:function")
 
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Narrows times and files; Spark evaluates all filters again, so any bound that holds will do."""
+        for f in filters:
+            value = getattr(f, "value", None)
+            if getattr(f, "attribute", None) == ("ts_ms",) and isinstance(value, int):
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    self.low = max(self.low, value + isinstance(f, GreaterThan))
+                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+                    self.high = min(self.high, value + (not isinstance(f, LessThan)))
+            elif getattr(f, "attribute", None) == ("video",) and isinstance(f, (EqualTo, In)):
+                named = {value} if isinstance(f, EqualTo) else set(value)
+                self.videos = named if self.videos is None else self.videos & named
+            yield f
+
+    def _ranged(self, decode) -> bool:
+        """Whether the decoder can be asked for a range of time."""
+        return hasattr(decode, "seek") and (bool(self.step) or hasattr(decode, "span")) and not self.times
+
     def partitions(self) -> list[FileSplit]:
-        return [FileSplit(p) for p in self.paths]
+        of = self.slices if self.slices > 1 and self._ranged(imported(self.decoder)) else 1
+        return [FileSplit(p, k, of) for p in self.paths if self.videos is None or p in self.videos for k in range(of)]
 
-    def read(self, partition: FileSplit) -> Iterator[tuple]:
-        module, _, name = self.decoder.partition(":")
+    def read(self, partition: FileSplit | None) -> Iterator[tuple]:
+        if partition is None:  # no file
+            return
         last = 0
         try:
-            decode = getattr(import_module(module), name)
-            for row in self._sought(decode.seek, partition.path) if (self.step or self.times) and hasattr(decode, "seek") else self._all(decode, partition.path):
+            for row in self._rows(imported(self.decoder), partition):
                 last = row[1]
                 yield row
         except Exception as e:
@@ -60,26 +103,45 @@ class FrameReader(DataSourceReader):
                 raise
             yield partition.path, last + 1, None, None, None, None, None, str(e)
 
-
-    def _sought(self, seek, path: str) -> Iterator[tuple]:
-        duration, at = seek(path)
-        n = 0
-        for ts in self.times or range(0, duration, self.step):
-            frame = at(ts)
-            if frame is not None:
-                n += 1
-                yield path, n, ts, *frame, None
-
-    def _all(self, decode, path: str) -> Iterator[tuple]:
+    def _rows(self, decode, part: FileSplit) -> Iterator[tuple]:
+        low, high, path = self.low, self.high, part.path
         if self.times:
-            raise ValueError("single times need a decoder that can seek")
-        due = 0
-        for i, (ts, height, width, channels, data) in enumerate(decode(path), 1):
-            if self.step:
-                if ts < due:
-                    continue
-                due = (ts // self.step + 1) * self.step
-            yield path, i, int(ts), height, width, channels, data, None
+            if not hasattr(decode, "seek"):
+                raise ValueError("single times need a decoder that can seek")
+            _, at = decode.seek(path)
+            found = ((ts, at(ts)) for ts in self.times if low <= ts < high)
+            for n, (ts, frame) in enumerate(((ts, frame) for ts, frame in found if frame is not None), 1):
+                yield path, n, ts, *frame, None
+        elif self._ranged(decode):
+            duration, at = decode.seek(path)
+            if part.number:
+                low = max(low, duration * part.number // part.of)
+            if part.number + 1 < part.of:
+                high = min(high, duration * (part.number + 1) // part.of)
+            if not self.step:
+                for i, ts, *frame in decode.span(path, low, high):
+                    yield path, i, int(ts), *frame, None
+                return
+            for i in range(-(-max(0, low) // self.step), -(-max(0, min(high, duration)) // self.step)):
+                frame = at(i * self.step)
+                if frame is not None:
+                    yield path, i + 1, i * self.step, *frame, None
+        else:
+            due = 0
+            for i, (ts, *frame) in enumerate(decode(path), 1):
+                if ts >= high:
+                    return
+                if self.step:
+                    if ts < due:
+                        continue
+                    due = (ts // self.step + 1) * self.step
+                if ts >= low:
+                    yield path, i, int(ts), *frame, None
+
+
+def imported(decoder: str):
+    module, _, name = decoder.partition(":")
+    return getattr(import_module(module), name)
 
 
 class FrameSource(DataSource):
@@ -94,9 +156,10 @@ class FrameSource(DataSource):
         return FrameReader(self.options)
 
 
-def read_frames(spark: SparkSession, paths: list[str], decoder: str, step_ms: int = 0, bad_files: str = "fail") -> DataFrame:
+def read_frames(spark: SparkSession, paths: list[str], decoder: str, step_ms: int = 0, bad_files: str = "fail", slices: int = 1) -> DataFrame:
     spark.dataSource.register(FrameSource)
-    return spark.read.format("frames").option("paths", ",".join(paths)).option("decoder", decoder).option("stepMs", str(step_ms)).option("badFiles", bad_files).load()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("frames").option("paths", ",".join(paths)).option("decoder", decoder).option("stepMs", str(step_ms)).option("badFiles", bad_files).option("slices", str(slices)).load()
 
 
 def read_frame_at(spark: SparkSession, path: str, ts_ms: int, decoder: str) -> DataFrame:
@@ -105,6 +168,63 @@ def read_frame_at(spark: SparkSession, path: str, ts_ms: int, decoder: str) -> D
     return spark.read.format("frames").option("paths", path).option("decoder", decoder).option("times", str(ts_ms)).load()
 
 
+#: Time of a video that one task looks frames up in, and bytes of images that it holds.
+LOOKUP_MS, LOOKUP_BYTES = 600_000, 16 << 20
+IMAGE = (("height", IntegerType()), ("width", IntegerType()), ("channels", IntegerType()), ("data", BinaryType()), ("error", StringType()))
+
+
+def seek_frames(rows: DataFrame, decoder: str, ts: str = "ts_ms", bad_files: str = "fail") -> DataFrame:
+    """Each row of a table (video, ts, ...) with the image at its time: height, width, channels, data, error.
+
+    The decoder must be able to seek: only the frames asked for are decoded.
+    Rows are dealt by video and ten minutes of it and read in order, so a file
+    is opened once for each run of its rows and many rows of one video spread.
+    A row whose video is null, has no frame there or no time has null images;
+    one whose file can't be read has an error instead with
+    ``bad_files="report"``, else it fails the job.  Columns that bear the new
+    names are replaced.
+    """
+    taken = {n for n, _ in IMAGE}
+    kept = [c for c in rows.columns if c.lower() not in taken]
+    x = rows.select(*kept).repartition(F.col("video"), F.floor(F.col(ts) / LOOKUP_MS)).sortWithinPartitions("video", ts)
+    schema = StructType(list(x.schema.fields))
+    for name, kind in IMAGE:
+        schema = schema.add(name, kind)
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seek = imported(decoder).seek
+        opened, at, broken = None, None, None
+        for batch in batches:
+            start, size, images = 0, 0, []
+            for i, (video, time) in enumerate(zip(batch["video"].to_pylist(), batch[ts].to_pylist())):
+                image = (None,) * 5
+                try:
+                    if video is not None and time is not None:
+                        if video != opened:
+                            opened, at, broken = video, None, None
+                            at = seek(video)[1]
+                        if broken is None:
+                            frame = at(int(time))
+                            image = (*frame, None) if frame is not None else image
+                except Exception as e:
+                    if bad_files != "report":
+                        raise
+                    if at is None:
+                        broken = str(e)
+                    image = (None, None, None, None, str(e))
+                if broken is not None and video == opened:
+                    image = (None, None, None, None, broken)
+                images.append(image)
+                size += len(image[3] or b"")
+                if size >= LOOKUP_BYTES or i + 1 == batch.num_rows:
+                    part = batch.slice(start, i + 1 - start)
+                    yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(c, t) for c, t in zip(zip(*images), types)]], names=[*kept, *[n for n, _ in IMAGE]])
+                    start, size, images = i + 1, 0, []
+
+    return x.mapInArrow(run, schema)
+
+
 def time_grid(videos: DataFrame, step_ms: int) -> DataFrame:
     """(video, ts_ms): every step from 0 up to the duration in ms."""
     return videos.filter("duration_ms > 0").select("video", F.explode(F.sequence(F.lit(0).cast("long"), F.col("duration_ms") - 1, F.lit(step_ms).cast("long"))).alias("ts_ms"))

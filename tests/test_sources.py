@@ -1,3 +1,4 @@
+import os
 import json
 
 import numpy as np
@@ -126,7 +127,7 @@ def test_frame_source(spark):
 
 def test_decoders_that_seek(spark):
     grid = video.read_frames(spark, ["a"], "tests.test_sources:seeking_decoder", 100)
-    assert sorted((r.frame_idx, r.ts_ms, bytes(r.data)) for r in grid.collect()) == [(1, 0, b"0"), (2, 100, b"100"), (3, 300, b"300")]  # no frame at 200
+    assert sorted((r.frame_idx, r.ts_ms, bytes(r.data)) for r in grid.collect()) == [(1, 0, b"0"), (2, 100, b"100"), (4, 300, b"300")]  # no frame at 200
     one = video.read_frame_at(spark, "a", 120, "tests.test_sources:seeking_decoder")
     assert [(r.ts_ms, bytes(r.data)) for r in one.collect()] == [(120, b"120")]
     assert video.read_frame_at(spark, "a", 200, "tests.test_sources:seeking_decoder").count() == 0
@@ -156,6 +157,49 @@ def test_uncompressed_video(spark, tmp_path):
     assert kernels.read_square(np.zeros((9, 9), np.uint8), decoders.code_readers()) == ("", "")
 
 
+def test_a_file_is_read_by_several_tasks(spark, tmp_path):
+    grey = y4m_file(tmp_path / "g.y4m", "mono", lambda i: bytes([20 * i] * 8))
+    decoder = "tagloom.sources.decoders:y4m"
+    for step in (0, 40, 70, 1000):
+        whole = video.read_frames(spark, [grey], decoder, step)
+        parts = video.read_frames(spark, [grey], decoder, step, slices=3)
+        assert (whole.rdd.getNumPartitions(), parts.rdd.getNumPartitions()) == (1, 3)
+        assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect()))
+    assert {r.p for r in parts.unionAll(video.read_frames(spark, [grey], decoder, slices=3)).select(F.spark_partition_id().alias("p")).distinct().collect()} >= {3, 4, 5}
+    assert video.read_frames(spark, ["a"], "tests.test_sources:fake_decoder", slices=3).rdd.getNumPartitions() == 1
+
+
+def test_filters_reach_the_decoder(spark, tmp_path):
+    """Frames outside of the filter aren't decoded, files outside not opened."""
+    log, (a, b, c) = tmp_path / "log", (f"{tmp_path}/{n}" for n in "abc")
+    for step in (0, 10):
+        log.write_text("")
+        got = video.read_frames(spark, [a, b, c], "tests.test_sources:logged_decoder", step, slices=2).filter(F.col("video").isin(a, b) & (F.col("video") != b) & (F.col("ts_ms") > 100) & (F.col("ts_ms") <= 130))
+        assert sorted((bytes(r.data).decode(), r.ts_ms) for r in got.collect()) == [("a/110", 110), ("a/120", 120), ("a/130", 130)]
+        assert {"a/110", "a/120", "a/130"} <= set(log.read_text().split()) <= {f"{v}/{t}" for v in "ab" for t in (110, 120, 130)}
+    log.write_text("")
+    one = video.read_frames(spark, [a, b], "tests.test_sources:logged_decoder").filter((F.col("video") == b) & (F.col("ts_ms") == 50))
+    assert [r.frame_idx for r in one.collect()] == [6] and set(log.read_text().split()) == {"b/50"}
+    assert video.read_frames(spark, [a], "tests.test_sources:logged_decoder").filter("video = 'none'").count() == 0
+    log.write_text("")
+    early = video.read_frames(spark, [a], "tests.test_sources:plain_logged_decoder").filter("ts_ms < 30")
+    assert early.count() == 3 and len(log.read_text().split()) <= 4
+
+
+def test_lookups_seek_for_a_table_of_times(spark, tmp_path, monkeypatch):
+    log, (a, b, bad) = tmp_path / "log", (f"{tmp_path}/{n}" for n in ("a", "b", "bad"))
+    log.write_text("")
+    rows = [(a, 0, "x"), (a, 55, "y"), (a, 55, "z"), (b, 10**7, "late"), (None, 5, "none"), (a, None, "never"), (bad, 5, "q"), (bad, 6, "q")]
+    df = spark.createDataFrame(rows, "video string, ts_ms long, data string").withColumn("k", F.col("data"))
+    got = {(r.video, r.ts_ms, r.k): (r.data and bytes(r.data).decode(), r.error) for r in video.seek_frames(df, "tests.test_sources:logged_decoder", bad_files="report").collect()}
+    assert got == {(a, 0, "x"): ("a/0", None), (a, 55, "y"): ("a/50", None), (a, 55, "z"): ("a/50", None), (b, 10**7, "late"): (None, None), (None, 5, "none"): (None, None), (a, None, "never"): (None, None), (bad, 5, "q"): (None, "no such file"), (bad, 6, "q"): (None, "no such file")}
+    assert set(log.read_text().split()) == {"a/0", "a/50"}
+    with pytest.raises(Exception, match="no such file"):
+        video.seek_frames(df, "tests.test_sources:logged_decoder").collect()
+    monkeypatch.setattr(video, "LOOKUP_BYTES", 3)
+    assert video.seek_frames(df.filter(F.col("video") == a), "tests.test_sources:logged_decoder").count() == 4
+
+
 def test_bad_files_are_reported(spark, tmp_path):
     got = video.read_frames(spark, ["a", "bad"], "tests.test_sources:fragile_decoder", bad_files="report")
     assert sorted((r.video, r.error) for r in got.filter("error IS NOT NULL").collect()) == [("bad", "cannot decode bad")]
@@ -258,6 +302,33 @@ def seeking_decoder(path):
 seeking_decoder.seek = lambda path: (350, lambda ts: None if ts == 200 else (1, 1, 1, str(ts).encode()))
 
 
+def logged(path, n):
+    """The frame at 10 n ms; beside the file a log says which frames were decoded."""
+    folder, name = os.path.split(path)
+    with open(f"{folder}/log", "a") as log:
+        log.write(f"{name}/{10 * n}\n")
+    return 1, 1, 1, f"{name}/{10 * n}".encode()
+
+
+def logged_decoder(path):
+    raise AssertionError("frames are sought")
+
+
+def logged_seek(path):
+    if path.endswith("/bad"):
+        raise OSError("no such file")
+    return 1000, lambda ts: logged(path, ts // 10) if 0 <= ts < 1000 else None
+
+
+logged_decoder.seek = logged_seek
+logged_decoder.span = lambda path, low, high: ((n + 1, 10 * n, *logged(path, n)) for n in range(max(0, -(-low // 10)), min(100, -(-high // 10))))
+
+
+def plain_logged_decoder(path):
+    for n in range(100):
+        yield 10 * n, *logged(path, n)
+
+
 def fake_decoder(path):
     for i in range(10):
         yield 40 * i, 2, 2, 1, bytes([i] * 4)
