@@ -419,3 +419,25 @@ def test_evaluation_of_a_run(spark):
     assert r.recall == pytest.approx(2 / 3)
     none = run.evaluate_run(pred.limit(0), truth.limit(0), ["video"]).first()
     assert (none.matched, none.recall, none.precision, none.kpi_pass_rate) == (0, 0.0, 0.0, 0.0)
+
+
+def test_whole_tracks_over_shards(spark):
+    """One track over five shards has one number; of rivals at a border the one of most overlap goes on; ends without a start."""
+    from tagloom.operators import shards
+
+    def row(video, shard, track, x, begins=0, ends=10_000, x_end=None):
+        x_end = x if x_end is None else x_end
+        return (video, shard, track, shard * 10_000 + begins, float(x), 0.0, x + 10.0, 10.0, shard * 10_000 + ends, float(x_end), 0.0, x_end + 10.0, 10.0)
+
+    rows = [row("v", s, 7 + s, 100 + s, x_end=101 + s) for s in range(5)]
+    rows += [row("v", 0, 1, 0), row("v", 0, 2, 2), row("v", 1, 1, 3), row("v", 1, 2, 0, begins=100)]  # 0.1 and 0.2 both near 1.1 and 1.2
+    rows += [row("v", 1, 99, 101, begins=6000), row("w", 1, 1, 0), row("w", 3, 1, 0), row(None, 0, 1, 0)]
+    schema = "video string, shard int, track int, " + ", ".join(f"{c} {'long' if c.endswith('ts') else 'double'}" for c in (*shards.START, *shards.END))
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    links = {(r.video, r.shard, r.track): r.next for r in shards.border_links(df).collect()}
+    assert links == {**{("v", s, 7 + s): 8 + s for s in range(4)}, ("v", 0, 1): 2, ("v", 0, 2): 1}
+    whole = {(r.video, r.shard, r.track): r.whole for r in shards.whole_tracks(df).collect()}
+    assert len(whole) == 12 and len({whole["v", s, 7 + s] for s in range(5)}) == 1
+    assert whole["v", 0, 1] == whole["v", 1, 2] == 1 and whole["v", 0, 2] == whole["v", 1, 1] == 2
+    assert sorted(set(whole.values())) == list(range(1, 7))
+    assert shards.whole_tracks(df.limit(0)).collect() == []
